@@ -208,14 +208,16 @@ def _by_role(model, vectors: DataFrame, label: str) -> DataFrame:
     return accuracy(model.transform(vectors), label, "prediction", "role")
 
 
-def svm_train_score(split: DataFrame, names: Sequence[str], label: str, gamma: float | str = "scale", size: int = 256,
-                    max_iter: int = 50, seed: int = 0) -> DataFrame:
-    """(role, accuracy) of an RBF support vector machine; `role` is 'train' or 'test'."""
+def svm_train_score(split: DataFrame, names: Sequence[str], label: str, gamma: float | str = "scale", c: float = 1.0,
+                    size: int = 256, max_iter: int = 50, seed: int = 0) -> DataFrame:
+    """(role, accuracy) of an RBF support vector machine; `role` is 'train' or 'test'. The cost c
+    of a margin violation weighs the sum over the rows, MLlib's penalty their mean."""
     train = split.filter(F.col("role") == "train")
     g = rbf_gamma(train, names) if gamma == "scale" else float(gamma)
     vectors = fourier_features(split, names, g, size, seed).select(col(label), "role", "features").persist()
     try:
-        model = LinearSVC(labelCol=label, featuresCol="features", maxIter=max_iter).fit(vectors.filter(F.col("role") == "train"))
+        rows = vectors.filter(F.col("role") == "train")
+        model = LinearSVC(labelCol=label, featuresCol="features", maxIter=max_iter, regParam=1.0 / (c * max(rows.count(), 1))).fit(rows)
         return pin(_by_role(model, vectors, label))
     finally:
         vectors.unpersist()

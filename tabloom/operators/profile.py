@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..columns import col, listed, melt, one_row_to_long
 from ..ordering import attach, quantile_table
-from ..session import pin
+from ..session import driver_table, pin
 
 # ---- missing values -------------------------------------------------------------------
 
@@ -103,7 +103,7 @@ def distinct_count(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Distinct values per column, through one aggregate over (column, value) pairs."""
     long = melt(df, names, as_type="string").distinct()
     found = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
-    all_names = df.sparkSession.createDataFrame([(n,) for n in names], "column_name string")
+    all_names = driver_table(df.sparkSession, [(n,) for n in names], "column_name string")
     return all_names.join(found, "column_name", "left").select(
         "column_name", F.coalesce("n", F.lit(0)).alias("distinct_values"))
 
@@ -147,9 +147,7 @@ def skew_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
         "column_name", unbiased_skew(F.col("n"), F.col("g")).alias("skew"))
 
 
-_MOMENTS = (
-    F.count, F.avg, F.stddev_samp, F.min, F.max,
-)
+_MOMENTS = (F.count, F.avg, F.stddev_samp, F.min, F.max)
 
 
 def describe(df: DataFrame, names: Sequence[str], by: str | None = None) -> DataFrame:
@@ -176,7 +174,7 @@ def quantiles(df: DataFrame, name: str, qs: Sequence[float]) -> DataFrame:
 
 def box_stats(df: DataFrame, name: str, by: str) -> DataFrame:
     """Quartiles, whiskers at 1.5 IQR and number of outliers per class."""
-    quart = pin(quantile_table(df, [name], [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"]).drop("column_name"))
+    quart = pin(quantile_table(df, [name], [0.25, 0.5, 0.75], by, names=["q1", "median", "q3"])).drop("column_name")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     joined = attach(df.select(col(by), col(name).cast("double").alias("v")).filter("v is not null"), quart, by)
     inside = F.col("v").between(F.col("q1") - reach, F.col("q3") + reach)
@@ -207,7 +205,7 @@ def histograms(df: DataFrame, names: Sequence[str], bins: int = 10, by: str | No
         .agg(F.count(F.lit(1)).alias("count")))
     grid = spans.select(*keys, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
-    return attach(grid, pin(counted), [*keys, "bin"]).select(
+    return attach(grid, counted, [*keys, "bin"], part_of=spans).select(
         *keys, "bin", (F.col("lo") + F.col("bin") * width).alias("bin_low"),
         (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_high"),
         F.coalesce("count", F.lit(0)).alias("count"))

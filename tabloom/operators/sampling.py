@@ -61,8 +61,8 @@ def _tile_neighbours(k: int):
     def find(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
             return pd.DataFrame({"i": pd.Series(dtype="int64"), "j": pd.Series(dtype="int64"), "d": pd.Series(dtype="float64")})
-        a, b = np.stack(queries["x"].to_numpy()), np.stack(rows["x"].to_numpy())
-        qi, rj = queries["i"].to_numpy(), rows["i"].to_numpy()
+        a, b = np.stack(queries["qx"].to_numpy()), np.stack(rows["x"].to_numpy())
+        qi, rj = queries["q"].to_numpy(), rows["i"].to_numpy()
         squares = (b * b).sum(axis=1)
         out = []
         step = max(1, TILE_BYTES // (8 * len(b)))
@@ -84,16 +84,15 @@ def _tile_neighbours(k: int):
 def nearest_neighbours(points: DataFrame, queries: DataFrame, n: int, width: int, k: int) -> DataFrame:
     """(i, neighbours array): the k nearest points of each query by Euclidean distance, exact.
 
-    Points and queries are (i, x array<double>) with i in 0..n-1. Both are cut into tiles of
+    Points are (i, x array<double>) with i in 0..n-1, queries (q, qx) some of them. Both are cut into tiles of
     bounded size; a task compares one pair of tiles and emits k rows per query, never the pairs.
     """
     rows = max(256, TILE_BYTES // (8 * width))
     tiles = math.ceil(n / rows)
     every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
-    tile = F.floor(F.col("i") / rows).cast("int")
-    left = queries.select("i", "x", tile.alias("tq"), every.alias("tr")).groupBy("tq", "tr")
-    right = points.select("i", "x", tile.alias("tr"), every.alias("tq")).groupBy("tq", "tr")
-    near = left.cogroup(right).applyInPandas(_tile_neighbours(k), "i long, j long, d double")
+    left = queries.select("q", "qx", F.floor(F.col("q") / rows).cast("int").alias("tq"), every.alias("tr"))
+    right = points.select("i", "x", F.floor(F.col("i") / rows).cast("int").alias("ti"), every.alias("te"))
+    near = left.groupBy("tq", "tr").cogroup(right.groupBy("te", "ti")).applyInPandas(_tile_neighbours(k), "i long, j long, d double")
     best = F.slice(F.array_sort(F.collect_list(F.struct("d", "j"))), 1, k)
     return near.groupBy("i").agg(best.alias("b")).select("i", F.col("b.j").alias("neighbours"))
 
@@ -112,7 +111,7 @@ def sample_smote(df: DataFrame, names: Sequence[str], key: str, label: str, k: i
     draws = pin(df.sparkSession.range(n_maj - n_min).select(
         "id", (draw("row") % n_min).alias("i"), draw("neighbour").alias("turn"), (draw("place") / F.lit(2.0**32)).alias("u")))
     # The minority may be far larger than the number of draws: only drawn rows look for neighbours.
-    queries = points.join(draws.select("i").distinct(), "i", "left_semi")
+    queries = points.join(draws.select("i").distinct(), "i", "left_semi").select(F.col("i").alias("q"), F.col("x").alias("qx"))
     near = nearest_neighbours(points, queries, n_min, len(names), k)
     chosen = draws.join(near, "i").filter(F.size("neighbours") > 0).select(
         "id", "i", "u", F.element_at("neighbours", (F.col("turn") % F.size("neighbours")).cast("int") + 1).alias("j"))

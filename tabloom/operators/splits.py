@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..columns import col, listed
 from ..ordering import at_or_after, attach, hash_block, kth_rows, ordered_index, row_hash
-from ..session import pin
+from ..session import driver_table, pin
 
 # ---- single splits --------------------------------------------------------------------
 
@@ -106,9 +106,9 @@ def group_folds(df: DataFrame, group: str, k: int) -> DataFrame:
     groups = sum(c for _, c in sizes)
     if k > groups:
         raise ValueError(f"Cannot have number of splits n_splits={k} greater than the number of groups: {groups}.")
-    plan = df.sparkSession.createDataFrame(
-        _fill_lightest(sizes, k), "_size bigint, _starts array<bigint>, _patterns array<array<int>>")
-    turn = attach(ordered_index(counts, [col(group).desc()], "_size", "_turn"), pin(plan), "_size")
+    plan = driver_table(
+        df.sparkSession, _fill_lightest(sizes, k), "_size bigint, _starts array<bigint>, _patterns array<array<int>>")
+    turn = attach(ordered_index(counts, [col(group).desc()], "_size", "_turn"), plan, "_size")
     phase = F.size(F.filter("_starts", lambda s: s <= F.col("_turn")))
     pattern = F.element_at("_patterns", phase)
     place = ((F.col("_turn") - F.element_at("_starts", phase)) % F.size(pattern)).cast("int")

@@ -105,18 +105,19 @@ def running_totals(
     ).drop("_slice", *[f"_s_{n}" for n in sums])
 
 
-def _decide(facts: DataFrame, keys: list[str], brackets: DataFrame, largest: int, slack: float) -> DataFrame:
+def _decide(bracketed: DataFrame, keys: list[str], largest: int, slack: float) -> DataFrame:
     """Exact values at ranks k and k2 (0-based) of `value` per key and slot.
 
-    brackets holds keys, slot, lo, hi, k, k2: everything below lo collapses to one row per
-    key and slot, values above hi are dropped, so that only bracketed values are ranked.
+    bracketed holds the facts once per slot: keys, slot, lo, hi, pos, k, k2, value. Everything
+    below lo collapses to one row per key and slot, values above hi are dropped, so that only
+    bracketed values are ranked.
     """
-    joined = attach(facts, brackets, keys, "inner").filter(F.col("value") <= F.col("hi"))
+    group = [*keys, "slot"]
     counted = (
-        joined.withColumn("x", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-        .groupBy(*keys, "slot", "k", "k2", "x").agg(F.count(F.lit(1)).alias("c"))
+        bracketed.filter(F.col("value") <= F.col("hi"))
+        .withColumn("x", F.when(F.col("value") >= F.col("lo"), F.col("value")))
+        .groupBy(*group, "pos", "k", "k2", "x").agg(F.count(F.lit(1)).alias("c"))
     )
-    group = [*keys, "slot"]
     if 2 * slack * largest <= WINDOW_ROWS:
         w = Window.partitionBy(*group).orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
         ranked = counted.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
@@ -127,9 +128,8 @@ def _decide(facts: DataFrame, keys: list[str], brackets: DataFrame, largest: int
         hit = (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("before") + F.col("c"))
         return F.max(F.when(hit, F.col(what)))
 
-    out = ranked.groupBy(*group, "k", "k2").agg(
-        at("k", "x").alias("v"), at("k2", "x").alias("v2"), at("k", "before").alias("before"),
-        at("k", "c").alias("ties"))
+    out = ranked.groupBy(*group, "pos", "k", "k2").agg(
+        at("k", "x").alias("v"), at("k2", "x").alias("v2"), at("k", "before").alias("before"), at("k", "c").alias("ties"))
     missed = F.raise_error(F.lit("the sketch missed a quantile: raise accuracy"))
     return out.withColumns({"v": F.coalesce("v", missed), "v2": F.coalesce("v2", missed)})
 
@@ -140,7 +140,8 @@ def quantile_table(
 ) -> DataFrame:
     """Exact interpolated quantiles: (by, column_name, extras..., one column per q).
 
-    extras are further aggregates of `value`, computed in the sketching scan.
+    extras are further aggregates of `value`, computed in the sketching scan. Groups no larger
+    than the accuracy are ranked whole; beyond it the sketch's error bound sets the bracket.
     """
     keys = listed(by) + ["column_name"]
     names = list(names) if names else [f"q{i}" for i in range(len(qs))]
@@ -155,18 +156,16 @@ def quantile_table(
     slots = F.array(*[
         F.struct(F.lit(i).alias("slot"), F.when(few, F.col("_min")).otherwise(F.col("_lo")[i]).alias("lo"),
                  F.when(few, F.col("_max")).otherwise(F.col("_hi")[i]).alias("hi"),
-                 (F.lit(float(q)) * (F.col("_n") - 1)).alias("_pos"))
+                 (F.lit(float(q)) * (F.col("_n") - 1)).alias("pos"))
         for i, q in enumerate(qs)])
-    brackets = pin(
-        sketched.select(*keys, F.inline(slots))
-        .withColumns({"k": F.floor("_pos"), "k2": F.ceil("_pos")}))
     largest = sketched.agg(F.max("_n")).first()[0] or 0
-    exact = attach(brackets.select(*keys, "slot", "_pos"),
-                   pin(_decide(facts, keys, brackets.drop("_pos"), largest, slack)), [*keys, "slot"])
-    value = F.col("v") + (F.col("v2") - F.col("v")) * (F.col("_pos") - F.col("k"))
-    wide = exact.groupBy(*keys).agg(
+    bracketed = (
+        attach(facts, sketched.select(*keys, slots.alias("_slots")), keys, "inner", part_of=sketched)
+        .select(*keys, "value", F.inline("_slots")).withColumns({"k": F.floor("pos"), "k2": F.ceil("pos")}))
+    value = F.col("v") + (F.col("v2") - F.col("v")) * (F.col("pos") - F.col("k"))
+    wide = _decide(bracketed, keys, largest, slack).groupBy(*keys).agg(
         *[F.max(F.when(F.col("slot") == i, value)).alias(n) for i, n in enumerate(names)])
-    return attach(sketched.drop("_n", "_min", "_max", "_lo", "_hi"), pin(wide), keys)
+    return attach(sketched.drop("_n", "_min", "_max", "_lo", "_hi"), wide, keys, part_of=sketched)
 
 
 def quantile_values(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> dict[str, list[float]]:
@@ -184,24 +183,23 @@ def kth_rows(df: DataFrame, order: Sequence[str], positions: Sequence[int], accu
     if not positions:
         return []
     head, rest = order[0], list(order[1:])
-    facts = df.select(F.lit("x").alias("column_name"), col(head).alias("value"))
     slack = 4.0 / accuracy
+    facts = df.select(col(head).alias("value"))
     n = facts.count()
     shares = [p / max(n - 1, 1) for p in positions]
-    sketched = facts.groupBy("column_name").agg(
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.percentile_approx("value", [max(s - slack, 0.0) for s in shares], accuracy).alias("lo"),
-        F.percentile_approx("value", [min(s + slack, 1.0) for s in shares], accuracy).alias("hi"))
-    few = n <= accuracy
-    brackets = pin(sketched.select("column_name", F.inline(F.array(*[
-        F.struct(F.lit(i).alias("slot"), (F.col("min") if few else F.col("lo")[i]).alias("lo"),
-                 (F.col("max") if few else F.col("hi")[i]).alias("hi"),
-                 F.lit(p).cast("long").alias("k"), F.lit(p).cast("long").alias("k2"))
-        for i, p in enumerate(positions)]))))
-    found = sorted(_decide(facts, ["column_name"], brackets, n, slack).collect(), key=lambda r: r["slot"])
+    kind = df.schema[head].dataType
+    low, high, least, most = facts.agg(
+        F.percentile_approx("value", [max(s - slack, 0.0) for s in shares], accuracy),
+        F.percentile_approx("value", [min(s + slack, 1.0) for s in shares], accuracy), F.min("value"), F.max("value"),
+    ).first()
+    slots = F.array(*[
+        F.struct(F.lit(i).alias("slot"), literal(least if n <= accuracy else low[i], kind).alias("lo"),
+                 literal(most if n <= accuracy else high[i], kind).alias("hi"),
+                 F.lit(float(p)).alias("pos"), F.lit(p).cast("long").alias("k"), F.lit(p).cast("long").alias("k2"))
+        for i, p in enumerate(positions)])
+    found = sorted(_decide(facts.select("value", F.inline(slots)), [], n, slack).collect(), key=lambda r: r["slot"])
     if not rest:
         return [(r["v"],) for r in found]
-    kind = df.schema[head].dataType
     wanted = F.lit(False)
     for r in found:
         wanted = wanted | ((col(head) == literal(r["v"], kind)) & (F.col("_nth") == r["k"] - r["before"]))
@@ -256,20 +254,20 @@ def hash_cuts(
     wanted = sizes.select(group, F.posexplode(F.array(*[t.cast("long") for t in takes(F.col("n"))])).alias("slot", "take"))
     w = Window.partitionBy(group).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     spans = prefixes.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
-    wanted = pin(wanted)
+    # A take of zero ends before every hash; its edge has no prefix.
     edges = pin(
-        attach(spans, wanted, group, "inner")
-        .filter((F.col("before") < F.col("take")) & (F.col("take") <= F.col("before") + F.col("c")))
-        .select(group, "prefix", "slot", (F.col("take") - F.col("before")).alias("nth")))
-    near = attach(hashed, edges, [group, "prefix"], "inner")
+        attach(wanted, spans, group, "inner", part_of=prefixes)
+        .filter((F.col("before") < F.col("take")) & (F.col("take") <= F.col("before") + F.col("c"))
+                | ((F.col("take") == 0) & (F.col("before") == 0)))
+        .select(group, F.when(F.col("take") > 0, F.col("prefix")).alias("prefix"), "slot",
+                (F.col("take") - F.col("before")).alias("nth")))
+    near = attach(hashed, edges.filter(F.col("prefix").isNotNull()), [group, "prefix"], "inner", part_of=edges)
     nth = F.row_number().over(Window.partitionBy(group, "slot").orderBy("h"))
-    found = pin(near.withColumn("_nth", nth).filter(F.col("_nth") == F.col("nth")).select(group, "slot", "h"))
-    # A take of zero ends before every hash: the empty text.
+    found = near.withColumn("_nth", nth).filter(F.col("_nth") == F.col("nth")).select(group, "slot", "h")
+    none = edges.filter(F.col("prefix").isNull()).select(group, "slot", F.lit("").alias("h"))
     return pin(
-        attach(wanted.select(group, "slot"), found, [group, "slot"])
-        .groupBy(group)
-        .agg(F.array_sort(F.collect_list(F.struct("slot", F.coalesce("h", F.lit("")).alias("h")))).alias("s"))
-        .select(group, F.col("s.h").alias("cuts")))
+        found.unionByName(none).groupBy(group)
+        .agg(F.array_sort(F.collect_list(F.struct("slot", "h"))).alias("s")).select(group, F.col("s.h").alias("cuts")))
 
 
 def hash_block(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,21 +57,24 @@ def row_bytes(df: DataFrame) -> Column:
 
 def pin(df: DataFrame) -> DataFrame:
     """Write df to reliable storage once, so that every later use sees the same rows and
-    partition numbers, whatever executors are lost in between. Its size is counted on the way."""
+    partition numbers, whatever executors are lost in between."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    seen = Observation()
-    measured = df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes"))
-    pinned = measured.checkpoint(eager=True)
-    pinned._pinned_size = (seen.get["rows"], seen.get["bytes"] or 0)
-    return pinned
+    return df.checkpoint(eager=True)
+
+
+def driver_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table of rows that the driver made, whose number is therefore known."""
+    df = spark.createDataFrame(rows, schema)
+    df._measured = (len(rows), 256 * len(rows))
+    return df
 
 
 def measured_size(df: DataFrame, up_to: int) -> tuple[int, int]:
-    """(rows, bytes) of a table; of one that is not pinned no more than up_to + 1 rows are counted."""
-    known = getattr(df, "_pinned_size", None)
+    """(rows, bytes) of a table, counting no more than up_to + 1 rows; remembered on the frame."""
+    known = getattr(df, "_measured", None)
     if known is None:
         rows, size = df.limit(up_to + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
-        known = (rows, size or 0)
+        known = df._measured = (rows, size or 0)
     return known
