@@ -207,7 +207,7 @@ def _(t):
 
 
 @query("join_submission", """
-    SELECT d.doc_id, l.quality * 0.5 + l.toxic * 0.25 AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+    SELECT d.doc_id, CAST(l.quality * 0.5 + l.toxic * 0.25 AS DOUBLE) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
     ORDER BY d.doc_id""")
 def _(t):
     template = t.documents.select("doc_id", F.lit(0.5).alias("quality"))

@@ -124,13 +124,15 @@ def _vectors(t):
 
 @query("gbt_train_cv")
 def _(t):
-    return L.gbt_train_cv(_lines(t), _LINE_FEATURES, "label", "month", 3, _SMALL, scratch_path(t.spark, "model"))[0]
+    return L.gbt_train_cv(_lines(t), _LINE_FEATURES, "label", "month", 3, _SMALL, scratch_path(t.spark, "model"),
+                          partitions=t.spark.sparkContext.defaultParallelism)[0]
 
 
 @query("gbt_train_time_cv")
 def _(t):
     order = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    return L.gbt_train_time_cv(_lines(t), _LINE_FEATURES, "label", order, 5, {**_SMALL, "maxIter": 3})
+    return L.gbt_train_time_cv(_lines(t), _LINE_FEATURES, "label", order, 5, {**_SMALL, "maxIter": 3},
+                               partitions=t.spark.sparkContext.defaultParallelism)
 
 
 @query("gbt_train_full")
@@ -161,7 +163,8 @@ def _(t):
 @query("feature_time_consistency")
 def _(t):
     return L.feature_time_consistency(
-        _lines(t), ["l_quantity", "l_discount"], "label", "month", 4, {"maxIter": 2, "maxDepth": 2})
+        _lines(t), ["l_quantity", "l_discount"], "label", "month", 4, {"maxIter": 2, "maxDepth": 2},
+        partitions=t.spark.sparkContext.defaultParallelism)
 
 
 @query("svm_train_score")
@@ -176,7 +179,7 @@ def _(t):
 
 
 @query("submission", """
-    SELECT d.doc_id, l.quality * 0.5 + l.toxic * 0.25 AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+    SELECT d.doc_id, CAST(l.quality * 0.5 + l.toxic * 0.25 AS DOUBLE) AS quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def _(t):
     template = t.documents.select("doc_id", F.lit(0.5).alias("quality"))
     predictions = t.labels.select("doc_id", (F.col("quality") * 0.5 + F.col("toxic") * 0.25).alias("score"))

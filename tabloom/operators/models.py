@@ -47,39 +47,48 @@ def assemble(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol="features").transform(df)
 
 
+def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal the rows over more partitions, for inputs of too few splits to keep the cores busy."""
+    return df.repartition(partitions) if partitions else df
+
+
 def _score(model, df: DataFrame, *keep: str) -> DataFrame:
     """Probability of class 1 next to the columns to keep."""
     return model.transform(df).select(*[col(k) for k in keep], vector_to_array("probability")[1].alias("score"))
 
 
-def _folds_trained(df: DataFrame, names: Sequence[str], label: str, tests: Sequence[int], trains_on, params, seed):
-    """Train one booster per fold over the same cached vectors; (scored rows, last model)."""
-    vectors = assemble(df, names).select(col(label), "fold", "features").persist()
+def _folds_trained(df: DataFrame, names: Sequence[str], label: str, tests: Sequence[int], trains_on, params, seed: int,
+                   partitions: int | None, parallelism: int):
+    """One booster per fold over the same cached vectors, several at a time; (scored rows, models)."""
+    vectors = _spread(assemble(df, names).select(col(label), "fold", "features"), partitions).persist()
     try:
-        scored, model = [], None
-        for i in tests:
-            model = booster(label, params, seed).fit(vectors.filter(trains_on(i)))
-            scored.append(_score(model, vectors.filter(F.col("fold") == i), label, "fold"))
-        return pin(reduce(DataFrame.unionAll, scored)), model
+        with ThreadPoolExecutor(parallelism) as pool:
+            models = list(pool.map(lambda i: booster(label, params, seed).fit(vectors.filter(trains_on(i))), tests))
+        scored = [_score(m, vectors.filter(F.col("fold") == i), label, "fold") for i, m in zip(tests, models)]
+        return pin(reduce(DataFrame.unionAll, scored)), models
     finally:
         vectors.unpersist()
 
 
 def gbt_train_cv(df: DataFrame, names: Sequence[str], label: str, group: str, k: int = 3, params: dict | None = None,
-                 model_path: str | None = None, seed: int = 0) -> tuple[DataFrame, object]:
+                 model_path: str | None = None, seed: int = 0, partitions: int | None = None,
+                 parallelism: int = 3) -> tuple[DataFrame, object]:
     """Booster per group fold: (metrics per fold, model of the last fold, which is also saved)."""
     folded = split_group_kfold(df, group, k)
-    scored, model = _folds_trained(folded, names, label, range(k), lambda i: F.col("fold") != i, params, seed)
+    scored, models = _folds_trained(
+        folded, names, label, range(k), lambda i: F.col("fold") != i, params, seed, partitions, parallelism)
     if model_path:
-        model.write().overwrite().save(model_path)
-    return fold_report(scored, label, "score", "fold"), model
+        models[-1].write().overwrite().save(model_path)
+    return fold_report(scored, label, "score", "fold"), models[-1]
 
 
 def gbt_train_time_cv(df: DataFrame, names: Sequence[str], label: str, order: str | Sequence[str], k: int = 5,
-                      params: dict | None = None, seed: int = 0) -> DataFrame:
+                      params: dict | None = None, seed: int = 0, partitions: int | None = None,
+                      parallelism: int = 3) -> DataFrame:
     """(fold, auc) of boosters that train on everything before their test window."""
     folded = split_time_series(df, order, k)
-    scored, _ = _folds_trained(folded, names, label, range(1, k + 1), lambda i: F.col("fold") < i, params, seed)
+    scored, _ = _folds_trained(
+        folded, names, label, range(1, k + 1), lambda i: F.col("fold") < i, params, seed, partitions, parallelism)
     return auc_roc(scored, label, "score", "fold")
 
 
@@ -151,12 +160,12 @@ def hyperparam_search(df: DataFrame, names: Sequence[str], key: str, label: str,
 
 
 def feature_time_consistency(df: DataFrame, names: Sequence[str], label: str, group: str, k: int = 4, params: dict | None = None,
-                             seed: int = 0, parallelism: int = 4) -> DataFrame:
+                             seed: int = 0, partitions: int | None = None, parallelism: int = 4) -> DataFrame:
     """(feature, auc, flagged): does one feature alone, trained on some periods, still separate
     the classes in others? Mean AUC over group folds; below one half it is flagged."""
     params = {"maxIter": 10, "maxDepth": 3} if params is None else params
     folds = pin(group_folds(df.select(col(group)), group, k))
-    rows = attach(df.select(*[col(n) for n in names], col(label), col(group)), folds, group).persist()
+    rows = _spread(attach(df.select(*[col(n) for n in names], col(label), col(group)), folds, group), partitions).persist()
 
     def one(name: str) -> DataFrame:
         vectors = assemble(rows.select(col(name).cast("double").alias("x"), col(label), "fold"), ["x"])

@@ -13,12 +13,12 @@ from ..session import pin
 
 
 def _calendar_rank(df: DataFrame, ts: str, fmt: str, name: str, start: int = 1) -> DataFrame:
-    """Dense rank of a formatted date. Only the distinct dates are ranked: their number is
-    bounded by the calendar, not by the rows."""
-    stamped = df.withColumn("_date", F.date_format(col(ts), fmt))
-    dates = stamped.select("_date").filter(F.col("_date").isNotNull()).distinct()
-    ranked = dates.withColumn(name, F.row_number().over(Window.orderBy("_date")) + F.lit(start - 1))
-    return attach(stamped, pin(ranked), "_date").drop("_date")
+    """Dense rank of a formatted date (of days or coarser). Rows are reduced to distinct days
+    before anything is formatted or ranked; their number is bounded by the calendar."""
+    dated = df.withColumn("_day", F.to_date(col(ts)))
+    days = dated.select("_day").filter(F.col("_day").isNotNull()).distinct()
+    rank = F.dense_rank().over(Window.orderBy(F.date_format("_day", fmt))) + F.lit(start - 1)
+    return attach(dated, pin(days.withColumn(name, rank)), "_day").drop("_day")
 
 
 def dense_rank_date(df: DataFrame, ts: str, name: str = "day_rank") -> DataFrame:

@@ -124,7 +124,11 @@ def join_right(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFram
 
 
 def join_outer(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    return a.join(b, listed(key), "full")
+    """Full outer join, as a left join plus the right rows without a partner: a hot key can be
+    split in either of these, but not in a full outer join."""
+    keys = listed(key)
+    alone = b.join(a.select(*[col(k) for k in keys]), keys, "left_anti")
+    return a.join(b, keys, "left").unionByName(alone, allowMissingColumns=True)
 
 
 def join_feature_blocks(numeric: DataFrame, categorical: DataFrame, key: str) -> DataFrame:
@@ -174,7 +178,7 @@ def union_rows(*frames: DataFrame) -> DataFrame:
 
 def concat_columns(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Column-wise concatenation aligned on the key: a key of either side stays."""
-    return a.join(b, [key], "full")
+    return join_outer(a, b, key)
 
 
 def _dedup(df: DataFrame, names: Sequence[str], order: Sequence[str], last: bool) -> DataFrame:

@@ -105,30 +105,47 @@ def running_totals(
     ).drop("_slice", *[f"_s_{n}" for n in sums])
 
 
-def _decide(bracketed: DataFrame, keys: list[str], largest: int, slack: float) -> DataFrame:
-    """Exact values at ranks k and k2 (0-based) of `value` per key and slot.
+def _around(shares: Sequence[float], slack: float) -> list[float]:
+    """Lower and upper end of each share's bracket, one after the other."""
+    return [e for s in shares for e in (max(s - slack, 0.0), min(s + slack, 1.0))]
 
-    bracketed holds the facts once per slot: keys, slot, lo, hi, pos, k, k2, value. Everything
-    below lo collapses to one row per key and slot, values above hi are dropped, so that only
-    bracketed values are ranked.
+
+def _slot(i: int, lo: Column, hi: Column, pos: Column) -> Column:
+    return F.struct(F.lit(i).alias("slot"), lo.alias("lo"), hi.alias("hi"), pos.cast("double").alias("pos"),
+                    F.floor(pos).alias("k"), F.ceil(pos).alias("k2"))
+
+
+def _count_bracketed(facts: DataFrame, keys: list[str], slots: int) -> DataFrame:
+    """Counts per key, region and value: (keys, region, x, c).
+
+    facts hold keys, value and an array of brackets. The ends passed number a value's region;
+    only inside a bracket are values told apart (x), any other region is a single row.
     """
-    group = [*keys, "slot"]
-    counted = (
-        bracketed.filter(F.col("value") <= F.col("hi"))
-        .withColumn("x", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-        .groupBy(*group, "pos", "k", "k2", "x").agg(F.count(F.lit(1)).alias("c"))
-    )
-    if 2 * slack * largest <= WINDOW_ROWS:
-        w = Window.partitionBy(*group).orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = counted.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
-    else:
-        ranked = running_totals(counted, ["x"], {"before": "c"}, group)
+    ends, inside = F.lit(0), F.lit(False)
+    for i in range(slots):
+        lo, hi = F.col("_slots")[i]["lo"], F.col("_slots")[i]["hi"]
+        ends = ends + (F.col("value") >= lo).cast("int") + (F.col("value") > hi).cast("int")
+        inside = inside | F.col("value").between(lo, hi)
+    return (
+        facts.select(*keys, ends.alias("region"), F.when(inside, F.col("value")).alias("x"))
+        .groupBy(*keys, "region", "x").agg(F.count(F.lit(1)).alias("c")))
+
+
+def _rank_counts(counts: DataFrame, keys: list[str], largest: int, slots: int, slack: float) -> DataFrame:
+    """Add `before`, the number of smaller values of the key."""
+    if 2 * slack * slots * largest <= WINDOW_ROWS:
+        w = Window.partitionBy(*keys).orderBy("region", "x").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
+    return running_totals(counts, ["region", "x"], {"before": "c"}, keys)
 
+
+def _pick(slotted: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact values v and v2 at ranks k and k2 (0-based) from ranked counts next to their slots."""
     def at(rank: str, what: str) -> Column:
         hit = (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("before") + F.col("c"))
         return F.max(F.when(hit, F.col(what)))
 
-    out = ranked.groupBy(*group, "pos", "k", "k2").agg(
+    out = slotted.select(*keys, "x", "before", "c", F.inline("_slots")).groupBy(*keys, "slot", "pos", "k", "k2").agg(
         at("k", "x").alias("v"), at("k2", "x").alias("v2"), at("k", "before").alias("before"), at("k", "c").alias("ties"))
     missed = F.raise_error(F.lit("the sketch missed a quantile: raise accuracy"))
     return out.withColumns({"v": F.coalesce("v", missed), "v2": F.coalesce("v2", missed)})
@@ -149,23 +166,21 @@ def quantile_table(
     facts = melt(df, columns, listed(by))
     sketched = pin(facts.groupBy(*keys).agg(
         F.count("value").alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"), *extras,
-        F.percentile_approx("value", [max(q - slack, 0.0) for q in qs], accuracy).alias("_lo"),
-        F.percentile_approx("value", [min(q + slack, 1.0) for q in qs], accuracy).alias("_hi"),
+        F.percentile_approx("value", _around(qs, slack), accuracy).alias("_ends"),
     ))
-    few = F.col("_n") <= accuracy
-    slots = F.array(*[
-        F.struct(F.lit(i).alias("slot"), F.when(few, F.col("_min")).otherwise(F.col("_lo")[i]).alias("lo"),
-                 F.when(few, F.col("_max")).otherwise(F.col("_hi")[i]).alias("hi"),
-                 (F.lit(float(q)) * (F.col("_n") - 1)).alias("pos"))
-        for i, q in enumerate(qs)])
+    few, ends = F.col("_n") <= accuracy, F.col("_ends")
+    slots = sketched.select(*keys, F.array(*[
+        _slot(i, F.when(few, F.col("_min")).otherwise(ends[2 * i]), F.when(few, F.col("_max")).otherwise(ends[2 * i + 1]),
+              F.lit(float(q)) * (F.col("_n") - 1))
+        for i, q in enumerate(qs)]).alias("_slots"))
     largest = sketched.agg(F.max("_n")).first()[0] or 0
-    bracketed = (
-        attach(facts, sketched.select(*keys, slots.alias("_slots")), keys, "inner", part_of=sketched)
-        .select(*keys, "value", F.inline("_slots")).withColumns({"k": F.floor("pos"), "k2": F.ceil("pos")}))
+    counts = _count_bracketed(attach(facts, slots, keys, "inner", part_of=sketched), keys, len(qs))
+    ranked = _rank_counts(counts, keys, largest, len(qs), slack)
+    exact = _pick(attach(ranked, slots, keys, "inner", part_of=sketched), keys)
     value = F.col("v") + (F.col("v2") - F.col("v")) * (F.col("pos") - F.col("k"))
-    wide = _decide(bracketed, keys, largest, slack).groupBy(*keys).agg(
+    wide = exact.groupBy(*keys).agg(
         *[F.max(F.when(F.col("slot") == i, value)).alias(n) for i, n in enumerate(names)])
-    return attach(sketched.drop("_n", "_min", "_max", "_lo", "_hi"), wide, keys, part_of=sketched)
+    return attach(sketched.drop("_n", "_min", "_max", "_ends"), wide, keys, part_of=sketched)
 
 
 def quantile_values(df: DataFrame, columns: Sequence[str], qs: Sequence[float]) -> dict[str, list[float]]:
@@ -188,16 +203,15 @@ def kth_rows(df: DataFrame, order: Sequence[str], positions: Sequence[int], accu
     n = facts.count()
     shares = [p / max(n - 1, 1) for p in positions]
     kind = df.schema[head].dataType
-    low, high, least, most = facts.agg(
-        F.percentile_approx("value", [max(s - slack, 0.0) for s in shares], accuracy),
-        F.percentile_approx("value", [min(s + slack, 1.0) for s in shares], accuracy), F.min("value"), F.max("value"),
-    ).first()
+    ends, least, most = facts.agg(
+        F.percentile_approx("value", _around(shares, slack), accuracy), F.min("value"), F.max("value")).first()
     slots = F.array(*[
-        F.struct(F.lit(i).alias("slot"), literal(least if n <= accuracy else low[i], kind).alias("lo"),
-                 literal(most if n <= accuracy else high[i], kind).alias("hi"),
-                 F.lit(float(p)).alias("pos"), F.lit(p).cast("long").alias("k"), F.lit(p).cast("long").alias("k2"))
-        for i, p in enumerate(positions)])
-    found = sorted(_decide(facts.select("value", F.inline(slots)), [], n, slack).collect(), key=lambda r: r["slot"])
+        _slot(i, literal(least if n <= accuracy else ends[2 * i], kind), literal(most if n <= accuracy else ends[2 * i + 1], kind),
+              F.lit(p))
+        for i, p in enumerate(positions)]).alias("_slots")
+    counts = _count_bracketed(facts.select("value", slots), [], len(positions))
+    ranked = _rank_counts(counts, [], n, len(positions), slack).select("*", slots)
+    found = sorted(_pick(ranked, []).collect(), key=lambda r: r["slot"])
     if not rest:
         return [(r["v"],) for r in found]
     wanted = F.lit(False)
