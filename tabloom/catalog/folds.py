@@ -139,7 +139,25 @@ def _(t):
     return B.sample_over(_events(t), "event_id", "label", 7)
 
 
-@query("sample_smote")
+def _mixed(template: str) -> str:
+    return ", ".join(template.format(i=i, j=i + 1) for i in range(64))
+
+
+def _draw(what: str) -> str:
+    return f"CAST('0x' || substr(md5(k || ':7:{what}'), 1, 8) AS BIGINT)"
+
+
+@query("sample_smote", f"""
+    WITH e AS (SELECT vec_id, CAST(label = 0 AS INTEGER) AS label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+    p AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS i, x FROM e WHERE label = 1),
+    n AS (SELECT a.i, b.i AS j, row_number() OVER (PARTITION BY a.i ORDER BY list_distance(a.x, b.x), b.i) - 1 AS r
+          FROM p a JOIN p b ON a.i <> b.i QUALIFY r < 5),
+    d AS (SELECT {_draw("row")} % (SELECT count(*) FROM p) AS i, {_draw("neighbour")} % 5 AS r,
+                 {_draw("place")} / 4294967296.0::DOUBLE AS u
+          FROM range((SELECT count(*) FILTER (label = 0) - count(*) FILTER (label = 1) FROM e)) t(k))
+    SELECT {_mixed("round(x[{j}], 6) AS e{i}")}, label, false AS synthetic FROM e
+    UNION ALL SELECT {_mixed("round(a.x[{j}] + u * (b.x[{j}] - a.x[{j}]), 6)")}, 1, true
+    FROM d JOIN n ON d.i = n.i AND d.r = n.r JOIN p a ON a.i = d.i JOIN p b ON b.i = n.j""")
 def _(t):
     vectors = t.embeddings.select(
         "vec_id", (F.col("label") == 0).cast("int").alias("label"), *[F.col("embedding")[i].alias(f"e{i}") for i in range(64)])

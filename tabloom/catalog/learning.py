@@ -9,6 +9,7 @@ from ..operators import models as L
 from ..operators.splits import split_random, split_stratified
 from ..plans.consistency import consistent_features
 from ..plans.preparation import Preparation
+from ..plans.scoring import train_and_submit
 from ..plans.time_split import evaluate_over_time
 from ..session import scratch_path
 from ..sources import csv_scan_typed
@@ -139,7 +140,7 @@ def _(t):
 def _(t):
     lines = _lines(t)
     model = L.gbt_train_full(lines, _LINE_FEATURES, "label", _SMALL, scratch_path(t.spark, "model"))
-    return M.auc_roc(L._score(model, lines, "label"), "label", "score")
+    return M.auc_roc(L.score_rows(model, lines, "label"), "label", "score")
 
 
 @query("gbt_predict")
@@ -222,6 +223,18 @@ def _(t):
     return rounded(prepared_orders(t))
 
 
+@query("scored_submission")
+def _(t):
+    """Orders up to the middle of 1998 are learned from, later ones are scored."""
+    prepared = prepared_orders(t)
+    known = prepared.filter(F.col("DT_M") <= 42)
+    unknown = prepared.filter(F.col("DT_M") > 42)
+    names = ["seconds", "amount", "returned", "DT_M", "priority", "customer", "priority_customer"]
+    template = unknown.select("o_orderkey", F.lit(0.5).alias("label"))
+    _, _, path = train_and_submit(known, unknown, template, names, "o_orderkey", "label", "DT_M", "under", {**_SMALL, "maxIter": 2})
+    return csv_scan_typed(t.spark, path, "o_orderkey bigint, label double")
+
+
 @query("time_split_evaluation")
 def _(t):
     lines = t.lineitem.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -20,7 +21,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import col
@@ -52,7 +53,7 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
-def _score(model, df: DataFrame, *keep: str) -> DataFrame:
+def score_rows(model, df: DataFrame, *keep: str) -> DataFrame:
     """Probability of class 1 next to the columns to keep."""
     return model.transform(df).select(*[col(k) for k in keep], vector_to_array("probability")[1].alias("score"))
 
@@ -64,7 +65,7 @@ def _folds_trained(df: DataFrame, names: Sequence[str], label: str, tests: Seque
     try:
         with ThreadPoolExecutor(parallelism) as pool:
             models = list(pool.map(lambda i: booster(label, params, seed).fit(vectors.filter(trains_on(i))), tests))
-        scored = [_score(m, vectors.filter(F.col("fold") == i), label, "fold") for i, m in zip(tests, models)]
+        scored = [score_rows(m, vectors.filter(F.col("fold") == i), label, "fold") for i, m in zip(tests, models)]
         return pin(reduce(DataFrame.unionAll, scored)), models
     finally:
         vectors.unpersist()
@@ -104,14 +105,12 @@ def gbt_train_full(df: DataFrame, names: Sequence[str], label: str, params: dict
 
 def gbt_predict(model_path: str, df: DataFrame, key: str) -> DataFrame:
     """(key, score) from a saved model."""
-    return _score(PipelineModel.load(model_path), df, key)
+    return score_rows(PipelineModel.load(model_path), df, key)
 
 
 def feature_importance(model, names: Sequence[str]) -> DataFrame:
     """(feature, importance), the most important first."""
     trees = model.stages[-1] if isinstance(model, PipelineModel) else model
-    from pyspark.sql import SparkSession
-
     values = [(n, float(v)) for n, v in zip(names, trees.featureImportances.toArray())]
     session = SparkSession.getActiveSession()
     return session.createDataFrame(values, "feature string, importance double").orderBy(F.desc("importance"), "feature")
@@ -139,7 +138,7 @@ def _draw(rule: tuple, rng: random.Random):
 
 def hyperparam_search(df: DataFrame, names: Sequence[str], key: str, label: str, space: dict | None = None, trials: int = 20,
                       k: int = 5, seed: int = 0, parallelism: int = 4) -> DataFrame:
-    """(trial, parameters, score): random trials scored by mean accuracy over stratified folds,
+    """(trial, parameters as JSON, score): random trials scored by mean accuracy over stratified folds,
     the best first."""
     space = SEARCH_SPACE if space is None else space
     rng = random.Random(seed)
@@ -154,11 +153,16 @@ def hyperparam_search(df: DataFrame, names: Sequence[str], key: str, label: str,
                                parallelism=parallelism).fit(vectors)
     finally:
         vectors.unpersist()
-    rows = [(i, ", ".join(f"{n}={v}" for n, v in sorted(d.items())), float(s))
+    rows = [(i, json.dumps(d, sort_keys=True), float(s))
             for i, (d, s) in enumerate(zip(drawn, found.avgMetrics))]
     return df.sparkSession.createDataFrame(rows, "trial int, parameters string, score double").orderBy(F.desc("score"), "trial")
 
 
+def best_parameters(found: DataFrame) -> dict:
+    """Booster parameters of the best trial of a search."""
+    return json.loads(found.first()["parameters"])
+
+
 def feature_time_consistency(df: DataFrame, names: Sequence[str], label: str, group: str, k: int = 4, params: dict | None = None,
                              seed: int = 0, partitions: int | None = None, parallelism: int = 4) -> DataFrame:
     """(feature, auc, flagged): does one feature alone, trained on some periods, still separate
@@ -172,7 +176,7 @@ def feature_time_consistency(df: DataFrame, names: Sequence[str], label: str, gr
         parts = []
         for i in range(k):
             model = booster(label, params, seed).fit(vectors.filter(F.col("fold") != i))
-            parts.append(_score(model, vectors.filter(F.col("fold") == i), label, "fold"))
+            parts.append(score_rows(model, vectors.filter(F.col("fold") == i), label, "fold"))
         return reduce(DataFrame.unionAll, parts).withColumn("feature", F.lit(name))
 
     try:
@@ -241,7 +245,7 @@ def mlp_train_score(split: DataFrame, names: Sequence[str], label: str, layers:
         MultilayerPerceptronClassifier(
             labelCol=label, featuresCol="features", layers=[len(names), *layers, 2], maxIter=max_iter, seed=seed,
         ).fit(vectors.filter(F.col("role") == "train")).write().overwrite().save(path)
-        scored = pin(_score(MultilayerPerceptronClassificationModel.load(path), vectors, label, "role"))
+        scored = pin(score_rows(MultilayerPerceptronClassificationModel.load(path), vectors, label, "role"))
     finally:
         vectors.unpersist()
     decided = accuracy(threshold_labels(scored, "score"), label, "predicted", "role")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..columns import col, melt, require
 from ..functions import fn_as_string, fn_concat_key, fn_log10_shift, fn_month_index, fn_start_plus_seconds
-from ..ordering import attach, ordered_index
+from ..ordering import attach, column_parts, ordered_index
 from ..session import pin
 from .profile import _wide, null_counts, skew_profile
 
@@ -112,9 +112,8 @@ def rare_to_others(df: DataFrame, thresholds: dict[str, int], other: str = "othe
     counts = melt(df, names, as_type="string").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c"))
     frequent = pin(counts.filter(F.col("c") >= limit).select("column_name", "value"))
     out = df.withColumns({n: col(n).cast("string") for n in names})
-    for n in names:
-        kept = frequent.filter(F.col("column_name") == n).select(F.col("value").alias(n), F.lit(True).alias("_kept"))
-        out = attach(out, kept, n, part_of=frequent).withColumn(
+    for n, kept in column_parts(frequent.withColumn("_kept", F.lit(True)), names).items():
+        out = attach(out, kept, n).withColumn(
             n, F.when(col(n).isNull() | F.col("_kept"), col(n)).otherwise(F.lit(other))).drop("_kept")
     return out
 
@@ -134,9 +133,8 @@ class LabelCodes:
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace the columns by their codes; a value not seen in the fit becomes NULL."""
         out = df.withColumns({n: fn_as_string(col(n)) for n in self.names})
-        for n in self.names:
-            own = self.codes.filter(F.col("column_name") == n).select(F.col("value").alias(n), F.col("code").alias("_c"))
-            out = attach(out, own, n, part_of=self.codes).withColumn(n, F.col("_c")).drop("_c")
+        for n, own in column_parts(self.codes.withColumnRenamed("code", "_c"), self.names).items():
+            out = attach(out, own, n).withColumn(n, F.col("_c")).drop("_c")
         return out.select(*[col(n) for n in df.columns])
 
 

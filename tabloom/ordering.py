@@ -15,19 +15,22 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .columns import col, listed, melt
-from .session import measured_size, pin
+from .session import measured_size, pin, row_bytes
 
 # Above these sizes a lookup table is joined by shuffle (AQE splits skewed keys) instead of broadcast.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # One window task may rank this many pre-aggregated rows; larger groups are range-partitioned.
 WINDOW_ROWS = 1_000_000
+# Columns sketched in one scan; a task holds one sketch per column and class.
+SKETCH_COLUMNS = 32
 # monotonically_increasing_id keeps the row's place inside its partition in the low 33 bits.
 PLACE_BITS = 33
 
@@ -38,6 +41,22 @@ def is_small(table: DataFrame) -> bool:
     return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
+def column_parts(table: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
+    """The rows of a pinned (column_name, value, ...) table per column, each with its measured
+    size. The smallest come first against one broadcast budget, so that one column of many
+    values does not make the others shuffle."""
+    sizes = {r["column_name"]: (r["n"], r["b"]) for r in table.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(row_bytes(table)).alias("b")).collect()}
+    parts, used = {}, 0
+    for n in sorted(names, key=lambda n: sizes.get(n, (0, 0))[1]):
+        rows, size = sizes.get(n, (0, 0))
+        used += size
+        part = table.filter(F.col("column_name") == n).drop("column_name").withColumnRenamed("value", n)
+        part._measured = (rows, used)
+        parts[n] = part
+    return parts
+
+
 def attach(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
            part_of: DataFrame | None = None) -> DataFrame:
     """Null-safe equi-join of facts with a lookup table; broadcast only after its size is checked.
@@ -162,6 +181,10 @@ def quantile_table(
     """
     keys = listed(by) + ["column_name"]
     names = list(names) if names else [f"q{i}" for i in range(len(qs))]
+    if len(columns) > SKETCH_COLUMNS:
+        # A columnar scan reads every column once, however they are grouped.
+        chunks = [columns[i:i + SKETCH_COLUMNS] for i in range(0, len(columns), SKETCH_COLUMNS)]
+        return reduce(DataFrame.unionByName, [quantile_table(df, c, qs, by, extras, names, accuracy) for c in chunks])
     slack = 4.0 / accuracy
     facts = melt(df, columns, listed(by))
     sketched = pin(facts.groupBy(*keys).agg(
