@@ -113,7 +113,7 @@ def rare_to_others(df: DataFrame, thresholds: dict[str, int], other: str = "othe
     frequent = pin(counts.filter(F.col("c") >= limit).select("column_name", "value"))
     out = df.withColumns({n: col(n).cast("string") for n in names})
     for n, kept in column_parts(frequent.withColumn("_kept", F.lit(True)), names).items():
-        out = attach(out, kept, n).withColumn(
+        out = attach(out, kept, n, null_safe=False).withColumn(
             n, F.when(col(n).isNull() | F.col("_kept"), col(n)).otherwise(F.lit(other))).drop("_kept")
     return out
 
@@ -134,7 +134,7 @@ class LabelCodes:
         """Replace the columns by their codes; a value not seen in the fit becomes NULL."""
         out = df.withColumns({n: fn_as_string(col(n)) for n in self.names})
         for n, own in column_parts(self.codes.withColumnRenamed("code", "_c"), self.names).items():
-            out = attach(out, own, n).withColumn(n, F.col("_c")).drop("_c")
+            out = attach(out, own, n, null_safe=False).withColumn(n, F.col("_c")).drop("_c")
         return out.select(*[col(n) for n in df.columns])
 
 

@@ -18,7 +18,7 @@ def _calendar_rank(df: DataFrame, ts: str, fmt: str, name: str, start: int = 1)
     dated = df.withColumn("_day", F.to_date(col(ts)))
     days = dated.select("_day").filter(F.col("_day").isNotNull()).distinct()
     rank = F.dense_rank().over(Window.orderBy(F.date_format("_day", fmt))) + F.lit(start - 1)
-    return attach(dated, pin(days.withColumn(name, rank)), "_day").drop("_day")
+    return attach(dated, pin(days.withColumn(name, rank)), "_day", null_safe=False).drop("_day")
 
 
 def dense_rank_date(df: DataFrame, ts: str, name: str = "day_rank") -> DataFrame:

@@ -58,12 +58,16 @@ def column_parts(table: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]
 
 
 def attach(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "left",
-           part_of: DataFrame | None = None) -> DataFrame:
-    """Null-safe equi-join of facts with a lookup table; broadcast only after its size is checked.
+           part_of: DataFrame | None = None, null_safe: bool = True) -> DataFrame:
+    """Equi-join of facts with a lookup table, broadcast only after its size is checked.
 
-    part_of names a pinned table that the lookup is cut from, whose known size then decides.
+    part_of names a pinned table that bounds the lookup's size. A missing key meets a missing
+    key unless null_safe is off, which is cheaper where the lookup has none.
     """
     names = listed(on)
+    small = is_small(lookup if part_of is None else part_of)
+    if not null_safe:
+        return facts.join(F.broadcast(lookup) if small else lookup, names, how)
     renamed = lookup.select(
         *[col(n).alias(f"_on_{n}") if n in names else col(n) for n in lookup.columns]
     )
@@ -71,7 +75,7 @@ def attach(facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: st
     condition = matches[0]
     for m in matches[1:]:
         condition = condition & m
-    side = F.broadcast(renamed) if is_small(lookup if part_of is None else part_of) else renamed
+    side = F.broadcast(renamed) if small else renamed
     return facts.join(side, condition, how).drop(*[f"_on_{n}" for n in names])
 
 
@@ -98,7 +102,7 @@ def ordered_index(
     starts = pin(slices.select(
         *groups, "_slice", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_start")))
     return (
-        attach(placed, starts, [*groups, "_slice"])
+        attach(placed, starts, [*groups, "_slice"], null_safe=bool(groups))
         .withColumn(name, F.col("_place") + F.col("_start"))
         .drop("_place", "_slice", "_start")
     )
@@ -292,19 +296,24 @@ def hash_cuts(
     w = Window.partitionBy(group).orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
     spans = prefixes.withColumn("before", F.coalesce(F.sum("c").over(w), F.lit(0)))
     # A take of zero ends before every hash; its edge has no prefix.
+    # Every prefix holds a row, so that groups are no more than prefixes: one check bounds all.
+    bound = prefixes if is_small(prefixes) else None
     edges = pin(
         attach(wanted, spans, group, "inner", part_of=prefixes)
         .filter((F.col("before") < F.col("take")) & (F.col("take") <= F.col("before") + F.col("c"))
                 | ((F.col("take") == 0) & (F.col("before") == 0)))
         .select(group, F.when(F.col("take") > 0, F.col("prefix")).alias("prefix"), "slot",
                 (F.col("take") - F.col("before")).alias("nth")))
-    near = attach(hashed, edges.filter(F.col("prefix").isNotNull()), [group, "prefix"], "inner", part_of=edges)
+    near = attach(hashed, edges.filter(F.col("prefix").isNotNull()), [group, "prefix"], "inner", part_of=bound or edges)
     nth = F.row_number().over(Window.partitionBy(group, "slot").orderBy("h"))
     found = near.withColumn("_nth", nth).filter(F.col("_nth") == F.col("nth")).select(group, "slot", "h")
     none = edges.filter(F.col("prefix").isNull()).select(group, "slot", F.lit("").alias("h"))
-    return pin(
+    cuts = pin(
         found.unionByName(none).groupBy(group)
         .agg(F.array_sort(F.collect_list(F.struct("slot", "h"))).alias("s")).select(group, F.col("s.h").alias("cuts")))
+    if bound is not None:
+        cuts._measured = bound._measured
+    return cuts
 
 
 def hash_block(

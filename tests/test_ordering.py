@@ -93,5 +93,6 @@ def test_attach_is_null_safe_and_keeps_all_facts(spark, monkeypatch, rows):
     facts = spark.createDataFrame([("a", 1), (None, 2), ("z", 3)], "k string, i int")
     lookup = spark.createDataFrame([("a", 10), (None, 20)], "k string, v int")
     assert {(r["i"], r["v"]) for r in attach(facts, lookup, "k").collect()} == {(1, 10), (2, 20), (3, None)}
+    assert {(r["i"], r["v"]) for r in attach(facts, lookup, "k", null_safe=False).collect()} == {(1, 10), (2, None), (3, None)}
     plan = attach(facts, lookup, "k")._jdf.queryExecution().optimizedPlan().toString()
     assert ("strategy=broadcast" in plan) == (rows > 0)
