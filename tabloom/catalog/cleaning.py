@@ -36,7 +36,19 @@ def _(t):
     return E.impute_mode(t.cases.select("doc_id", "quality", "toxic"), ["quality", "toxic"])
 
 
-@query("impute_chained")
+@query("impute_chained", """
+    WITH l AS (SELECT l_orderkey, l_partkey, l_linenumber, l_quantity,
+                      CASE WHEN l_returnflag <> 'A' THEN l_quantity * 1000 + l_extendedprice END AS price FROM lineitem),
+    f AS (SELECT regr_slope(price, l_quantity) AS b, regr_intercept(price, l_quantity) AS a FROM l)
+    SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, round(coalesce(price, a + b * l_quantity), 4) AS price FROM l, f""")
+def _(t):
+    lines = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+        F.when(F.col("l_returnflag") != "A", F.col("l_quantity") * 1000 + F.col("l_extendedprice")).alias("price"))
+    return rounded(E.impute_chained(lines, ["l_quantity", "price"]), 4)
+
+
+@query("impute_chained_many")
 def _(t):
     lines = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_discount", "l_quantity",
@@ -92,11 +104,13 @@ def _(t):
 @query("zscore", """
     WITH s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_extendedprice) AS mp,
                       stddev_samp(l_extendedprice) AS sp FROM lineitem)
-    SELECT l_orderkey, l_partkey, l_linenumber, l_linestatus, round((l_quantity - mq) / (sq + 1e-6), 6) AS l_quantity,
-           round((l_extendedprice - mp) / (sp + 1e-6), 6) AS l_extendedprice FROM lineitem, s""")
+    SELECT l_orderkey, l_partkey, l_linenumber, l_linestatus, round((l_quantity - mq) / (sq + 1e-6), 6) + 0.0 AS l_quantity,
+           round((l_extendedprice - mp) / (sp + 1e-6), 6) + 0.0 AS l_extendedprice FROM lineitem, s""")
 def _(t):
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_quantity", "l_extendedprice")
-    return rounded(E.zscore(lines, ["l_quantity", "l_extendedprice"]))
+    scaled = rounded(E.zscore(lines, ["l_quantity", "l_extendedprice"]))
+    # A tiny negative value rounds to a negative zero or not: adding zero settles it.
+    return scaled.withColumns({n: F.col(n) + 0.0 for n in ("l_quantity", "l_extendedprice")})
 
 
 @query("skew_log_transform", """

@@ -82,7 +82,7 @@ def impute_chained(df: DataFrame, names: Sequence[str], rounds: int = 10, tol: f
         for n in incomplete:
             others = [m for m in names if m != n]
             vectors = VectorAssembler(inputCols=others, outputCol="_x").transform(current)
-            model = LinearRegression(featuresCol="_x", labelCol=n, predictionCol="_p", regParam=1e-3).fit(
+            model = LinearRegression(featuresCol="_x", labelCol=n, predictionCol="_p").fit(
                 vectors.filter(~F.col(f"_miss_{n}")))
             fitted = model.transform(vectors)
             current = fitted.withColumn(n, F.when(F.col(f"_miss_{n}"), F.col("_p")).otherwise(col(n))).drop("_x", "_p")
@@ -91,7 +91,8 @@ def impute_chained(df: DataFrame, names: Sequence[str], rounds: int = 10, tol: f
                 scale = max(1.0, max(abs(w) for w in weights))
                 moved = max(moved, max(abs(a - b) for a, b in zip(weights, previous[n])) / scale)
             else:
-                moved = float("inf")
+                # With a single incomplete column nothing it is predicted from will change.
+                moved = float("inf") if len(incomplete) > 1 else 0.0
             previous[n] = weights
         # The plan would grow with every round: write the state and go on from there.
         current = pin(current)

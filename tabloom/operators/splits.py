@@ -42,7 +42,7 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
 
 def split_time_series(df: DataFrame, order: str | Sequence[str], k: int = 5) -> DataFrame:
     """Expanding window: fold i (1..k) tests n // (k + 1) rows after everything before them;
-    fold 0 holds the rows that only ever train. The order must be unique."""
+    fold 0 holds the rows that only ever train. The order must be unique and complete."""
     order = listed(order)
     n = df.count()
     size = n // (k + 1)

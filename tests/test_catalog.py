@@ -81,5 +81,5 @@ def test_trained_classifiers_beat_chance(spark, key):
 
 
 def test_chained_imputation_fills_and_keeps_what_was_there(spark):
-    rows = contract.queries()["impute_chained"](spark, FOLDER)
+    rows = contract.queries()["impute_chained_many"](spark, FOLDER)
     assert rows.na.drop().count() == rows.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count()
