@@ -59,6 +59,13 @@ def write_file(uri: str, data: bytes) -> None:
         out.write(data)
 
 
+def spread(files: DataFrame, name: str) -> DataFrame:
+    """A stored list of files over as many tasks as there are files, but no more than four waves of shuffle tasks:
+    adaptive execution would put a list so short into one task."""
+    waves = 4 * int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(max(1, min(files.count(), waves)), name)
+
+
 def components(links: DataFrame, name: str = "links") -> DataFrame:
     """(node, component) for every node of links (a, b): component is the smallest reachable node.
 

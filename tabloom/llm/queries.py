@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, warc
+from . import language, warc, wavelet
 from .common import id_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,12 +24,26 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def tokenizer(name: str) -> str:
+    """The file of a public tokenizer, the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op2_wavelet")
+def op2_wavelet(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, written to wavelet shards and read back."""
+    found = wavelet.token_round_trip(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op4_warc", """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS first_id FROM p)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
-  list_aggregate(list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
-    list_sum(list_transform(range(0, 5), b -> (((strpos('0123456789abcdef', substr(hex, 1 + (5 * k + b) // 4, 1)) - 1)
+  list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    list_sum(list_transform(range(0, 5), lambda b: (((strpos('0123456789abcdef', substr(hex, 1 + (5 * k + b) // 4, 1)) - 1)
       >> (3 - (5 * k + b) % 4)) & 1) << (4 - b))) AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import filesystem, new_file, stored, write_file
+from .common import filesystem, new_file, spread, stored, write_file
 
 # Fixed values of the seekable Zstandard format and of WARC 1.1.
 SKIPPABLE_INDEX = 0x184D2A5D
@@ -228,7 +228,7 @@ def read_warc(bundles: DataFrame) -> DataFrame:
                     if rows:
                         yield batch_of(rows)
 
-    return bundles.select("bundle").repartition("bundle").mapInArrow(read, READ_SCHEMA)
+    return spread(bundles.select("bundle"), "bundle").mapInArrow(read, READ_SCHEMA)
 
 
 def warc_round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
