@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, warc, wavelet
-from .common import id_bucket, table
+from . import language, packing, warc, wavelet
+from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,12 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.fit_languages(docs, id_bucket("doc_id", 4) != 2)
     found = language.predict_language(docs, model, ["doc_id"])
     return found.select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document packed into sequences of 2048 ids."""
+    docs = table(spark, folder, "documents")
+    pieces = packing.document_pieces(docs, tokenizer("byte_bpe_50k.json"))
+    pieces = stored(pieces.withColumn("ids_crc32", F.crc32("ids")), "pieces")
+    return packing.assign_sequences(pieces.drop("ids"))

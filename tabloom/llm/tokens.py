@@ -9,16 +9,15 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from itertools import count, islice
 
 import numpy as np
 
-WORDS_HELD = 1 << 19
-_MARKS = ".,!?;:"
-_SIMPLE = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
-_ADJACENT_SPACE = re.compile(r"\s\s|^\s|\s$|\x00")
+WORDS_HELD = 1 << 17
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SEPARATOR = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizers
 _SEGMENT = re.compile(r"\s*\S+|\s+")
 
@@ -42,34 +41,40 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         self.merge = self.tokenizer.model.tokenize
         self.word_ends, self.held, self.letters = word_ends, held, _byte_letters()
+        self.unit_ids: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.numbers: dict[str, int] = defaultdict(count().__next__)
-        self.unit_ids: dict[str, list[int]] = {}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-    def _unit(self, spelled: str) -> list[int]:
+    def _unit(self, spelled: str) -> bytes:
         """Ids of a text, spelled in the byte alphabet, that the tokenizer would not cut before merging."""
         found = self.unit_ids.get(spelled)
         if found is None:
-            found = self.unit_ids[spelled] = [t.id for t in self.merge(spelled)]
+            if len(self.unit_ids) >= 2 * self.held:
+                self.unit_ids.clear()
+            found = self.unit_ids[spelled] = array("I", [t.id for t in self.merge(spelled)]).tobytes()
         return found
 
-    def _chunk(self, key: str) -> list[int]:
+    def _chunk(self, key: str) -> bytes:
+        """A word of Latin letters and the marks after it are merged apart; anything else goes through the whole tokenizer."""
         word = key.rstrip(_MARKS)
-        if word.isascii() and word.isalpha():
-            ids = self._unit(word.lower() if self.word_ends else self.letters[32] + word)
-            return ids + self._unit(key[len(word):]) if len(word) < len(key) else ids
-        text = key if self.word_ends else key[1:] if key[0] == "\x00" else key if key[0] == "\n" else " " + key
-        simple = _SIMPLE.fullmatch(text)
-        if not simple:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        space, word, marks = simple.groups()
-        word = word.lower() if self.word_ends else space + word
-        ids = self._unit(word.encode().decode("latin-1").translate(self.letters))
+        ids, start = b"", 0
+        if not self.word_ends and word[:1] == "\n":
+            ids, start, word = self._unit(self.letters[10]), 1, word[1:]
+        elif not self.word_ends:
+            start = -1
+        if not word.isalpha() or max(word) > "\xff":
+            text = key if start >= 0 else key[1:] if key[0] == "\x00" else " " + key
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        spelled = word.lower() if self.word_ends else word
+        if not word.isascii():
+            spelled = spelled.encode().decode("latin-1").translate(self.letters)
+        ids = ids + self._unit(spelled if start >= 0 else self.letters[32] + spelled)
+        marks = key[len(word) + max(0, start):]
         return ids + self._unit(marks) if marks else ids
 
     def _keys(self, text: str) -> list[str]:
@@ -77,23 +82,24 @@ class TextEncoder:
             return []
         if _SEPARATOR.search(text):
             return [text if self.word_ends else "\x00" + text]
+        words = text.split()
         if self.word_ends:
-            return text.split()
-        if _ADJACENT_SPACE.search(text):
-            return ["\x00" + s for s in _SEGMENT.findall(text)]
+            return words
         keys = text.replace("\n", " \n").split(" ")
+        if len(keys) != len(words) or "\x00" in text:  # not single spaces and line ends alone
+            return ["\x00" + s for s in _SEGMENT.findall(text)]
         keys[0] = "\x00" + keys[0]
         return keys
 
     def _learn_new(self, known: int) -> None:
         parts = [self._chunk(k) for k in islice(self.numbers, known, None)]
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         total = int(lengths.sum())
         if self.used + total > len(self.flat):
             grown = np.zeros(max(2 * len(self.flat), self.used + total), dtype=np.uint32)
             grown[:self.used] = self.flat[:self.used]
             self.flat = grown
-        self.flat[self.used:self.used + total] = [i for p in parts for i in p]
+        self.flat[self.used:self.used + total] = np.frombuffer(b"".join(parts), dtype=np.uint32)
         starts = self.used + np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(parts) else np.zeros(0, np.int64)
         self.starts = np.concatenate((self.starts, starts.astype(np.int64)))
         self.lengths = np.concatenate((self.lengths, lengths))
