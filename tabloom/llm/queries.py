@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, warc, wavelet
+from . import language, packing, piecewise, warc, wavelet
 from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.document_pieces(docs, tokenizer("byte_bpe_50k.json"))
     pieces = stored(pieces.withColumn("ids_crc32", F.crc32("ids")), "pieces")
     return packing.assign_sequences(pieces.drop("ids"))
+
+
+@query("op6_piecewise")
+def op6_piecewise(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return piecewise.fingerprint_documents(table(spark, folder, "documents"))
