@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, piecewise, warc, wavelet
+from . import jaccard, language, packing, piecewise, warc, wavelet
 from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op6_piecewise(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return piecewise.fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query("op7_prefix_tree")
+def op7_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose five-word shingles are at least three quarters the same."""
+    return jaccard.ngram_components(table(spark, folder, "documents"))
