@@ -30,6 +30,16 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def bounded_batches(df: DataFrame, rows: int = 500, size: int = 4 << 20) -> DataFrame:
+    """df, after limiting the Arrow batches of its session to so many rows and bytes: texts differ in length by orders
+    of magnitude, and a batch of the default 10,000 of them is what a Python worker would have to hold."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    return df
+
+
 def id_bucket(name: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`; a missing id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % modulus

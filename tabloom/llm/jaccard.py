@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored, whole_text
+from .common import bounded_batches, components, stored, whole_text
 from .shingles import WordHashes, shingle_set, words_of
 
 BUCKET_TOKENS = 1 << 20
@@ -46,7 +46,7 @@ def _unpack48(data: bytes) -> np.ndarray:
 
 def set_sizes(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n_shingles, class) of docs (doc_id, text); class is null for an empty set."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
     def sizes(batches):
         import pyarrow as pa

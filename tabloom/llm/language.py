@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import whole_text
+from .common import bounded_batches, whole_text
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
@@ -77,7 +77,7 @@ def fit_languages(docs: DataFrame, learn: Column | None = None, lang: str = "lan
     Every task counts in numpy and returns the buckets it met, which are summed per (language, bucket): no row of
     text is shuffled, and a language with most of the rows is a sum of few partial counts like any other.
     """
-    rows = docs.filter(F.col("text").isNotNull() & F.col(lang).isNotNull())
+    rows = bounded_batches(docs).filter(F.col("text").isNotNull() & F.col(lang).isNotNull())
     rows = rows.filter(learn) if learn is not None else rows
     rows = rows.select(F.col("text").cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
 
@@ -134,7 +134,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, keep: list[str] | No
 
     keep = docs.columns if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], whole_text().alias("_text"))
+    rows = bounded_batches(docs).select(*[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(keep)], whole_text().alias("_text"))
     kept = rows.drop("_text")
     out_schema = kept.withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
     kinds = to_arrow_schema(kept.schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..columns import col
-from .common import stored, whole_text
+from .common import bounded_batches, stored, whole_text
 from .tokens import shared_encoder, text_blocks
 
 SEARCH_WORK = 400_000
@@ -158,7 +158,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_i
     """(doc_id, piece, start, length, ids) of docs (doc_id, text): whole texts encoded, end_id added, and cut into
     pieces of capacity ids of which the first may be shorter. A missing text is empty: one piece with the end id.
     ids are little-endian unsigned 32-bit integers."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
     def encode(batches):
         import pyarrow as pa

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import bounded_batches, stored, whole_text
 
 WINDOW = 7
 MIN_BLOCK = 3
@@ -134,7 +134,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = rows.repartitionByRange(order[0]).sortWithinPartitions(*order)
     schema = ", ".join(f"{n} {k}" for n, k in _OUT)
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import filesystem, new_file, spread, stored, write_file
+from .common import bounded_batches, filesystem, new_file, spread, stored, write_file
 
 # Fixed values of the seekable Zstandard format and of WARC 1.1.
 SKIPPABLE_INDEX = 0x184D2A5D
@@ -171,7 +171,7 @@ def write_warc(pages: DataFrame, folder: str, min_bytes: int = 0, frame_bytes: i
     bundle.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
+    rows = bounded_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         payload.alias("html"), F.sha1(payload.cast("binary")).alias("digest"))
     chosen = rows.groupBy("digest").agg(F.max("page_id").alias("first_id"))
     refers = F.when((F.octet_length("html") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))

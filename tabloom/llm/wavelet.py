@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import filesystem, new_file, spread, stored, whole_text, write_file
+from .common import bounded_batches, filesystem, new_file, spread, stored, whole_text, write_file
 from .tokens import shared_encoder, text_blocks
 
 MAGIC = b"TBWM"
@@ -167,7 +167,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, word_ends: bool =
     it holds shard_tokens ids, so memory does not depend on the partition. A document is never split. A missing text is
     empty, a missing doc_id comes first, rows that repeat a doc_id stand in the order of their texts.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    rows = bounded_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches):
