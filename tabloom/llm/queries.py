@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, packing, piecewise, warc, wavelet
+from . import jaccard, language, packing, piecewise, toxicity, warc, wavelet
 from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,17 @@ def op6_piecewise(spark: SparkSession, folder: str) -> DataFrame:
 def op7_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose five-word shingles are at least three quarters the same."""
     return jaccard.ngram_components(table(spark, folder, "documents"))
+
+
+def toxicity_net(spark: SparkSession, folder: str, docs: DataFrame) -> toxicity.ToxicityNet:
+    """The network, fitted on labelled rows that are not held out."""
+    texts, marks = toxicity.labelled_sample(docs, table(spark, folder, "labels"), id_bucket("doc_id", 4) != 2)
+    return toxicity.fit_toxicity(texts, marks)
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = table(spark, folder, "documents")
+    found = toxicity.score_toxicity(docs, toxicity_net(spark, folder, docs), ["doc_id"])
+    return found.select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
