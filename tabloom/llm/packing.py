@@ -208,7 +208,7 @@ def assign_sequences(pieces: DataFrame, capacity: int = 2048, work: int = SEARCH
         first += copies
     schema = "_length long, _from long, _to long, _each long, _first long, _offset long"
     plan = spark.createDataFrame(places, schema)
-    salts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*[c for c in ("doc_id", "piece") if c in names] or ["length"]), F.lit(salts)))
     groups = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)

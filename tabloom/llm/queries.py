@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, language, packing, piecewise, toxicity, warc, wavelet
+from . import attention, jaccard, language, packing, piecewise, toxicity, warc, wavelet
 from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = toxicity.score_toxicity(docs, toxicity_net(spark, folder, docs), ["doc_id"])
     return found.select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op9_attention")
+def op9_attention(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document."""
+    return attention.score_documents(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
