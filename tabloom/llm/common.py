@@ -79,29 +79,23 @@ def spread(files: DataFrame, name: str) -> DataFrame:
 def components(links: DataFrame, name: str = "links") -> DataFrame:
     """(node, component) for every node of links (a, b): component is the smallest reachable node.
 
-    Alternates large-star and small-star steps: every node hooks its neighbours to the smallest of them, until
-    nothing changes. The number of rounds is logarithmic in the longest path. A hot node is aggregated before the
-    shuffle, its links are joined by the node itself, which adaptive execution can split. Every round is
-    written to the shared folder.
+    Alternates large-star and small-star steps: every node hooks its neighbours to the smallest of them, until the
+    links are stars. The number of rounds is logarithmic in the longest path. A hot node is aggregated before the
+    shuffle, its links are joined by the node itself, which adaptive execution can split. Every round is written to
+    the shared folder.
     """
-    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    edges = stored(edges, name)
-    before = None
+    edges = stored(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), name)
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
-        large = (both.filter("b > a").join(least, "a")
-                 .select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct())
-        small_min = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(small_min, "a")
-        small = (joined.select("a", F.col("m").alias("b"))
-                 .union(joined.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-                 .filter("a <> b").distinct())
-        edges = stored(small, name)
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
+        least = both.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        # A node hangs on a root if its only neighbour is smaller; stars are all there is if nothing else hangs anywhere.
+        if not edges.join(least.filter("m < a AND n > 1"), "a", "left_semi").head(1):
             break
-        before = state
+        large = (edges.select(F.col("b").alias("u"), F.col("a").alias("v")).join(least.select(F.col("a").alias("u"), F.least("a", "m").alias("m")), "u")
+                 .select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
+        small = large.groupBy("a").agg(F.min("b").alias("m"))
+        joined = large.join(small, "a")
+        edges = stored(joined.select(F.inline(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))))
+                       .filter("a <> b").distinct(), name)
     up = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return up.union(roots)
+    return up.union(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

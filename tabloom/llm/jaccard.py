@@ -5,10 +5,10 @@
    single class can be in no intersection, so a class keeps the others only, and a class of which fewer than the
    threshold's share is left cannot link with anything.
 3. Sets are ordered by (number of classes, hash), rarest first. Two sets that link share an n-gram in their prefixes.
-4. Candidates are verified in a prefix tree: the candidates of one set come in the order of their sets, so that the
-   overlap found on a shared path is kept and a subtree that cannot reach the needed overlap is left.
-   Copies in large groups are linked to one leader per n-gram first; all other pairs are then only
-   looked at across what is not yet connected, so a group of near copies costs its size and not its square.
+4. Sets that touch through such n-grams, directly or by way of others, are a cluster. The sets of a cluster are put
+   into a prefix tree, and each is a probe for it: an overlap is found once for all sets that share a path, and a
+   subtree is left when what is still to come in it cannot make up the overlap needed. A probe looks only at sets
+   that are not connected with it yet, so near copies are looked at once and no pairs are ever written out.
 
 An n-gram is its 48-bit hash and a class its 64-bit set hash.
 """
@@ -24,7 +24,8 @@ from .shingles import WordHashes, shingle_set, words_of
 
 BUCKET_TOKENS = 1 << 20
 BLOCK_TOKENS = 1 << 20
-PROBE_ROWS = 4096
+TREE_TOKENS = 1 << 21
+EDGE = 16
 TOKEN_BITS = 48
 
 
@@ -183,57 +184,131 @@ def prefix_entries(sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     return sets.filter(length > 0).select("class", F.explode(pieces).alias("token"))
 
 
-def verify(pairs: DataFrame, sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Links (a, b) among the candidate pairs (probe, cand), found in prefix trees.
+class PrefixTree:
+    """N-gram sets in one tree, EDGE n-grams to an edge; sets must come in the order of their n-grams.
 
-    Rows of a probe come in the byte order of their sets, which is the order of a walk through the tree of all its
-    candidates. At most PROBE_ROWS of them are in one tree: a probe with more of them has several.
+    A level holds the distinct prefixes of (level + 1) * EDGE n-grams: their last n-grams, the sets below them, and the
+    fewest n-grams and the most that are still to come in those.
     """
-    num, den = threshold
-    many = pairs.groupBy("probe").agg(F.ceil(F.count(F.lit(1)) / PROBE_ROWS).cast("long").alias("trees"))
-    pairs = pairs.join(many, "probe").withColumn("tree", F.pmod(F.xxhash64("cand"), F.col("trees")))
-    probes = many.select("probe", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1)).alias("tree"))
-    heads = probes.join(sets.withColumnRenamed("class", "probe"), "probe").select("probe", "tree", F.lit(None).cast("long").alias("cand"), "n", "tokens")
-    rows = heads.union(pairs.join(sets.withColumnRenamed("class", "cand"), "cand").select("probe", "tree", "cand", "n", "tokens"))
-    rows = rows.repartition("probe", "tree").sortWithinPartitions("probe", "tree", F.col("cand").isNotNull(), "tokens")
-
-    def walk(batches):
+
+    def __init__(self, sizes: np.ndarray, sets: list[np.ndarray]):
+        self.sizes, self.lengths = sizes, np.array([len(s) for s in sets])
+        flat = np.concatenate(sets)
+        self.names, local = np.unique(flat, return_inverse=True)
+        starts = np.cumsum(self.lengths) - self.lengths
+        self.sets = np.split(local, starts[1:])
+        common = np.zeros(len(sets), dtype=np.int64)
+        for i in range(1, len(sets)):
+            width = min(self.lengths[i - 1], self.lengths[i])
+            differ = np.flatnonzero(self.sets[i - 1][:width] != self.sets[i][:width])
+            common[i] = differ[0] if len(differ) else width
+        padded = np.append(local, np.full(EDGE, len(self.names)))
+        self.levels = []
+        node_of = np.zeros(len(sets), dtype=np.int64)
+        for depth in range(0, int(self.lengths.max()), EDGE):
+            rows = np.flatnonzero(self.lengths > depth)
+            end = np.minimum(self.lengths[rows], depth + EDGE)
+            joined = np.concatenate(([False], (rows[1:] == rows[:-1] + 1) & (common[rows[1:]] >= end[1:]) & (end[1:] == end[:-1])))
+            first = np.flatnonzero(~joined)
+            node = np.cumsum(~joined) - 1
+            at = starts[rows[first]][:, None] + depth + np.arange(EDGE)
+            grams = np.where(np.arange(EDGE) < (end[first] - depth)[:, None], padded[at], len(self.names))
+            ended = self.lengths[rows] <= depth + EDGE
+            self.levels.append({
+                "grams": grams, "last": local[starts[rows[first]] + end[first] - 1], "parent": node_of[rows[first]], "low": rows[first],
+                "high": np.append(rows[first][1:], rows[-1] + 1), "size": np.minimum.reduceat(sizes[rows], first),
+                "left": np.maximum.reduceat(self.lengths[rows], first) - end[first], "ended": rows[ended], "ended_at": node[ended]})
+            node_of = np.zeros(len(sets), dtype=np.int64)
+            node_of[rows] = node
+
+    def similar(self, probe: int, active: np.ndarray, threshold: tuple[int, int]) -> np.ndarray:
+        """The active sets that link with set `probe`."""
+        num, den = threshold
+        own, size = self.sets[probe], self.sizes[probe]
+        within = np.zeros(len(self.names) + 1, dtype=bool)
+        within[own] = True
+        before = np.concatenate(([0], np.cumsum(active)))
+        found, kept, overlap = [], np.ones(1, dtype=bool), np.zeros(1, dtype=np.int64)
+        for depth, level in enumerate(self.levels):
+            parent = level["parent"] if depth else np.zeros(len(level["low"]), dtype=np.int64)
+            nodes = np.flatnonzero(kept[parent])
+            nodes = nodes[before[level["high"][nodes]] > before[level["low"][nodes]]]
+            if not len(nodes):
+                break
+            both = overlap[parent[nodes]] + within[level["grams"][nodes]].sum(axis=1)
+            to_come = np.minimum(level["left"][nodes], len(own) - np.searchsorted(own, level["last"][nodes], side="right"))
+            stay = (den + num) * (both + to_come) >= num * (size + level["size"][nodes])
+            nodes, both = nodes[stay], both[stay]
+            kept, overlap = np.zeros(len(level["low"]), dtype=bool), np.zeros(len(level["low"]), dtype=np.int64)
+            kept[nodes], overlap[nodes] = True, both
+            done = kept[level["ended_at"]]
+            rows, shared = level["ended"][done], overlap[level["ended_at"][done]]
+            found.append(rows[active[rows] & (den * shared >= num * (size + self.sizes[rows] - shared))])
+        return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
+
+
+def tree_links(sizes: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, threshold: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links that connect all sets that are connected: each set is a probe for the later ones that are not connected
+    with it yet; with `side`, only for those of the other side."""
+    tree = PrefixTree(sizes, sets)
+    part, links = np.arange(len(sets)), []
+    later = np.zeros(len(sets), dtype=bool)
+    for probe in range(len(sets) - 1):
+        later[:] = part != part[probe]
+        later[:probe + 1] = False
+        if side is not None:
+            later &= side != side[probe]
+        if not later.any():
+            continue
+        for other in tree.similar(probe, later, threshold):
+            if part[other] != part[probe]:
+                links.append((probe, int(other)))
+                part[part == part[other]] = part[probe]
+    return links
+
+
+def cluster_links(sets: DataFrame, clusters: DataFrame, threshold: tuple[int, int], tree_tokens: int = TREE_TOKENS) -> DataFrame:
+    """Links (a, b) that connect what is connected within clusters (node, component) of candidates.
+
+    A cluster of up to tree_tokens n-grams is one tree. A larger one is cut into blocks; every two blocks meet in a tree
+    of their own, so memory is bounded whatever the cluster's size.
+    """
+    members = sets.join(clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster")), "class")
+    blocks = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("tokens") / 8) / tree_tokens).cast("int").alias("blocks"))
+    members = members.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    other = F.sequence(F.lit(0), F.col("blocks") - 1)
+    rows = (members.withColumn("other", F.explode(other))
+            .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "n", "tokens"))
+    rows = rows.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "tokens")
+
+    def link(batches):
         import pyarrow as pa
 
-        here, own, own_n = None, np.zeros(0, np.uint64), 0
-        path, overlap = np.zeros(0, np.uint64), np.zeros(1, np.int64)
+        here, held = None, []
+
+        def links():
+            if len(held) < 2:
+                return [], []
+            owns, classes, ns, tokens = zip(*held)
+            side = np.array(owns) if here[1] != here[2] else None
+            sets = [np.frombuffer(t, ">u8").astype(np.uint64) for t in tokens]
+            pairs = tree_links(np.array(ns), sets, side, threshold)
+            return [classes[a] for a, _ in pairs], [classes[b] for _, b in pairs]
+
         for batch in batches:
             a, b = [], []
-            for probe, tree, cand, n, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-                keys = np.frombuffer(tokens, ">u8").astype(np.uint64)
-                if cand is None:
-                    here, own, own_n = (probe, tree), keys, n
-                    path, overlap = np.zeros(0, np.uint64), np.zeros(1, np.int64)
-                    continue
-                assert here == (probe, tree)
-                need = -(-num * (own_n + n) // (den + num))
-                if den * min(n, own_n) < num * max(n, own_n):
-                    continue
-                width = min(len(path), len(keys))
-                differ = np.flatnonzero(path[:width] != keys[:width])
-                shared = int(differ[0]) if len(differ) else width
-                # overlap[i]: how many of the first i n-grams of the path the probe has too
-                depth, at = shared, int(np.searchsorted(own, keys[shared - 1], side="right")) if shared else 0
-                if overlap[shared] + min(len(keys) - depth, len(own) - at) < need:
-                    path, overlap = keys[:shared], overlap[:shared + 1]
-                    continue
-                rest = keys[shared:]
-                spot = np.searchsorted(own, rest)
-                hit = own[np.minimum(spot, len(own) - 1)] == rest if len(own) else np.zeros(len(rest), bool)
-                overlap = np.concatenate((overlap[:shared + 1], overlap[shared] + np.cumsum(hit)))
-                path = keys
-                both = int(overlap[-1])
-                if den * both >= num * (own_n + n - both):
-                    a.append(probe)
-                    b.append(cand)
+            for cluster, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (cluster, i, j) != here:
+                    more = links()
+                    a += more[0]
+                    b += more[1]
+                    here, held = (cluster, i, j), []
+                held.append(row)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        more = links()
+        yield pa.RecordBatch.from_arrays([pa.array(more[0], pa.int64()), pa.array(more[1], pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(walk, "a long, b long")
+    return rows.mapInArrow(link, "a long, b long")
 
 
 def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (3, 4)) -> DataFrame:
@@ -249,31 +324,10 @@ def ngram_components(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (
     buckets = max(1, -(-total // BUCKET_TOKENS))
     sets = stored(shared_ngrams(docs, sizes, k, buckets, threshold), "shared-ngrams")
     entries = stored(prefix_entries(sets, threshold), "prefixes")
-    several = entries.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-
-    def led(leader: str, tokens: DataFrame) -> DataFrame:
-        return (entries.join(tokens.select("token", F.col(leader).alias("probe")), "token").filter("class <> probe")
-                .select("probe", F.col("class").alias("cand")).distinct())
-
-    def grouped(links: DataFrame) -> DataFrame:
-        return stored(components(links), "classes")
-
-    links = stored(verify(led("low", several), sets, threshold), "links")
-    for final in (False, True):
-        parts = grouped(links)
-        named = (entries.join(parts.withColumnRenamed("node", "class"), "class", "left")
-                 .withColumn("component", F.coalesce("component", "class")))
-        open_ = named.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most"),
-                                           F.min("class").alias("low"), F.max("class").alias("high")).filter("least < most")
-        if not final:
-            pairs = led("high", open_)
-        else:
-            left = stored(named.join(open_.select("token"), "token", "left_semi"), "open")
-            right = left.select("token", F.col("class").alias("cand"), F.col("component").alias("other"))
-            pairs = (left.join(right, "token").filter("component < other")
-                     .select(F.col("class").alias("probe"), "cand").distinct())
-        links = links.union(stored(verify(pairs, sets, threshold), "links"))
-    parts = grouped(links)
+    least = entries.groupBy("token").agg(F.min("class").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    touching = entries.join(least, "token").select("a", F.col("class").alias("b")).filter("a <> b").distinct()
+    clusters = stored(components(touching), "clusters")
+    parts = stored(components(stored(cluster_links(sets, clusters, threshold), "links")), "classes")
     named = (sizes.join(parts.withColumnRenamed("node", "class"), "class", "left")
              .select("doc_id", "n_shingles", F.coalesce("component", "class").alias("component")))
     least = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
-from itertools import count, islice
-
 import numpy as np
 
 WORDS_HELD = 1 << 17
@@ -16,6 +13,21 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+class Numbers(dict):
+    """Numbers things as they are first asked for; `fresh` holds those not yet taken care of."""
+
+    def __init__(self):
+        self.fresh: list = []
+
+    def __missing__(self, key):
+        self.fresh.append(key)
+        self[key] = number = len(self)
+        return number
+
+    def of(self, things: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, things), np.int64, len(things))
+
+
 class WordHashes:
     """64-bit hashes of words; a word is hashed when first met, and the lookup emptied when it reaches a fixed size."""
 
@@ -24,23 +36,20 @@ class WordHashes:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[bytes, int] = defaultdict(count().__next__)
-        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.numbers, self.hashes = Numbers(), np.zeros(1024, dtype=np.uint64)
 
     def of(self, words: list[bytes]) -> np.ndarray:
         import xxhash
 
         if len(self.numbers) > self.held:
             self._forget()
-        known = len(self.numbers)
-        at = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
-        if len(self.numbers) > known:
-            new = np.fromiter(map(xxhash.xxh3_64_intdigest, islice(self.numbers, known, None)), np.uint64, len(self.numbers) - known)
-            if len(self.numbers) > len(self.hashes):
-                grown = np.zeros(max(1024, 2 * len(self.numbers)), dtype=np.uint64)
-                grown[:known] = self.hashes[:known]
-                self.hashes = grown
-            self.hashes[known:known + len(new)] = new
+        at = self.numbers.of(words)
+        if fresh := self.numbers.fresh:
+            end = len(self.numbers)
+            if end > len(self.hashes):
+                self.hashes = np.concatenate((self.hashes, np.zeros(end, dtype=np.uint64)))
+            self.hashes[end - len(fresh):end] = np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64, len(fresh))
+            fresh.clear()
         return self.hashes[at]
 
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import count, islice
 
 import numpy as np
 
+from .shingles import Numbers
+
 WORDS_HELD = 1 << 17
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _SEPARATOR = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizers
@@ -45,7 +45,7 @@ class TextEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.numbers = Numbers()
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
@@ -91,8 +91,9 @@ class TextEncoder:
         keys[0] = "\x00" + keys[0]
         return keys
 
-    def _learn_new(self, known: int) -> None:
-        parts = [self._chunk(k) for k in islice(self.numbers, known, None)]
+    def _learn_new(self) -> None:
+        parts = [self._chunk(k) for k in self.numbers.fresh]
+        self.numbers.fresh.clear()
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         total = int(lengths.sum())
         if self.used + total > len(self.flat):
@@ -109,14 +110,10 @@ class TextEncoder:
         """(ids of all texts in a row, number of ids of each)."""
         if len(self.numbers) > self.held:
             self._forget()
-        known, words, per_text = len(self.numbers), [], []
-        for text in texts:
-            keys = self._keys(text)
-            words.append(np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys)))
-        if len(self.numbers) > known:
-            self._learn_new(known)
-        for w in words:
-            per_text.append(int(self.lengths[w].sum()))
+        words = [self.numbers.of(self._keys(text)) for text in texts]
+        if self.numbers.fresh:
+            self._learn_new()
+        per_text = [int(self.lengths[w].sum()) for w in words]
         return self._gather(np.concatenate(words) if words else np.zeros(0, np.int64)), np.array(per_text, dtype=np.int64)
 
     def _gather(self, words: np.ndarray) -> np.ndarray:

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass
-from itertools import count, islice
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, whole_text
+from .shingles import Numbers
 
 WINDOW, STRIDE = 32, 24
 BUCKETS, WIDTH, HIDDEN = 1 << 14, 16, 12
@@ -190,9 +189,9 @@ class _Sample:
     """Labelled texts as word numbers, with the features of the distinct words."""
 
     def __init__(self, texts: list[str]):
-        numbers: dict[str, int] = defaultdict(count().__next__)
+        numbers = Numbers()
         numbers[""]
-        self.docs = [np.fromiter((numbers[w] for w in split_words(t)), np.int64) for t in texts]
+        self.docs = [numbers.of(split_words(t)) for t in texts]
         self.features, self.lengths = word_features(list(numbers))
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
 
@@ -265,20 +264,19 @@ class ToxicityScorer:
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[str, int] = defaultdict(count().__next__)
+        self.numbers = Numbers()
         self.table = {way: np.zeros((0, 3 * HIDDEN), dtype=np.float32) for way in "fb"}
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """The score of a text is that of its most toxic window; all windows of all texts are scored."""
         if len(self.numbers) > self.held:
             self._forget()
-        known = len(self.numbers)
         self.numbers[""]
-        docs = [np.fromiter(map(self.numbers.__getitem__, w), np.int64, len(w)) for w in map(split_words, texts)]
-        fresh = list(islice(self.numbers, known, None))
-        if fresh:
+        docs = [self.numbers.of(split_words(t)) for t in texts]
+        if fresh := self.numbers.fresh:
             made = self.net.inputs(self.net.vectors(*word_features(fresh)))
             self.table = {way: np.concatenate((self.table[way], made[way])) for way in "fb"}
+            fresh.clear()
         starts = [windows_of(len(d)) for d in docs]
         owner = np.repeat(np.arange(len(docs)), [len(s) for s in starts])
         base = np.concatenate(([0], np.cumsum([len(d) for d in docs])[:-1])) if docs else np.zeros(0, np.int64)
