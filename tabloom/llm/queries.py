@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, jaccard, language, packing, piecewise, toxicity, warc, wavelet
+from . import attention, jaccard, language, neighbours, packing, piecewise, toxicity, warc, wavelet
 from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op9_attention(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document."""
     return attention.score_documents(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query("op1_descent")
+def op1_descent(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors, whatever their labels."""
+    return neighbours.near_links(table(spark, folder, "embeddings"))
