@@ -68,8 +68,8 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document packed into sequences of 2048 ids."""
     docs = table(spark, folder, "documents")
     pieces = packing.document_pieces(docs, tokenizer("byte_bpe_50k.json"))
-    pieces = stored(pieces.withColumn("ids_crc32", F.crc32("ids")), "pieces")
-    return packing.assign_sequences(pieces.drop("ids"))
+    pieces = stored(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces")
+    return packing.assign_sequences(pieces)
 
 
 @query("op6_piecewise")
@@ -84,17 +84,12 @@ def op7_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.ngram_components(table(spark, folder, "documents"))
 
 
-def toxicity_net(spark: SparkSession, folder: str, docs: DataFrame) -> toxicity.ToxicityNet:
-    """The network, fitted on labelled rows that are not held out."""
-    texts, marks = toxicity.labelled_sample(docs, table(spark, folder, "labels"), id_bucket("doc_id", 4) != 2)
-    return toxicity.fit_toxicity(texts, marks)
-
-
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document."""
     docs = table(spark, folder, "documents")
-    found = toxicity.score_toxicity(docs, toxicity_net(spark, folder, docs), ["doc_id"])
+    texts, marks = toxicity.labelled_sample(docs, table(spark, folder, "labels"), id_bucket("doc_id", 4) != 2)
+    found = toxicity.score_toxicity(docs, toxicity.fit_toxicity(texts, marks), ["doc_id"])
     return found.select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
