@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, jaccard, language, neighbours, packing, piecewise, toxicity, warc, wavelet
+from . import attention, jaccard, language, neighbours, packing, piecewise, sentences, toxicity, warc, wavelet
 from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,11 @@ def op9_attention(spark: SparkSession, folder: str) -> DataFrame:
 def op1_descent(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate vectors, whatever their labels."""
     return neighbours.near_links(table(spark, folder, "embeddings"))
+
+
+@query("op3_segmentation")
+def op3_segmentation(spark: SparkSession, folder: str) -> DataFrame:
+    """The two best segmentations of every document, and the text that each decodes to."""
+    found = sentences.segment_documents(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
+    return found.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
