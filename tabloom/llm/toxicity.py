@@ -14,7 +14,7 @@ from .shingles import Numbers
 WINDOW, STRIDE = 32, 24
 BUCKETS, WIDTH, HIDDEN = 1 << 14, 16, 12
 ORDERS = (3, 4, 5)
-SAMPLE_ROWS, SAMPLE_CHARS = 1500, 20_000
+SAMPLE_ROWS, SAMPLE_CHARS = 1200, 20_000
 """Bounds on the labelled rows that the network is fitted on: so many texts labelled 1, three times as many labelled
 0, none longer than SAMPLE_CHARS. Scoring has no bound."""
 WORDS_HELD = 1 << 16
@@ -192,9 +192,17 @@ class _Sample:
         numbers = Numbers()
         numbers[""]
         self.docs = [numbers.of(split_words(t)) for t in texts]
-        self.features, self.lengths = word_features(list(numbers))
+        words = list(numbers)
+        made = [word_features(words[lo:lo + 8192]) for lo in range(0, len(words), 8192)]
+        self.features = np.concatenate([f.astype(np.uint16) for f, _ in made])
+        self.lengths = np.concatenate([n for _, n in made])
         self.starts = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
 
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Features of some words in a row, and how many each has."""
+        return (np.concatenate([self.features[self.starts[w]:self.starts[w] + n] for w, n in zip(words, self.lengths[words])]).astype(np.int64),
+                self.lengths[words])
+
     def window(self, doc: int, start: int) -> np.ndarray:
         part = self.docs[doc][start:start + WINDOW]
         return np.concatenate((part, np.full(WINDOW - len(part), -1)))
@@ -212,17 +220,21 @@ def fit_toxicity(texts: list[str], labels: list[int], epochs: int = 12, steps: i
     starts = [windows_of(len(d)) for d in sample.docs]
     net.p["bias"][0] = np.log((target.sum() + 1) / (len(target) - target.sum() + 1))
     adam = _Adam(net.p, rate)
-    every = [(d, s) for d, ss in enumerate(starts) for s in ss]
-    owner = np.array([d for d, _ in every])
     epochs, worst = max(epochs, -(-steps * batch // (2 * len(starts)))), []
 
     def most_toxic() -> list[tuple[int, int]]:
-        table = net.inputs(net.vectors(sample.features, sample.lengths))
-        scores = np.concatenate([_scored(net, table, np.stack([sample.window(*w) for w in every[lo:lo + 2048]], axis=1))
-                                 for lo in range(0, len(every), 2048)])
-        order = np.lexsort((-scores, owner))
-        first = np.concatenate(([True], owner[order][1:] != owner[order][:-1]))
-        return [every[i] for i in order[first]]
+        """The highest window of each text, a few texts at a time."""
+        out = []
+        for lo in range(0, len(starts), 100):
+            some = [(d, s) for d in range(lo, min(lo + 100, len(starts))) for s in starts[d]]
+            words = np.stack([sample.window(*w) for w in some], axis=1)
+            met, local = np.unique(words, return_inverse=True)
+            table = net.inputs(net.vectors(*sample.of(np.maximum(met, 0))))
+            scores = _scored(net, table, np.where(words >= 0, local.reshape(words.shape), -1))
+            owner = np.array([d for d, _ in some])
+            order = np.lexsort((-scores, owner))
+            out += [some[i] for i in order[np.concatenate(([True], np.diff(owner[order]) > 0))]]
+        return out
 
     for epoch in range(epochs):
         noisy = epoch < epochs // 3
@@ -238,8 +250,7 @@ def fit_toxicity(texts: list[str], labels: list[int], epochs: int = 12, steps: i
             mask = words >= 0
             mask[0] = True
             met, local = np.unique(np.maximum(words, 0), return_inverse=True)
-            lengths = sample.lengths[met]
-            features = np.concatenate([sample.features[sample.starts[w]:sample.starts[w] + n] for w, n in zip(met, lengths)])
+            features, lengths = sample.of(met)
             y = target[[chosen[i][0] for i in at]]
             g, d_vectors = net.gradients(net.vectors(features, lengths), local.reshape(words.shape), mask, y, np.ones(len(y), np.float32))
             rows, back = np.unique(features, return_inverse=True)
