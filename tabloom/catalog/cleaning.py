@@ -54,7 +54,7 @@ def _(t):
         "l_orderkey", "l_linenumber", "l_discount", "l_quantity",
         F.when(F.col("l_returnflag") != "A", F.col("l_extendedprice")).alias("l_extendedprice"),
         F.when(F.col("l_linestatus") == "F", F.col("l_extendedprice") * F.col("l_tax")).alias("l_taxed"))
-    return E.impute_chained(lines, ["l_discount", "l_quantity", "l_extendedprice", "l_taxed"], rounds=4)
+    return E.impute_chained(lines, ["l_discount", "l_quantity", "l_extendedprice", "l_taxed"])
 
 
 @query("rare_to_others", """

@@ -100,7 +100,9 @@ def _(t):
     return rounded(M.f1_scores(t.scored, "y", "yhat"))
 
 
-# ---- models: small boosters, so that a query takes seconds -----------------------------
+# ---- models ----------------------------------------------------------------------------
+# Numbers of trees and depths are hyperparameters; those of the queries are here, the defaults of the operators are
+# in operators/models.py. Rows, features, folds and trials are all there are.
 
 _SMALL = {"maxIter": 5, "maxDepth": 4, "stepSize": 0.3, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85"}
 _LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -152,8 +154,8 @@ def _(t):
 
 @query("hyperparam_search")
 def _(t):
-    space = {"maxIter": ("step", 2, 4, 1), "maxDepth": ("step", 2, 3, 1), "stepSize": ("float", 0.05, 0.3)}
-    return L.hyperparam_search(_vectors(t), _VECTOR_FEATURES[:16], "vec_id", "label", space, trials=3, k=3)
+    space = {**L.SEARCH_SPACE, "maxIter": ("step", 2, 4, 1), "maxDepth": ("step", 2, 3, 1), "stepSize": ("float", 0.05, 0.3)}
+    return L.hyperparam_search(_vectors(t), _VECTOR_FEATURES, "vec_id", "label", space)
 
 
 @query("feature_importance")
@@ -164,7 +166,7 @@ def _(t):
 @query("feature_time_consistency")
 def _(t):
     return L.feature_time_consistency(
-        _lines(t), ["l_quantity", "l_discount"], "label", "month", 4, {"maxIter": 2, "maxDepth": 2},
+        _lines(t), _LINE_FEATURES, "label", "month", 4, {"maxIter": 2, "maxDepth": 2},
         partitions=t.spark.sparkContext.defaultParallelism)
 
 
@@ -176,7 +178,7 @@ def _(t):
 @query("mlp_train_score")
 def _(t):
     split = split_stratified(_vectors(t), "vec_id", "label", 0.33, 7)
-    return L.mlp_train_score(split, _VECTOR_FEATURES, "label", max_iter=30)
+    return L.mlp_train_score(split, _VECTOR_FEATURES, "label")
 
 
 @query("submission", """
@@ -241,7 +243,7 @@ def _(t):
         *[F.col(c) for c in t.lineitem.columns if c != "l_extendedprice"],
         _large().alias("label"))
     order = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    return evaluate_over_time(lines, "l_orderkey", "label", "l_shipdate", order, 3, {**_SMALL, "maxIter": 3})
+    return evaluate_over_time(lines, "l_orderkey", "label", "l_shipdate", order, 5, {**_SMALL, "maxIter": 3})
 
 
 @query("feature_consistency_report")
@@ -249,4 +251,4 @@ def _(t):
     lines = t.lineitem.select(
         "l_orderkey", "l_quantity", "l_tax", "l_shipdate", _large().alias("label"),
         F.when(F.col("l_returnflag") == "A", F.col("l_discount")).alias("l_discount"))
-    return consistent_features(lines, "l_orderkey", "label", "l_shipdate", 3, {"maxIter": 2, "maxDepth": 2})
+    return consistent_features(lines, "l_orderkey", "label", "l_shipdate", 4, {"maxIter": 2, "maxDepth": 2})

@@ -38,6 +38,8 @@ from ..sources import csv_sink
 DEFAULT_BOOSTER = {
     "maxIter": 512, "maxDepth": 9, "stepSize": 0.064, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85",
 }
+# The booster of the feature check, 31 leaves being depth 5.
+CONSISTENCY_BOOSTER = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1}
 
 
 def booster(label: str, params: dict | None = None, seed: int = 0) -> GBTClassifier:
@@ -167,7 +169,7 @@ def feature_time_consistency(df: DataFrame, names: Sequence[str], label: str, gr
                              seed: int = 0, partitions: int | None = None, parallelism: int = 4) -> DataFrame:
     """(feature, auc, flagged): does one feature alone, trained on some periods, still separate
     the classes in others? Mean AUC over group folds; below one half it is flagged."""
-    params = {"maxIter": 10, "maxDepth": 3} if params is None else params
+    params = CONSISTENCY_BOOSTER if params is None else params
     folds = pin(group_folds(df.select(col(group)), group, k))
     rows = _spread(attach(df.select(*[col(n) for n in names], col(label), col(group)), folds, group), partitions).persist()
 

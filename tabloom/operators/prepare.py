@@ -40,7 +40,7 @@ class FilledColumns:
 
 
 def fit_mean(df: DataFrame, names: Sequence[str]) -> FilledColumns:
-    row = _wide(df, names, {"m": F.avg}).first()
+    row = _wide(df, names, {"m": F.avg}).first() if names else None
     return FilledColumns({n: row[f"{n}|m"] for n in names})
 
 
@@ -51,9 +51,13 @@ def impute_mean(df: DataFrame, names: Sequence[str], fit_on: DataFrame | None =
 
 
 def fit_mode(df: DataFrame, names: Sequence[str]) -> FilledColumns:
-    """Most frequent value per column, the smallest text on ties; all columns in one job."""
+    """Most frequent value per column, on ties the smallest in the column's own order; all columns in one job."""
+    if not names:
+        return FilledColumns({})
     counts = melt(df, names, as_type="string").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c"))
-    best = counts.groupBy("column_name").agg(F.min(F.struct((-F.col("c")).alias("c"), "value")).alias("b"))
+    numbers = [n for n in names if isinstance(df.schema[n].dataType, T.NumericType)]
+    rank = F.when(F.col("column_name").isin(numbers), F.expr("try_cast(value AS double)"))
+    best = counts.groupBy("column_name").agg(F.min(F.struct((-F.col("c")).alias("c"), rank.alias("rank"), "value")).alias("b"))
     found = {r["column_name"]: r["b"]["value"] for r in best.collect()}
     return FilledColumns({n: found.get(n) for n in names})
 
@@ -107,6 +111,8 @@ def impute_chained(df: DataFrame, names: Sequence[str], rounds: int = 10, tol: f
 def rare_to_others(df: DataFrame, thresholds: dict[str, int], other: str = "others") -> DataFrame:
     """Values seen fewer than the column's threshold become one category; missing ones stay."""
     names = list(thresholds)
+    if not names:
+        return df
     limit = F.lit(None).cast("long")
     for n, t in thresholds.items():
         limit = F.when(F.col("column_name") == n, F.lit(t)).otherwise(limit)
@@ -133,6 +139,8 @@ class LabelCodes:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Replace the columns by their codes; a value not seen in the fit becomes NULL."""
+        if not self.names:
+            return df
         out = df.withColumns({n: fn_as_string(col(n)) for n in self.names})
         for n, own in column_parts(self.codes.withColumnRenamed("code", "_c"), self.names).items():
             out = attach(out, own, n, null_safe=False).withColumn(n, F.col("_c")).drop("_c")
@@ -142,6 +150,8 @@ class LabelCodes:
 def fit_label_codes(df: DataFrame, names: Sequence[str]) -> LabelCodes:
     """Code = position of the text among the column's sorted distinct texts. All columns share
     one distinct and one range sort, so that a high-cardinality column is no single task."""
+    if not names:
+        return LabelCodes((), df.sparkSession.createDataFrame([], "column_name string, value string, code int"))
     texts = df.select(*[fn_as_string(col(n)).alias(n) for n in names])
     distinct = melt(texts, names, as_type="string").distinct()
     return LabelCodes(tuple(names), pin(ordered_index(distinct, ["value"], "column_name", "code")))
@@ -161,6 +171,8 @@ def time_month_index(df: DataFrame, seconds: str, start: str = "2017-11-30", nam
 
 def zscore(df: DataFrame, names: Sequence[str], eps: float = 1e-6) -> DataFrame:
     """(x - mean) / (std + eps) for the named columns; the others (key, label, group) stay."""
+    if not names:
+        return df
     row = _wide(df, names, {"m": F.avg, "s": F.stddev_samp}).first()
     return df.withColumns({
         n: (col(n).cast("double") - F.lit(row[f"{n}|m"])) / (F.lit(row[f"{n}|s"]) + F.lit(eps)) for n in names})
@@ -168,6 +180,8 @@ def zscore(df: DataFrame, names: Sequence[str], eps: float = 1e-6) -> DataFrame:
 
 def skew_log_transform(df: DataFrame, names: Sequence[str], above: float = 1.0) -> DataFrame:
     """Shifted log10 of the columns whose skewness is above the limit."""
+    if not names:
+        return df
     skews = {r["column_name"]: r["skew"] for r in skew_profile(df, names).collect()}
     skewed = [n for n in names if skews[n] is not None and skews[n] > above]
     if not skewed:

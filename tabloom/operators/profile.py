@@ -109,7 +109,16 @@ def distinct_count(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def count_per_time_bucket(df: DataFrame, ts: str, every: str = "1 day") -> DataFrame:
-    """Rows per time bucket that holds any; works on a streaming frame as well."""
+    """Rows per time bucket that holds any; works on a streaming frame as well. Months, quarters and years are those
+    of the calendar: '1 month', '1 quarter', '1 year', or a number of them counted from the year 0."""
+    number, unit = (every.split() + ["day"])[:2] if every.split()[0].isdigit() else ("1", every)
+    months = {"month": 1, "quarter": 3, "year": 12}.get(unit.rstrip("s").lower())
+    if months:
+        width = int(number) * months
+        place = F.year(col(ts)) * 12 + F.month(col(ts)) - 1
+        first = place - F.pmod(place, F.lit(width))
+        start = F.make_timestamp(F.floor(first / 12).cast("int"), (F.pmod(first, F.lit(12)) + 1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+        return df.filter(col(ts).isNotNull()).groupBy(start.alias("bucket_start")).agg(F.count(F.lit(1)).alias("rows"))
     return (
         df.groupBy(F.window(col(ts), every)).agg(F.count(F.lit(1)).alias("rows"))
         .select(F.col("window.start").alias("bucket_start"), "rows"))
@@ -205,7 +214,7 @@ def histograms(df: DataFrame, names: Sequence[str], bins: int = 10, by: str | No
         .agg(F.count(F.lit(1)).alias("count")))
     grid = spans.select(*keys, "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("hi") - F.col("lo")) / bins
-    return attach(grid, counted, [*keys, "bin"], part_of=spans).select(
+    return attach(grid, counted, [*keys, "bin"]).select(
         *keys, "bin", (F.col("lo") + F.col("bin") * width).alias("bin_low"),
         (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_high"),
         F.coalesce("count", F.lit(0)).alias("count"))
@@ -229,19 +238,6 @@ def histogram_minmax(df: DataFrame, name: str, bins: int = 10, by: str | None =
 
 # ---- correlation ----------------------------------------------------------------------
 
-# Up to this many columns, all pairs are plain aggregates of one scan.
-PAIRWISE_COLUMNS = 32
-
-
-def _pairwise(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    row = df.agg(*[
-        F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    items = [
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)]
-    return row.select(F.inline(F.array(*items)))
-
-
 def _gramian(df: DataFrame, names: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
     """Pairwise-complete correlation of many columns from one Gramian: each row contributes its
     centred values, their squares and its presence flags. The result is O(columns squared)."""
@@ -249,7 +245,10 @@ def _gramian(df: DataFrame, names: list[str], pairs: list[tuple[str, str]]) -> D
     from pyspark.mllib.linalg.distributed import RowMatrix
     from pyspark.mllib.util import MLUtils
 
-    means = _wide(df, names, {"m": F.avg}).first()
+    schema = "column_a string, column_b string, r double"
+    means = _wide(df, names, {"m": F.avg}).first() if pairs else None
+    if means is None or all(m is None for m in means):
+        return df.sparkSession.createDataFrame([(a, b, None) for a, b in pairs], schema)
     centred = {n: F.coalesce(col(n).cast("double") - F.lit(means[f"{n}|m"]), F.lit(0.0)) for n in names}
     wide = df.select(
         *[c.alias(f"x{i}") for i, c in enumerate(centred.values())],
@@ -266,14 +265,12 @@ def _gramian(df: DataFrame, names: list[str], pairs: list[tuple[str, str]]) -> D
         sxx, syy = gram[p + i, 2 * p + j], gram[2 * p + i, p + j]
         vx, vy = (sxx - sx * sx / n, syy - sy * sy / n) if n else (0.0, 0.0)
         rows.append((a, b, float((xy - sx * sy / n) / (vx * vy) ** 0.5) if vx > 0 and vy > 0 else None))
-    return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, r double")
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def _correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    pairs = list(itertools.combinations(sorted(names), 2))
-    if len(names) <= PAIRWISE_COLUMNS:
-        return _pairwise(df, pairs)
-    return _gramian(df, list(names), pairs)
+    """One rule for any number of columns; a column without spread has no correlation (NULL)."""
+    return _gramian(df, list(names), list(itertools.combinations(sorted(names), 2)))
 
 
 def corr_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:

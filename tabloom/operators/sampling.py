@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -72,6 +73,9 @@ def _tile_neighbours(k: int):
             d[own[:, None] == rj[None, :]] = np.inf
             take = min(k, d.shape[1])
             near = np.argpartition(d, take - 1, axis=1)[:, :take]
+            limit = np.take_along_axis(d, near, axis=1).max(axis=1, keepdims=True)
+            if ((d <= limit).sum(axis=1) > take).any():  # equal distances at the last place: the smaller index is nearer
+                near = np.lexsort((np.broadcast_to(rj, d.shape), d), axis=1)[:, :take]
             out.append(pd.DataFrame({
                 "i": np.repeat(own, take), "j": rj[near].ravel(),
                 "d": np.maximum(np.take_along_axis(d, near, axis=1), 0.0).ravel()}))
@@ -101,6 +105,11 @@ def sample_smote(df: DataFrame, names: Sequence[str], key: str, label: str, k: i
     """The rows and, up to balance, synthetic minority rows: each lies at a random place between
     a minority row and one of its k nearest minority rows. `synthetic` marks them."""
     (minority, n_min), (_, n_maj) = class_sizes(df, label)
+    if n_min < 2:
+        raise ValueError("a synthetic row lies between two rows of the minority class, which has fewer")
+    missing = df.filter(col(label) == F.lit(minority)).filter(reduce(lambda a, b: a | b, [col(n).isNull() for n in names]))
+    if missing.head(1):
+        raise ValueError("rows of the minority class have missing features: fill them first")
     vector = F.array(*[col(n).cast("double") for n in names])
     rows = df.filter(col(label) == F.lit(minority)).select(col(key).alias("_key"), vector.alias("x"))
     points = pin(ordered_index(rows, ["_key"], name="i").select("i", "x"))

@@ -69,15 +69,20 @@ def _moments(df: DataFrame, name: str, by: str) -> DataFrame:
 
 
 def anova_oneway(df: DataFrame, name: str, by: str) -> DataFrame:
-    """(f, df_between, df_within, p) over all groups."""
+    """(f, df_between, df_within, p) over all groups; f and p are missing with one group, with one row to a group,
+    or without spread within the groups."""
     groups = pin(_moments(df, name, by))
     grand = groups.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("m")).first()["m"]
+    if grand is None:
+        return groups.agg(*[F.lit(None).cast("double").alias("f"), (F.count(F.lit(1)) - 1).alias("df_between"),
+                            (F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).alias("df_within"), F.lit(None).cast("double").alias("p")])
     sums = groups.agg(
         F.sum(F.col("n") * F.pow(F.col("mean") - F.lit(grand), 2)).alias("between"),
         F.sum((F.col("n") - 1) * F.coalesce("var", F.lit(0.0))).alias("within"),
         (F.count(F.lit(1)) - 1).alias("df_between"), (F.sum("n") - F.count(F.lit(1))).alias("df_within"),
     ).select(
-        ((F.col("between") / F.col("df_between")) / (F.col("within") / F.col("df_within"))).alias("f"),
+        F.when((F.col("df_between") > 0) & (F.col("df_within") > 0) & (F.col("within") > 0),
+               F.try_divide(F.try_divide(F.col("between"), F.col("df_between")), F.try_divide(F.col("within"), F.col("df_within")))).alias("f"),
         "df_between", "df_within")
     row = sums.first()
     p = f_tail(row["f"], row["df_between"], row["df_within"]) if row["f"] is not None else None
@@ -85,7 +90,7 @@ def anova_oneway(df: DataFrame, name: str, by: str) -> DataFrame:
 
 
 def ttest_independent(df: DataFrame, name: str, by: str, g1, g2) -> DataFrame:
-    """(t, df, p) of two groups with pooled variance."""
+    """(t, df, p) of two groups with pooled variance; t and p are missing without spread or with a group missing."""
     two = _moments(df.filter(col(by).isin([g1, g2])), name, by)
 
     def of(group, what: str) -> Column:
@@ -93,8 +98,8 @@ def ttest_independent(df: DataFrame, name: str, by: str, g1, g2) -> DataFrame:
 
     row = two.agg(*[of(g, w).alias(f"{w}{i}") for i, g in ((1, g1), (2, g2)) for w in ("n", "mean", "var")])
     dof = F.col("n1") + F.col("n2") - 2
-    pooled = ((F.col("n1") - 1) * F.col("var1") + (F.col("n2") - 1) * F.col("var2")) / dof
-    t = (F.col("mean1") - F.col("mean2")) / F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n2")))
+    pooled = F.try_divide((F.col("n1") - 1) * F.coalesce("var1", F.lit(0.0)) + (F.col("n2") - 1) * F.coalesce("var2", F.lit(0.0)), dof)
+    t = F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(pooled * (1 / F.col("n1") + 1 / F.col("n2"))))
     out = pin(row.select(t.alias("t"), dof.alias("df")))
     found = out.first()
     p = t_tail(found["t"], found["df"]) if found["t"] is not None else None

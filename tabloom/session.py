@@ -21,6 +21,7 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.files.openCostInBytes", str(1 << 20))
         .config("spark.driver.memory", "16g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -73,9 +74,9 @@ def driver_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 
 
 def measured_size(df: DataFrame, up_to: int) -> tuple[int, int]:
-    """(rows, bytes) of a table, counting no more than up_to + 1 rows; remembered on the frame."""
+    """(rows, bytes) of a table, remembered on the frame: two sums that every task makes of its own rows."""
     known = getattr(df, "_measured", None)
     if known is None:
-        rows, size = df.limit(up_to + 1).agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+        rows, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
         known = df._measured = (rows, size or 0)
     return known

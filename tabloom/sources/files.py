@@ -11,28 +11,45 @@ from pyspark.sql.types import StructType
 from ..columns import col, listed, nan_to_null
 
 
-def csv_scan_typed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+# Quotes are doubled, as other tools write them. A missing value is an empty field and an empty text is written as "".
+# A reader tells the two apart only if its own mark of a missing value is another text: \N, which is missing too.
+_DIALECT = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""'}
+
+
+def _reader(multi_line: bool) -> dict:
+    """Options of a scan. With multi_line a quoted value may hold line breaks, and a file is then one task; without, a
+    file is split, and must hold a row to a line."""
+    return {**_DIALECT, "nullValue": "\\N", "emptyValue": "", "multiLine": multi_line}
+
+
+def csv_scan_typed(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True) -> DataFrame:
     """CSV with a header and declared column types: no inference pass over the file."""
-    return nan_to_null(spark.read.schema(schema).csv(path, header=True, enforceSchema=False, encoding="UTF-8"))
+    return nan_to_null(spark.read.schema(schema).csv(path, enforceSchema=False, **_reader(multi_line)))
 
 
-def csv_scan_inferred(spark: SparkSession, path: str) -> DataFrame:
+def csv_scan_inferred(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header; types are inferred, which costs a second read of the file."""
-    return nan_to_null(spark.read.csv(path, header=True, inferSchema=True, encoding="UTF-8"))
+    return nan_to_null(spark.read.csv(path, inferSchema=True, **_reader(multi_line)))
 
 
-def csv_scan_renamed(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+def csv_scan_renamed(spark: SparkSession, path: str, names: Sequence[str], multi_line: bool = True) -> DataFrame:
     """CSV whose header row is discarded in favour of the given names, by position."""
-    return nan_to_null(spark.read.csv(path, header=True, inferSchema=True, encoding="UTF-8").toDF(*names))
+    return nan_to_null(spark.read.csv(path, inferSchema=True, **_reader(multi_line)).toDF(*names))
 
 
 def csv_sink(df: DataFrame, path: str, stamp: bool = False) -> str:
-    """Write CSV part files with a header; stamp appends the run time to the name."""
+    """Write CSV part files with a header; stamp appends the run time to the name. Missing and empty texts and line
+    breaks come back from the scans above."""
     target = f"{path}_{time.strftime('%Y%m%d_%H%M%S')}" if stamp else path
-    df.write.option("header", True).csv(target)
+    df.write.options(**_DIALECT, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(target)
     return target
 
 
+def parquet_scan(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet with NaN read as missing."""
+    return nan_to_null(spark.read.parquet(path))
+
+
 def stage_snapshot(df: DataFrame | None, path: str, source: str, spark: SparkSession | None = None) -> DataFrame:
     """source='function' computes, stores and reads the stage; source='stored' only reads it."""
     if source == "function":
@@ -42,7 +59,7 @@ def stage_snapshot(df: DataFrame | None, path: str, source: str, spark: SparkSes
     elif source != "stored":
         raise ValueError(f"unknown source: {source}")
     session = spark or (df.sparkSession if df is not None else SparkSession.getActiveSession())
-    return session.read.parquet(path)
+    return parquet_scan(session, path)
 
 
 def preview_shape(df: DataFrame, n: int, order: str | Sequence[str]) -> tuple[DataFrame, int, int]:
