@@ -178,8 +178,8 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_i
                         length = first if piece == 0 else capacity
                         rows_out.append((doc_id, piece, start, length, data[4 * (at + start):4 * (at + start + length)]))
                     at += n
-                for lo in range(0, len(rows_out), 2000):
-                    columns = zip(*rows_out[lo:lo + 2000])
+                for lo in range(0, len(rows_out), 256):
+                    columns = zip(*rows_out[lo:lo + 256])
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                                      ["doc_id", "piece", "start", "length", "ids"])
 
