@@ -137,12 +137,16 @@ def shared_ngrams(docs: DataFrame, sizes: DataFrame, k: int, buckets: int, thres
         keys = ((np.repeat(grade, times) << np.uint64(TOKEN_BITS)) | tokens)[shared]
         owner = classes[owner[shared]]
         home = owner.astype(np.uint64) % np.uint64(buckets)
-        order = np.argsort(home, kind="stable")
+        order = np.lexsort((owner, home))
         keys, owner, home = keys[order], owner[order], home[order]
         cuts = np.concatenate(([0], np.flatnonzero(home[1:] != home[:-1]) + 1, [len(home)])) if len(home) else np.zeros(1, np.int64)
-        return pa.table({"home": pa.array([int(home[a]) for a in cuts[:-1]], pa.int64()),
-                         "keys": pa.array([keys[a:b].astype("<u8").tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
-                         "classes": pa.array([owner[a:b].astype("<i8").tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())})
+        out = []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            first = np.concatenate(([0], np.flatnonzero(owner[a + 1:b] != owner[a:b - 1]) + 1))
+            runs = np.diff(np.append(first, b - a))
+            out.append((int(home[a]), keys[a:b].astype("<u8").tobytes(), owner[a:b][first].astype("<i8").tobytes(), runs.astype("<u4").tobytes()))
+        return pa.table({n: pa.array([r[i] for r in out], t) for i, (n, t) in enumerate(
+            [("home", pa.int64()), ("keys", pa.binary()), ("classes", pa.binary()), ("runs", pa.binary())])})
 
     def gather(known: pa.Table, found: pa.Table) -> pa.Table:
         """Classes whose shared n-grams are enough, with these in order."""
@@ -150,7 +154,8 @@ def shared_ngrams(docs: DataFrame, sizes: DataFrame, k: int, buckets: int, thres
         out = []
         if found.num_rows:
             keys = np.concatenate([np.frombuffer(b, "<u8") for b in found["keys"].to_pylist()])
-            owner = np.concatenate([np.frombuffer(b, "<i8") for b in found["classes"].to_pylist()])
+            owner = np.concatenate([np.repeat(np.frombuffer(b, "<i8"), np.frombuffer(r, "<u4"))
+                                    for b, r in zip(found["classes"].to_pylist(), found["runs"].to_pylist())])
             order = np.lexsort((keys, owner))
             keys, owner = keys[order], owner[order]
             cuts = np.concatenate(([0], np.flatnonzero(owner[1:] != owner[:-1]) + 1, [len(owner)]))
@@ -160,7 +165,7 @@ def shared_ngrams(docs: DataFrame, sizes: DataFrame, k: int, buckets: int, thres
                          "tokens": pa.array([r[2] for r in out], pa.binary())})
 
     dealt = rows.mapInArrow(deal, "bucket long, tokens binary, classes binary, runs binary")
-    found = dealt.groupBy("bucket").applyInArrow(count_bucket, "home long, keys binary, classes binary")
+    found = dealt.groupBy("bucket").applyInArrow(count_bucket, "home long, keys binary, classes binary, runs binary")
     known = sizes.filter("class IS NOT NULL").groupBy("class").agg(F.first("n_shingles").alias("n"))
     known = known.withColumn("home", _unsigned_mod("class", buckets))
     return (known.groupBy("home").cogroup(found.groupBy("home"))
@@ -177,11 +182,20 @@ def _unsigned_mod(name: str, modulus: int):
 def prefix_entries(sets: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """(token, class): the n-grams in the prefix of each set. N-grams of one class only fill the prefix first."""
     num, den = threshold
-    need = F.ceil(F.col("n") * F.lit(num) / F.lit(den)).cast("long")
-    alone = F.col("n") - F.octet_length("tokens") / 8
-    length = (F.col("n") - need + 1 - alone).cast("int")
-    pieces = F.transform(F.sequence(F.lit(0), length - 1), lambda i: F.substring(F.col("tokens"), i * 8 + 1, F.lit(8)))
-    return sets.filter(length > 0).select("class", F.explode(pieces).alias("token"))
+
+    def prefixes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            tokens, classes = [np.zeros(0, np.int64)], []
+            for cls, n, keys in zip(*(c.to_pylist() for c in batch.columns)):
+                keys = np.frombuffer(keys, ">i8")
+                length = max(0, n + (-num * n // den) + 1 - (n - len(keys)))
+                tokens.append(keys[:length].astype(np.int64))
+                classes += [cls] * len(tokens[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(classes, pa.int64())], ["token", "class"])
+
+    return sets.select("class", "n", "tokens").mapInArrow(prefixes, "token long, class long")
 
 
 class PrefixTree:
@@ -273,9 +287,10 @@ def cluster_links(sets: DataFrame, clusters: DataFrame, threshold: tuple[int, in
     A cluster of up to tree_tokens n-grams is one tree. A larger one is cut into blocks; every two blocks meet in a tree
     of their own, so memory is bounded whatever the cluster's size.
     """
-    members = sets.join(clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster")), "class")
-    blocks = members.groupBy("cluster").agg(F.ceil(F.sum(F.octet_length("tokens") / 8) / tree_tokens).cast("int").alias("blocks"))
-    members = members.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    narrow = clusters.select(F.col("node").alias("class"), F.col("component").alias("cluster"))
+    sizes = sets.select("class", (F.octet_length("tokens") / 8).alias("size")).join(narrow, "class")
+    blocks = sizes.groupBy("cluster").agg(F.ceil(F.sum("size") / tree_tokens).cast("int").alias("blocks"))
+    members = sets.join(narrow.join(blocks, "cluster"), "class").withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     rows = (members.withColumn("other", F.explode(other))
             .select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "n", "tokens"))
