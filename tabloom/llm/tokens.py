@@ -41,6 +41,10 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         self.merge = self.tokenizer.model.tokenize
         self.word_ends, self.held, self.letters = word_ends, held, _byte_letters()
+        self.release()
+
+    def release(self) -> None:
+        """Empty all lookups: an idle Python worker keeps what its last task left."""
         self.unit_ids: dict[str, bytes] = {}
         self._forget()
 
