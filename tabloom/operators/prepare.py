@@ -108,21 +108,40 @@ def impute_chained(df: DataFrame, names: Sequence[str], rounds: int = 10, tol: f
 # ---- categories -----------------------------------------------------------------------
 
 
-def rare_to_others(df: DataFrame, thresholds: dict[str, int], other: str = "others") -> DataFrame:
-    """Values seen fewer than the column's threshold become one category; missing ones stay."""
+@dataclass(frozen=True)
+class FrequentValues:
+    """(column_name, value) of the categories that are kept; the others become one."""
+
+    names: tuple[str, ...]
+    kept: DataFrame | None
+    other: str = "others"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Missing values stay, a value that was not seen in the fit is a rare one."""
+        if not self.names:
+            return df
+        out = df.withColumns({n: col(n).cast("string") for n in self.names})
+        for n, kept in column_parts(self.kept.withColumn("_kept", F.lit(True)), list(self.names)).items():
+            out = attach(out, kept, n, null_safe=False).withColumn(
+                n, F.when(col(n).isNull() | F.col("_kept"), col(n)).otherwise(F.lit(self.other))).drop("_kept")
+        return out
+
+
+def fit_frequent(df: DataFrame, thresholds: dict[str, int], other: str = "others") -> FrequentValues:
+    """Values seen at least as often as the column's threshold; all columns in one job."""
     names = list(thresholds)
     if not names:
-        return df
+        return FrequentValues((), None, other)
     limit = F.lit(None).cast("long")
     for n, t in thresholds.items():
         limit = F.when(F.col("column_name") == n, F.lit(t)).otherwise(limit)
     counts = melt(df, names, as_type="string").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("c"))
-    frequent = pin(counts.filter(F.col("c") >= limit).select("column_name", "value"))
-    out = df.withColumns({n: col(n).cast("string") for n in names})
-    for n, kept in column_parts(frequent.withColumn("_kept", F.lit(True)), names).items():
-        out = attach(out, kept, n, null_safe=False).withColumn(
-            n, F.when(col(n).isNull() | F.col("_kept"), col(n)).otherwise(F.lit(other))).drop("_kept")
-    return out
+    return FrequentValues(tuple(names), pin(counts.filter(F.col("c") >= limit).select("column_name", "value")), other)
+
+
+def rare_to_others(df: DataFrame, thresholds: dict[str, int], other: str = "others", fit_on: DataFrame | None = None) -> DataFrame:
+    """Values seen fewer than the column's threshold become one category; missing ones stay."""
+    return fit_frequent(df if fit_on is None else fit_on, thresholds, other).transform(df)
 
 
 def feature_cross(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -169,24 +188,25 @@ def time_month_index(df: DataFrame, seconds: str, start: str = "2017-11-30", nam
     return df.withColumn(name, fn_month_index(fn_start_plus_seconds(col(seconds), start), base_year))
 
 
-def zscore(df: DataFrame, names: Sequence[str], eps: float = 1e-6) -> DataFrame:
+def zscore(df: DataFrame, names: Sequence[str], eps: float = 1e-6, fit_on: DataFrame | None = None) -> DataFrame:
     """(x - mean) / (std + eps) for the named columns; the others (key, label, group) stay."""
     if not names:
         return df
-    row = _wide(df, names, {"m": F.avg, "s": F.stddev_samp}).first()
+    row = _wide(df if fit_on is None else fit_on, names, {"m": F.avg, "s": F.stddev_samp}).first()
     return df.withColumns({
         n: (col(n).cast("double") - F.lit(row[f"{n}|m"])) / (F.lit(row[f"{n}|s"]) + F.lit(eps)) for n in names})
 
 
-def skew_log_transform(df: DataFrame, names: Sequence[str], above: float = 1.0) -> DataFrame:
+def skew_log_transform(df: DataFrame, names: Sequence[str], above: float = 1.0, fit_on: DataFrame | None = None) -> DataFrame:
     """Shifted log10 of the columns whose skewness is above the limit."""
     if not names:
         return df
-    skews = {r["column_name"]: r["skew"] for r in skew_profile(df, names).collect()}
+    seen = df if fit_on is None else fit_on
+    skews = {r["column_name"]: r["skew"] for r in skew_profile(seen, names).collect()}
     skewed = [n for n in names if skews[n] is not None and skews[n] > above]
     if not skewed:
         return df
-    low = _wide(df, skewed, {"m": F.min}).first()
+    low = _wide(seen, skewed, {"m": F.min}).first()
     return df.withColumns({n: fn_log10_shift(col(n).cast("double"), low[f"{n}|m"]) for n in skewed})
 
 

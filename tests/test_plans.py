@@ -57,3 +57,16 @@ def test_top_k_is_no_full_sort(spark):
 def test_distinct_keys_combine_before_the_shuffle(spark):
     text = plan(spark, "dedup_keep_first")
     assert "partial_min" in text and "Window" not in text
+
+
+def test_preparation_is_fitted_once_and_applied_to_tables_without_a_label(spark):
+    from tabloom.plans.preparation import Preparation
+
+    train = spark.createDataFrame([(i, i % 2, float(i * 86400), float(i), "ab"[i % 2]) for i in range(8)], "k int, y int, s double, x double, g string")
+    test = spark.createDataFrame([(100, 86400.0, None, "a"), (101, 0.0, 3.0, "z")], "k int, s double, x double, g string")
+    known = spark.createDataFrame([(i, "u") for i in (0, 1, 2, 3, 4, 100)], "k int, h string")
+    fitted = Preparation("k", "y", "s", max_corr=1.1).fit(train, known)
+    assert fitted.train.count() == 8 and set(fitted.train.columns) == {"k", "y", "s", "x", "g", "h", "DT_M"}
+    rows = {r["k"]: r for r in fitted.transform(test, known).collect()}
+    assert rows[100]["x"] == 3.5 and rows[100]["g"] == 0 and rows[101]["g"] is None
+    assert "y" not in rows[100].asDict() and rows[101]["h"] == 0
