@@ -78,7 +78,17 @@ def op6_piecewise(spark: SparkSession, folder: str) -> DataFrame:
     return piecewise.fingerprint_documents(table(spark, folder, "documents"))
 
 
-@query("op7_prefix_tree")
+@query("op7_prefix_tree", """
+WITH RECURSIVE t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+') AS ws FROM t),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+b AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+p AS (SELECT a, b FROM b JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT p.b, r.other FROM r JOIN p ON r.doc_id = p.a),
+m AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1)
+SELECT m.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM m LEFT JOIN n ON m.doc_id = n.doc_id""")
 def op7_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose five-word shingles are at least three quarters the same."""
     return jaccard.ngram_components(table(spark, folder, "documents"))
@@ -99,7 +109,14 @@ def op9_attention(spark: SparkSession, folder: str) -> DataFrame:
     return attention.score_documents(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
 
 
-@query("op1_descent")
+@query("op1_descent", """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+c AS (SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.e, b.e) AS s FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+p AS (SELECT a, b FROM c WHERE s >= 0.95 AND isfinite(s)),
+r AS (SELECT vec_id, vec_id AS other FROM v UNION SELECT p.b, r.other FROM r JOIN p ON r.vec_id = p.a),
+m AS (SELECT vec_id, min(other) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM m LEFT JOIN n ON vec_id = a""")
 def op1_descent(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate vectors, whatever their labels."""
     return neighbours.near_links(table(spark, folder, "embeddings"))
