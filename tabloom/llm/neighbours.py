@@ -8,7 +8,7 @@
    list is enlarged and the rounds go on.
 5. Links of the lists connect groups. Within a group all pairs are compared in blocks, so that the links of a vector
    are all links of its group, and the group's size and not its square is what is sent.
-6. The audit compares the stated queries, ids divisible by 50, with all rows; links that the graph has missed are
+6. The audit compares the stated queries, ids divisible by 50, with all other rows; links that the graph has missed are
    counted, and while the recall is below the bound, further cells and rounds are added.
 
 Everything is done on vectors of length one in double precision.
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, components, stored
 
 NEIGHBOURS, CELL, TREES = 12, 128, 3
+MOST_TREES = 192
+"""Sets of cells of the first attempt at most; the audit asks for further ones."""
 BLOCK = 2048
 QUERY_EVERY = 50
 RECALL = 0.99
@@ -73,6 +75,15 @@ def _cells(nodes: DataFrame, width: int, bits: int, seed: int) -> DataFrame:
     return nodes.mapInArrow(side, "node long, vec binary, cell long")
 
 
+def _trees(bits: int, threshold: float) -> int:
+    """How many sets of cells a pair at the threshold needs to share one of them with probability RECALL: a random plane
+    leaves it on one side with probability 1 - angle / pi, and a cell has `bits` planes."""
+    together = (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits
+    if together >= RECALL:
+        return TREES
+    return max(TREES, int(np.ceil(min(MOST_TREES, np.log(1 - RECALL) / np.log1p(-max(together, 1e-9))))))
+
+
 def _nearest(ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(node, neighbour, similarity) of the k nearest of each within a small set."""
     sims = x @ x.T
@@ -139,20 +150,23 @@ def near_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
         raise ValueError("vectors of different lengths")
     width = (shape[1] or 8) // 8
     bits = max(0, int(np.ceil(np.log2(max(1, shape[0]) / CELL))))
-    graph = None
+    graph, trees = None, _trees(bits, threshold)
     for attempt in range(4):
-        starts = [_by_group(_cells(nodes, width, bits, seed + 100 * attempt + t), ["cell"], width, neighbours, 4 * CELL) for t in range(TREES)]
-        for more in starts[1:]:
-            starts[0] = starts[0].union(more)
-        edges = starts[0].withColumn("size", F.lit(neighbours))
-        if graph is not None:
-            edges = edges.union(_edges(graph))
-        graph = _descend(stored(_best(edges, "size"), "graph"), nodes, width, neighbours, rounds, threshold)
+        for first in range(0, trees, TREES):
+            starts = [_by_group(_cells(nodes, width, bits, seed + trees * attempt + t), ["cell"], width, neighbours, 4 * CELL)
+                      for t in range(first, min(trees, first + TREES))]
+            for more in starts[1:]:
+                starts[0] = starts[0].union(more)
+            edges = starts[0].withColumn("size", F.lit(neighbours))
+            if graph is not None:
+                edges = edges.union(_edges(graph))
+            graph = stored(_best(edges, "size"), "graph")
+        graph = _descend(graph, nodes, width, neighbours, rounds, threshold)
         links = stored(_edges(graph).filter(F.col("sim") >= threshold - 1e-9).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct(), "links")
         groups = stored(components(links), "groups")
         counted = stored(_links_in_groups(rows, nodes, groups, width, threshold), "counts")
-        found, missed = _audit(rows, nodes, groups, width, threshold)
-        if not missed or found / (found + missed) >= RECALL:
+        found, missed, recall = _audit(rows, nodes, groups, width, threshold)
+        if recall >= RECALL:
             break
     copies = rows.filter("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"))
     parts = stored(components(counted.filter("a IS NOT NULL").select("a", "b")), "parts")
@@ -265,43 +279,51 @@ def _spanning(a: np.ndarray, b: np.ndarray, part: np.ndarray) -> tuple[list[int]
     return nodes.tolist(), label[nodes].tolist()
 
 
-def _audit(rows: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, threshold: float) -> tuple[int, int]:
-    """Links of the query nodes within and across groups: the former are found, the latter missed. Queries, the
+def _audit(rows: DataFrame, nodes: DataFrame, groups: DataFrame, width: int, threshold: float) -> tuple[int, int, float]:
+    """Links of the query nodes to other nodes within and across groups: the former are found, the latter missed; and the
+    recall, over all links or as the mean over the query nodes that have links, whichever is less. Queries, the
     nodes with a key divisible by QUERY_EVERY, are sent in blocks, and each block meets all rows."""
     import pyarrow as pa
 
     spark = rows.sparkSession
     asked = (rows.filter((F.col("key") % QUERY_EVERY == 0) & F.col("node").isNotNull()).select("node").distinct()
-             .join(groups, "node", "left").join(nodes, "node").select(F.coalesce("component", "node").alias("component"), "vec"))
-    named = nodes.join(groups, "node", "left").select(F.coalesce("component", "node").alias("component"), "vec")
+             .join(groups, "node", "left").join(nodes, "node").select("node", F.coalesce("component", "node").alias("component"), "vec"))
+    named = nodes.join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "vec")
     blocks = max(1, -(-asked.count() // BLOCK))
     slices = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     left = asked.withColumn("block", F.pmod(F.xxhash64("vec"), F.lit(blocks))).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)).cast("array<long>")))
     right = named.withColumn("slice", F.pmod(F.xxhash64("vec", F.lit(1)), F.lit(slices))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    met = left.select("block", "slice", F.lit(0).alias("role"), "component", "vec").union(right.select("block", "slice", F.lit(1).alias("role"), "component", "vec"))
+    met = left.select("block", "slice", F.lit(0).alias("role"), "node", "component", "vec").union(right.select("block", "slice", F.lit(1).alias("role"), "node", "component", "vec"))
     met = met.repartition("block", "slice").sortWithinPartitions("block", "slice", "role")
 
     def compare(batches):
-        here, asked, others, found, missed = None, [], [], 0, 0
+        here, asked, others = None, [], []
 
         def tally():
-            if not asked or not others:
-                return 0, 0
-            near = _matrix([v for _, v in asked], width) @ _matrix([v for _, v in others], width).T >= threshold
-            same = np.array([c for c, _ in asked])[:, None] == np.array([c for c, _ in others])
-            return int((near & same).sum()), int((near & ~same).sum())
+            node, component, vec = zip(*asked) if asked and others else ((), (), ())
+            hits = np.zeros((2, len(node)), dtype=np.int64)
+            if node:
+                other, other_component, other_vec = zip(*others)
+                near = _matrix(vec, width) @ _matrix(other_vec, width).T >= threshold
+                near &= np.array(node)[:, None] != np.array(other)
+                same = np.array(component)[:, None] == np.array(other_component)
+                hits = np.stack(((near & same).sum(axis=1), (near & ~same).sum(axis=1)))
+            some = np.flatnonzero(hits.any(axis=0))
+            return pa.RecordBatch.from_arrays([pa.array([node[i] for i in some], pa.int64()), pa.array(hits[0][some], pa.int64()),
+                                               pa.array(hits[1][some], pa.int64())], ["node", "found", "missed"])
 
         for batch in batches:
-            for block, slice_, role, component, vec in zip(*(c.to_pylist() for c in batch.columns)):
+            for block, slice_, role, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if (block, slice_) != here:
-                    f, m = tally()
-                    found, missed, here, asked, others = found + f, missed + m, (block, slice_), [], []
+                    yield tally()
+                    here, asked, others = (block, slice_), [], []
                 if role and len(others) == BLOCK:
-                    f, m = tally()
-                    found, missed, others = found + f, missed + m, []
-                (others if role else asked).append((component, vec))
-        f, m = tally()
-        yield pa.RecordBatch.from_arrays([pa.array([found + f], pa.int64()), pa.array([missed + m], pa.int64())], ["found", "missed"])
-
-    row = met.mapInArrow(compare, "found long, missed long").agg(F.sum("found"), F.sum("missed")).first()
-    return row[0] or 0, row[1] or 0
+                    yield tally()
+                    others = []
+                (others if role else asked).append(row)
+        yield tally()
+
+    per_query = met.mapInArrow(compare, "node long, found long, missed long").groupBy("node").agg(F.sum("found").alias("found"), F.sum("missed").alias("missed"))
+    row = per_query.agg(F.sum("found"), F.sum("missed"), F.avg(F.col("found") / (F.col("found") + F.col("missed")))).first()
+    found, missed = row[0] or 0, row[1] or 0
+    return found, missed, min(found / (found + missed), row[2]) if found + missed else 1.0

@@ -77,6 +77,23 @@ def test_near_links_are_those_of_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, found.collect()), key=key) == sorted(want, key=key)
 
 
+def test_the_audit_leaves_out_the_pair_of_a_vector_with_itself(spark):
+    at = lambda i, angle: [math.cos(angle) if k == i else math.sin(angle) if k == i + 100 else 0.0 for k in range(200)]
+    # A hundred queries; the first two have a partner each, of which one is in the same group.
+    rows = [(50 * i, at(i, 0.0)) for i in range(100)] + [(50 * i + 1, at(i, 0.1)) for i in range(2)]
+    units = neighbours.unit_vectors(spark.createDataFrame(rows, "key long, vector array<double>"), "key", "vector").localCheckpoint()
+    node = {r["key"]: r["node"] for r in units.collect()}
+    groups = spark.createDataFrame([(node[k], node[0]) for k in (0, 1)], "node long, component long")
+    assert tuple(neighbours._audit(units, neighbours._packed(units), groups, 200, 0.95)) == (1, 1, 0.5)
+
+
+def test_cells_are_met_often_enough_whatever_their_number():
+    for bits in range(0, 25):
+        missed = (1 - (1 - math.acos(0.95) / math.pi) ** bits) ** neighbours._trees(bits, 0.95)
+        assert missed <= 1 - neighbours.RECALL + 1e-12
+    assert neighbours._trees(9, 0.95) == 10
+
+
 def test_near_links_of_nothing(spark):
     assert neighbours.near_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
