@@ -9,25 +9,30 @@
 5. Links of the lists connect groups. Within a group all pairs are compared in blocks, so that the links of a vector
    are all links of its group, and the group's size and not its square is what is sent.
 6. The audit compares the stated queries, ids divisible by 50, with all other rows; links that the graph has missed are
-   counted, and while the recall is below the bound, further cells and rounds are added.
+   counted, and while the recall is below the bound, twice as many further cells and rounds are added. Where
+   IDLE attempts in a row find no more, the query fails with the recall measured.
 
 Everything is done on vectors of length one in double precision.
 """
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, components, stored
 
+_log = logging.getLogger(__name__)
 NEIGHBOURS, CELL, TREES = 12, 128, 3
 MOST_TREES = 192
 """Sets of cells of the first attempt at most; the audit asks for further ones."""
 BLOCK = 2048
 QUERY_EVERY = 50
 RECALL = 0.99
+IDLE = 2
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -139,7 +144,8 @@ def near_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
     Rows link when their cosine is at least threshold. n_links counts the rows linked directly, copies included;
     component_id is the smallest key reachable by links, itself included. Vectors that are null, empty or zero or hold
     null or non-finite components link with nothing. Vectors of another length than most are not compared: a
-    table with vectors of different lengths is an error.
+    table with vectors of different lengths is an error. The metadata of n_links hold the audit's count of links found and
+    missed, and its recall.
     """
     spark = vectors.sparkSession
     bounded_batches(vectors, 4096)
@@ -150,10 +156,10 @@ def near_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
         raise ValueError("vectors of different lengths")
     width = (shape[1] or 8) // 8
     bits = max(0, int(np.ceil(np.log2(max(1, shape[0]) / CELL))))
-    graph, trees = None, _trees(bits, threshold)
-    for attempt in range(4):
-        for first in range(0, trees, TREES):
-            starts = [_by_group(_cells(nodes, width, bits, seed + trees * attempt + t), ["cell"], width, neighbours, 4 * CELL)
+    graph, done, trees, least, idle = None, 0, _trees(bits, threshold), None, 0
+    while True:
+        for first in range(done, trees, TREES):
+            starts = [_by_group(_cells(nodes, width, bits, seed + t), ["cell"], width, neighbours, 4 * CELL)
                       for t in range(first, min(trees, first + TREES))]
             for more in starts[1:]:
                 starts[0] = starts[0].union(more)
@@ -166,8 +172,14 @@ def near_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
         groups = stored(components(links), "groups")
         counted = stored(_links_in_groups(rows, nodes, groups, width, threshold), "counts")
         found, missed, recall = _audit(rows, nodes, groups, width, threshold)
+        _log.info("near_links: recall %.4f with %d sets of cells, %d links found, %d missed", recall, trees, found, missed)
         if recall >= RECALL:
             break
+        idle = idle + 1 if least is not None and missed >= least else 0
+        if idle == IDLE:
+            raise RuntimeError(f"near_links: recall {recall:.4f} is below {RECALL} with {trees} sets of cells: {found} links found, {missed} missed")
+        least = missed if least is None else min(least, missed)
+        done, trees = trees, 3 * trees
     copies = rows.filter("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"))
     parts = stored(components(counted.filter("a IS NOT NULL").select("a", "b")), "parts")
     by_node = (copies.join(counted.filter("a IS NULL").groupBy("node").agg(F.sum("linked").alias("linked")), "node", "left")
@@ -176,7 +188,8 @@ def near_links(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding
     by_node = by_node.join(least, "component").select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("links"), "first")
     out = rows.select("key", "node").join(by_node, "node", "left")
     component = F.coalesce("first", "key")
-    return out.select(F.col("key").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+    audit = {"audit_found": int(found), "audit_missed": int(missed), "audit_recall": float(recall)}
+    return out.select(F.col("key").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links", metadata=audit), component.alias("component_id"),
                       F.col("key").eqNullSafe(component).alias("kept"))
 
 

@@ -94,6 +94,31 @@ def test_cells_are_met_often_enough_whatever_their_number():
     assert neighbours._trees(9, 0.95) == 10
 
 
+def test_the_search_goes_on_below_the_recall_and_fails_where_it_finds_no_more(spark, monkeypatch):
+    vectors = spark.createDataFrame([(i, [1.0, i / 10]) for i in range(4)], "vec_id long, embedding array<double>")
+    graph = spark.createDataFrame([], "node long, size int, list array<struct<far: double, other: long>>")
+    seen = []
+
+    def audit(*_):
+        seen.append(1)
+        return misses[len(seen) - 1]
+
+    monkeypatch.setattr(neighbours, "_best", lambda edges, size: graph)
+    monkeypatch.setattr(neighbours, "_descend", lambda graph, *_: graph)
+    monkeypatch.setattr(neighbours, "_audit", audit)
+    monkeypatch.setattr(neighbours, "TREES", 1 << 20)
+    monkeypatch.setattr(neighbours, "_by_group", lambda *_: spark.createDataFrame([], "node long, other long, sim double"))
+    monkeypatch.setattr(neighbours, "_trees", lambda *_: 1)
+    misses = [(50, 50 - i, 0.5) for i in range(5)] + [(99, 1, 0.99)]
+    found = neighbours.near_links(vectors)
+    assert len(seen) == 6
+    assert found.schema["n_links"].metadata == {"audit_found": 99, "audit_missed": 1, "audit_recall": 0.99}
+    seen, misses = [], [(50, 50, 0.5)] * 9
+    with pytest.raises(RuntimeError, match="recall 0.5000"):
+        neighbours.near_links(vectors)
+    assert len(seen) == 3
+
+
 def test_near_links_of_nothing(spark):
     assert neighbours.near_links(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
