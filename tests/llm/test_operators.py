@@ -422,6 +422,20 @@ def test_attention_base_scores_are_those_of_counts(spark, hard_documents):
     assert attention.score_documents(hard_documents.limit(0), WORDS).count() == 0
 
 
+def test_attention_learns_contexts_from_texts_outside_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(attention, "training_sample", lambda *_: ["red green blue red green blue"])
+    words, rng = ["red", "green", "blue"] * 200, random.Random(1)
+    mixed = rng.sample(words, len(words))
+    held, first, second = [next(i for i in range(99) if (zlib.crc32(str(i).encode()) % 5 == 1) == out and i > after) for out, after in ((True, 0), (False, 0), (False, 20))]
+    score = {}
+    for name, text in (("same", words), ("mixed", mixed)):
+        rows = [(held, "red green blue"), (first, "red green blue"), (second, " ".join(text))]
+        found = attention.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), WORDS).collect()
+        score[name] = {r["doc_id"]: (r["base_score"], r["score"]) for r in found}[held]
+    assert score["same"][0] == score["mixed"][0]
+    assert abs(score["same"][1] - score["mixed"][1]) > 1e-4
+
+
 def test_language_of_hard_rows(spark, hard_documents):
     model = language.fit_languages(hard_documents)
     assert model.languages == ("de", "en", "fr")
