@@ -436,6 +436,12 @@ def test_attention_learns_contexts_from_texts_outside_the_sample(spark, monkeypa
     assert abs(score["same"][1] - score["mixed"][1]) > 1e-4
 
 
+def test_the_attention_sample_stands_in_the_order_of_its_hash(spark):
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    hashed = [r["text"] for r in docs.orderBy(F.xxhash64("doc_id")).limit(50).collect()]
+    assert attention.training_sample(docs, F.lit(True), 50) == hashed
+
+
 def test_language_of_hard_rows(spark, hard_documents):
     model = language.fit_languages(hard_documents)
     assert model.languages == ("de", "en", "fr")
