@@ -35,14 +35,15 @@ def fingerprint(text: str) -> str:
 
     A piece ends where the rolling hash of the last seven bytes is a multiple of the block size, so an edit changes
     only the pieces around it. Each piece gives one of 64 symbols, the rest after the last boundary gives the last
-    one. The block is the smallest 3 * 2**k with at most 64 pieces. Equal texts have equal fingerprints; the
+    one. The block is the smallest 3 * 2**k with at most 64 pieces; a hash of zero, a multiple of every block, ends no
+    piece, as no block would thin it out. Equal texts have equal fingerprints; the
     empty text has two empty signatures.
     """
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
     if not len(data):
         return f"{MIN_BLOCK}::"
     rolled = _rolling(data)
-    ends = np.flatnonzero(rolled % np.uint32(MIN_BLOCK) == 0)
+    ends = np.flatnonzero((rolled % np.uint32(MIN_BLOCK) == 0) & (rolled != 0))
     times = rolled[ends] // np.uint32(MIN_BLOCK)
     level = 0
     while len(ends) > SIGNATURE - 1:

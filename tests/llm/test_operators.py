@@ -4,6 +4,8 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -307,6 +309,12 @@ def test_fingerprints_follow_the_order_of_documents(spark, hard_documents):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_fingerprints_of_zero_bytes_come_to_an_end():
+    script = "from tabloom.llm import piecewise as p; print(p.fingerprint(chr(0) * 1000), p.fingerprint('some text ' + chr(0) * 1000 + ' and more'))"
+    out = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=60, check=True).stdout.split()
+    assert [len(x) for x in out[0].split(":")] == [1, 1, 1] and out[0].startswith("3:") and out[1] != out[0]
+
+
 def test_fingerprint_of_an_edit_stays_near_and_of_another_text_does_not():
     rng = random.Random(2)
     a, b = (" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(500)) for _ in range(2))
