@@ -430,6 +430,12 @@ def test_attention_base_scores_are_those_of_counts(spark, hard_documents):
     assert attention.score_documents(hard_documents.limit(0), WORDS).count() == 0
 
 
+def test_attention_windows_overlap_by_sixteen_ids():
+    given, target, scored = attention.windows(np.arange(1000))[:3]
+    first = scored.argmax(axis=1)[1:]
+    assert given.shape[1] == 64 and (first >= 16).all()
+
+
 def test_attention_learns_contexts_from_texts_outside_the_sample(spark, monkeypatch):
     monkeypatch.setattr(attention, "training_sample", lambda *_: ["red green blue red green blue"])
     words, rng = ["red", "green", "blue"] * 200, random.Random(1)
