@@ -18,8 +18,13 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _plain(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame[sorted(frame.columns)].astype(object).where(frame[sorted(frame.columns)].notna(), None)
-    return frame
+    """Values as objects, None where there is none. A whole-number column with gaps may arrive as floats or as integers."""
+    frame = frame[sorted(frame.columns)].copy()
+    for name in frame.columns[frame.isna().any()]:
+        kind = frame[name].dtype
+        if pd.api.types.is_integer_dtype(kind) or (pd.api.types.is_float_dtype(kind) and (frame[name].dropna() % 1 == 0).all()):
+            frame[name] = frame[name].astype("Int64")
+    return frame.astype(object).where(frame.notna(), None)
 
 
 def differences(spark_rows: pd.DataFrame, sql_rows: pd.DataFrame) -> str | None:
