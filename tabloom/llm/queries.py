@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attention, jaccard, language, neighbours, packing, piecewise, sentences, toxicity, warc, wavelet
+from . import (
+    attention,
+    filter_audit,
+    importance,
+    jaccard,
+    language,
+    licenses,
+    neighbours,
+    packing,
+    piecewise,
+    sentences,
+    toxicity,
+    warc,
+    wavelet,
+)
 from .common import id_bucket, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +142,85 @@ def op3_segmentation(spark: SparkSession, folder: str) -> DataFrame:
     found = sentences.segment_documents(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"))
     return found.select("doc_id", "rank", "score", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+_PLAIN_WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_resampling", f"""
+WITH w AS (SELECT doc_id AS id, regexp_extract_all({_LOWER}, '{_PLAIN_WORD}') AS ws, true AS ours FROM documents
+           UNION ALL SELECT item_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORD}'), false FROM benchmark),
+i AS (SELECT id, ours, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+o AS (SELECT id, ours, ws[i] AS g FROM i UNION ALL SELECT id, ours, ws[i] || ' ' || ws[i + 1] FROM i WHERE i < len(ws)),
+c AS (SELECT id, ours, g, count(*) AS n FROM o GROUP BY ALL),
+d AS (SELECT g, xor(4294967295, list_reduce(list_transform(range(0, strlen(g)), lambda k:
+    (strpos('0123456789ABCDEF', hex(g)[2 * k + 1]) - 1) * 16 + strpos('0123456789ABCDEF', hex(g)[2 * k + 2]) - 1),
+    lambda x, y: list_reduce(range(0, 8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, xor(x, y)),
+    4294967295)) % 10000 AS bucket FROM (SELECT DISTINCT g FROM c)),
+b AS (SELECT id, ours, bucket, sum(n) AS n FROM c JOIN d USING (g) GROUP BY ALL),
+s AS (SELECT bucket, coalesce(sum(n) FILTER (ours), 0) AS s, coalesce(sum(n) FILTER (NOT ours), 0) AS t FROM b GROUP BY 1),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM s) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM s),
+f AS (SELECT id, sum(n) AS n, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE) AS weight FROM b JOIN gains USING (bucket) WHERE ours GROUP BY 1),
+h AS (SELECT id, len(ws) AS words, CAST('0x' || substr(sha256('7:' || id), 1, 8) AS BIGINT)::DOUBLE AS h FROM w WHERE ours),
+r AS (SELECT id, words, coalesce(n, 0) AS n, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+             CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM h LEFT JOIN f USING (id)),
+k AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, id) AS place, count(*) FILTER (words >= 20) OVER () AS fit FROM r)
+SELECT id AS doc_id, CAST(n AS BIGINT) AS n_features, weight, score, CASE WHEN words >= 20 AND place <= 25 * fit // 100 THEN place END AS rank FROM k""")
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of the documents, drawn by how much their n-grams look like those of the benchmark."""
+    found = importance.resample_to_target(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_filter_audit", """
+WITH RECURSIVE t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY x) AS least FROM t),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY 1),
+f AS (SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad, {'A': len(ws) < 50, 'B': 100 * list_unique(ws) < 65 * len(ws),
+  'C': 100 * len(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * len(x), 'D': regexp_matches(x, '[#$%&*|]'), 'E': least < w.doc_id} AS fails
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id),
+u AS (SELECT part, good, bad, list_filter(['A', 'B', 'C', 'D', 'E'], lambda k: coalesce(CASE k WHEN 'A' THEN fails.A WHEN 'B' THEN fails.B
+  WHEN 'C' THEN fails.C WHEN 'D' THEN fails.D ELSE fails.E END, false)) AS failed FROM f),
+g AS (SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS ng, count(*) FILTER (bad) AS nb FROM u GROUP BY ALL),
+o AS (SELECT '' AS filter_order UNION ALL SELECT filter_order || k FROM o, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) v(k) WHERE NOT contains(filter_order, k)),
+s AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i] AS k, string_split(filter_order[1:i - 1], '') AS earlier
+      FROM o, range(1, 6) r(i) WHERE len(filter_order) = 5),
+m AS (SELECT part, filter_order, step, k, n, ng, nb, len(failed) AS fails, list_contains(failed, k) AS hit, list_has_any(failed, earlier) AS gone FROM g, s),
+c AS (SELECT part, filter_order, step, k, coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0) AS kept, coalesce(sum(n) FILTER (hit AND NOT gone), 0) AS removed,
+  coalesce(sum(n) FILTER (hit AND gone), 0) AS redundant, coalesce(sum(n) FILTER (hit AND fails = 1), 0) AS unique_fails,
+  coalesce(sum(ng) FILTER (hit AND NOT gone), 0) AS good_lost, coalesce(sum(nb) FILTER (hit AND NOT gone), 0) AS toxic_lost FROM m GROUP BY ALL)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM c""")
+def op12_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What five filters remove, repeat and cost, per source, order and step."""
+    return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _license_sql() -> str:
+    sentences = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(licenses.TEMPLATES))
+    phrases = ", ".join(f"('{label}', {p.split()})" for p, label in licenses.PHRASES.items())
+    need, of = licenses.THRESHOLD
+    return f"""
+WITH w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_PLAIN_WORD}') AS ws FROM documents),
+p AS (SELECT w.doc_id, v.label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1:i + len(v.words)] = v.words)) AS place
+      FROM w, (VALUES {phrases}) v(label, words)),
+base AS (SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word, list_distinct(list(label)) AS labels FROM p GROUP BY 1),
+t AS (SELECT label, list_distinct(regexp_extract_all({_LOWER}, '{_PLAIN_WORD}')) AS words FROM (VALUES {sentences}) v(i, label, text)),
+b AS (SELECT doc_id, unnest(list_transform(range(0, greatest(0, ceil((len(ws) - {licenses.WIDTH}) / {licenses.STRIDE}::DOUBLE)::BIGINT) + 1),
+      lambda i: list_distinct(ws[i * {licenses.STRIDE} + 1:i * {licenses.STRIDE} + {licenses.WIDTH}]))) AS held FROM w),
+o AS (SELECT doc_id, label, len(list_intersect(held, words)) AS n, len(words) AS size FROM b, t),
+met AS (SELECT doc_id, max(n / size::DOUBLE) AS score, list_distinct(list(label)) AS labels FROM o WHERE {of} * n >= {need} * size GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
+  array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(met.labels, [])))), ',') AS labels,
+  CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(met.score, 0.0)::DOUBLE END AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN met USING (doc_id)"""
+
+
+@query("op13_licenses", _license_sql())
+def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licenses that every document names or quotes."""
+    return licenses.scan_licenses(table(spark, folder, "documents")).drop("matches")
