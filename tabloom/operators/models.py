@@ -1,49 +1,66 @@
-"""Training and scoring on MLlib. Feature columns must be free of missing values."""
+"""Training and scoring: leaf-wise boosters, and MLlib's kernel machine and network, whose features must be free of missing values."""
 
 from __future__ import annotations
 
 import json
-import random
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LinearSVC,
-    MultilayerPerceptronClassificationModel,
-    MultilayerPerceptronClassifier,
-)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import LinearSVC, MultilayerPerceptronClassificationModel, MultilayerPerceptronClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..columns import col
 from ..ordering import attach
 from ..session import pin, scratch_path
+from .leafwise import (
+    LeafwiseModel,
+    bin_count,
+    binned,
+    fit_bins,
+    fit_blocks,
+    fit_leafwise,
+    local_margins,
+    packed_blocks,
+    score_leafwise,
+    settings,
+)
 from .metrics import accuracy, auc_roc, fold_report, threshold_labels
 from .relational import join_submission
 from .profile import _wide
+from .search import adaptive_search
 from .splits import group_folds, split_group_kfold, split_stratified_kfold, split_time_series
 from ..sources import csv_sink
 
-# The default booster, as far as MLlib has the parameter. The leaf limit (512 at
-# depth 9) follows from the depth; L1 regularisation has no counterpart in MLlib.
+# The default booster, the one of the feature check, and the searched ranges.
 DEFAULT_BOOSTER = {
-    "maxIter": 512, "maxDepth": 9, "stepSize": 0.064, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.85",
+    "num_leaves": 512, "n_estimators": 512, "max_depth": 9, "learning_rate": 0.064, "subsample": 0.85, "colsample_bytree": 0.85,
+    "reg_alpha": 0.3,
+}
+CONSISTENCY_BOOSTER = {"n_estimators": 100, "learning_rate": 0.1, "num_leaves": 31, "max_depth": -1}
+SEARCH_SPACE = {
+    "n_estimators": ("step", 1000, 5000, 50),
+    "subsample_for_bin": ("float", 10, 300000),
+    "learning_rate": ("float", 0.00001, 0.03),
+    "max_depth": ("step", 3, 8, 1),
+    "num_leaves": ("step", 7, 256, 1),
+    "subsample": ("float", 0.60, 0.95),
+    "colsample_bytree": ("float", 0.60, 0.95),
+    "min_child_samples": ("step", 1, 500, 1),
+    "min_child_weight": ("float", 0.60, 0.95),
+    "min_split_gain": ("float", 0.60, 0.95),
+    "reg_lambda": ("float", 1, 25),
 }
-# The booster of the feature check, 31 leaves being depth 5.
-CONSISTENCY_BOOSTER = {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1}
 
 
-def booster(label: str, params: dict | None = None, seed: int = 0) -> GBTClassifier:
-    return GBTClassifier(labelCol=label, featuresCol="features", seed=seed, **(DEFAULT_BOOSTER if params is None else params))
+def booster(params: dict | None) -> dict:
+    """Parameters of a booster, by default those of DEFAULT_BOOSTER."""
+    return DEFAULT_BOOSTER if params is None else params
 
 
 def assemble(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -57,31 +74,36 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
 
 def score_rows(model, df: DataFrame, *keep: str) -> DataFrame:
     """Probability of class 1 next to the columns to keep."""
+    if isinstance(model, LeafwiseModel):
+        return score_leafwise(model, df, *keep)
     return model.transform(df).select(*[col(k) for k in keep], vector_to_array("probability")[1].alias("score"))
 
 
-def _folds_trained(df: DataFrame, names: Sequence[str], label: str, tests: Sequence[int], trains_on, params, seed: int,
-                   partitions: int | None, parallelism: int):
-    """One booster per fold over the same cached vectors, several at a time; (scored rows, models)."""
-    vectors = _spread(assemble(df, names).select(col(label), "fold", "features"), partitions).persist()
+def _folds_trained(folded: DataFrame, names: Sequence[str], label: str, tests: Sequence[int], learns, params: dict | None, seed: int,
+                   partitions: int | None, parallelism: int) -> tuple[DataFrame, list[LeafwiseModel]]:
+    """One booster per fold over the same binned rows, several at a time; (scored rows, models)."""
+    p = booster(params)
+    rows = _spread(folded.select(*[col(n) for n in names], col(label), "fold"), partitions)
+    edges = fit_bins(rows, names, settings(p)["max_bin"])
+    blocks = packed_blocks(rows, names, edges, label, "fold").persist()
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            models = list(pool.map(lambda i: booster(label, params, seed).fit(vectors.filter(trains_on(i))), tests))
-        scored = [score_rows(m, vectors.filter(F.col("fold") == i), label, "fold") for i, m in zip(tests, models)]
-        return pin(reduce(DataFrame.unionAll, scored)), models
+            models = list(pool.map(lambda i: fit_blocks(blocks, names, edges, p, seed, learns(i))[0], tests))
     finally:
-        vectors.unpersist()
+        blocks.unpersist()
+    scored = [score_rows(m, folded.filter(F.col("fold") == i), label, "fold") for i, m in zip(tests, models)]
+    return pin(reduce(DataFrame.unionAll, scored)), models
 
 
 def gbt_train_cv(df: DataFrame, names: Sequence[str], label: str, group: str, k: int = 3, params: dict | None = None,
                  model_path: str | None = None, seed: int = 0, partitions: int | None = None,
-                 parallelism: int = 3) -> tuple[DataFrame, object]:
+                 parallelism: int = 3) -> tuple[DataFrame, LeafwiseModel]:
     """Booster per group fold: (metrics per fold, model of the last fold, which is also saved)."""
     folded = split_group_kfold(df, group, k)
     scored, models = _folds_trained(
-        folded, names, label, range(k), lambda i: F.col("fold") != i, params, seed, partitions, parallelism)
+        folded, names, label, range(k), lambda i: lambda fold: fold != i, params, seed, partitions, parallelism)
     if model_path:
-        models[-1].write().overwrite().save(model_path)
+        models[-1].save(df.sparkSession, model_path)
     return fold_report(scored, label, "score", "fold"), models[-1]
 
 
@@ -91,72 +113,65 @@ def gbt_train_time_cv(df: DataFrame, names: Sequence[str], label: str, order: st
     """(fold, auc) of boosters that train on everything before their test window."""
     folded = split_time_series(df, order, k)
     scored, _ = _folds_trained(
-        folded, names, label, range(1, k + 1), lambda i: F.col("fold") < i, params, seed, partitions, parallelism)
+        folded, names, label, range(1, k + 1), lambda i: lambda fold: fold < i, params, seed, partitions, parallelism)
     return auc_roc(scored, label, "score", "fold")
 
 
 def gbt_train_full(df: DataFrame, names: Sequence[str], label: str, params: dict | None = None, model_path: str | None = None,
-                   seed: int = 0) -> PipelineModel:
-    """Assembler and booster trained on all rows; saved when a path is given."""
-    stages = [VectorAssembler(inputCols=list(names), outputCol="features"), booster(label, params, seed)]
-    model = Pipeline(stages=stages).fit(df)
+                   seed: int = 0) -> LeafwiseModel:
+    """Booster trained on all rows; saved when a path is given."""
+    model = fit_leafwise(df, names, label, booster(params), seed)
     if model_path:
-        model.write().overwrite().save(model_path)
+        model.save(df.sparkSession, model_path)
     return model
 
 
 def gbt_predict(model_path: str, df: DataFrame, key: str) -> DataFrame:
     """(key, score) from a saved model."""
-    return score_rows(PipelineModel.load(model_path), df, key)
+    return score_rows(LeafwiseModel.load(df.sparkSession, model_path), df, key)
 
 
-def feature_importance(model, names: Sequence[str]) -> DataFrame:
-    """(feature, importance), the most important first."""
-    trees = model.stages[-1] if isinstance(model, PipelineModel) else model
-    values = [(n, float(v)) for n, v in zip(names, trees.featureImportances.toArray())]
+def feature_importance(model: LeafwiseModel, names: Sequence[str] | None = None) -> DataFrame:
+    """(feature, importance): total gain of the splits by each feature (0 if there is none), the largest first."""
+    gains = model.gains()
+    values = [(n, float(gains[n])) for n in (model.names if names is None else names)]
     session = SparkSession.getActiveSession()
     return session.createDataFrame(values, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
-# The searched ranges of the parameters that MLlib has. Leaf limit, child weight,
-# split gain, L2 regularisation and the binning sample have no counterpart there.
-SEARCH_SPACE = {
-    "maxIter": ("step", 1000, 5000, 50),
-    "stepSize": ("float", 0.00001, 0.03),
-    "maxDepth": ("step", 3, 8, 1),
-    "subsamplingRate": ("float", 0.60, 0.95),
-    "featureSubsetStrategy": ("share", 0.60, 0.95),
-    "minInstancesPerNode": ("step", 1, 500, 1),
-}
-
+def _held_out_accuracy(blocks, names, edges, params: dict, seed: int, fold: int) -> float | None:
+    """Share of right decisions in one fold by a booster that learned from the others."""
+    def judge(state):
+        hits = state.map(lambda b: (int(((b.margin > 0) == (b.y == 1))[b.fold == fold].sum()), int((b.fold == fold).sum())))
+        return hits.fold((0, 0), lambda a, b: (a[0] + b[0], a[1] + b[1]))
 
-def _draw(rule: tuple, rng: random.Random):
-    kind, lo, hi = rule[:3]
-    if kind == "step":
-        return rng.randrange(lo, hi + 1, rule[3])
-    value = rng.uniform(lo, hi)
-    return f"{value:.3f}" if kind == "share" else value
+    right, rows = fit_blocks(blocks, names, edges, params, seed, lambda f: f != fold, judge)[1]
+    return right / rows if rows else None
 
 
 def hyperparam_search(df: DataFrame, names: Sequence[str], key: str, label: str, space: dict | None = None, trials: int = 20,
-                      k: int = 5, seed: int = 0, parallelism: int = 4) -> DataFrame:
-    """(trial, parameters as JSON, score): random trials scored by mean accuracy over stratified folds,
-    the best first."""
+                      k: int = 5, seed: int = 0, parallelism: int = 4, batch: int = 5, fixed: dict | None = None) -> DataFrame:
+    """(trial, parameters as JSON, score), the best first: trials scored by mean accuracy over stratified folds.
+
+    The first batch is drawn at random, later ones where good trials are dense and bad ones are not (`search.adaptive_search`). The
+    trainings of a batch run side by side. `fixed` holds parameters that are not searched.
+    """
     space = SEARCH_SPACE if space is None else space
-    rng = random.Random(seed)
-    folded = split_stratified_kfold(df, key, label, k, seed)
-    vectors = assemble(folded, names).select(col(label), F.col("fold").cast("int").alias("fold"), "features").persist()
+    folded = split_stratified_kfold(df, key, label, k, seed).select(*[col(n) for n in names], col(label), "fold")
+    edges = fit_bins(folded, names)
+    blocks = packed_blocks(folded, names, edges, label, "fold").persist()
     try:
-        model = booster(label, {}, seed)
-        drawn = [{n: _draw(rule, rng) for n, rule in space.items()} for _ in range(trials)]
-        maps = [{model.getParam(n): v for n, v in d.items()} for d in drawn]
-        judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
-        found = CrossValidator(estimator=model, estimatorParamMaps=maps, evaluator=judge, numFolds=k, foldCol="fold",
-                               parallelism=parallelism).fit(vectors)
+        with ThreadPoolExecutor(parallelism) as pool:
+            def judge(drawn: Sequence[dict]) -> list[float]:
+                asked = [({**(fixed or {}), **d}, i) for d in drawn for i in range(k)]
+                found = list(pool.map(lambda a: _held_out_accuracy(blocks, names, edges, a[0], seed, a[1]), asked))
+                parts = [[s for s in found[j:j + k] if s is not None] for j in range(0, len(found), k)]
+                return [sum(s) / len(s) if s else 0.0 for s in parts]
+
+            history = adaptive_search(space, judge, trials, batch, seed)
     finally:
-        vectors.unpersist()
-    rows = [(i, json.dumps(d, sort_keys=True), float(s))
-            for i, (d, s) in enumerate(zip(drawn, found.avgMetrics))]
+        blocks.unpersist()
+    rows = [(i, json.dumps(d, sort_keys=True), float(s)) for i, (d, s) in enumerate(history)]
     return df.sparkSession.createDataFrame(rows, "trial int, parameters string, score double").orderBy(F.desc("score"), "trial")
 
 
@@ -165,31 +180,70 @@ def best_parameters(found: DataFrame) -> dict:
     return json.loads(found.first()["parameters"])
 
 
+def _bin_counts(rows: DataFrame, names: Sequence[str], edges: Sequence[np.ndarray], label: str, folds: int) -> DataFrame:
+    """(feature, fold, bin, n0, n1): rows of either class. A task adds up all its rows before anything is shuffled."""
+    import pyarrow as pa
+
+    width, bins, edges = len(names), bin_count(edges), list(edges)
+
+    def count(batches):
+        total = np.zeros((width, folds * bins * 2), dtype=np.int64)
+        for batch in batches:
+            y, fold = (batch.column(width + i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+            for i, e in enumerate(edges):
+                x = binned(batch.column(i).to_numpy(zero_copy_only=False).astype(float), e)
+                total[i] += np.bincount((fold * bins + x) * 2 + y, minlength=folds * bins * 2)
+        total = total.reshape(width, folds, bins, 2)
+        at = np.nonzero(total.sum(axis=3))
+        yield pa.RecordBatch.from_arrays([*[pa.array(a.astype(np.int32)) for a in at], *[pa.array(total[(*at, c)]) for c in (0, 1)]],
+                                         ["feature", "fold", "bin", "n0", "n1"])
+
+    flat = rows.filter(col(label).isNotNull()).select(
+        *[col(n).cast("double").alias(f"c{i}") for i, n in enumerate(names)], (col(label) == 1).cast("int").alias("y"), F.col("fold").cast("int"))
+    made = flat.mapInArrow(count, "feature int, fold int, bin int, n0 long, n1 long")
+    return made.groupBy("feature", "fold", "bin").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def _auc_of_counts(score: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> float | None:
+    """Area under the ROC curve of counted scores; equal scores count half."""
+    if not n0.sum() or not n1.sum():
+        return None
+    _, at = np.unique(score, return_inverse=True)
+    neg, pos = np.bincount(at, weights=n0), np.bincount(at, weights=n1)
+    return float((pos * (np.cumsum(neg) - neg / 2)).sum() / (neg.sum() * pos.sum()))
+
+
 def feature_time_consistency(df: DataFrame, names: Sequence[str], label: str, group: str, k: int = 4, params: dict | None = None,
-                             seed: int = 0, partitions: int | None = None, parallelism: int = 4) -> DataFrame:
-    """(feature, auc, flagged): does one feature alone, trained on some periods, still separate
-    the classes in others? Mean AUC over group folds; below one half it is flagged."""
-    params = CONSISTENCY_BOOSTER if params is None else params
+                             seed: int = 0) -> DataFrame:
+    """(feature, auc, flagged): does one feature alone, trained on some periods, still separate the classes in others? Mean AUC
+    over group folds; below one half it is flagged.
+
+    The rows are read for the bins and once more to count them per feature, fold, bin and class. Boosters learn from these counts, a
+    few hundred per feature, which says the same as learning from the rows.
+    """
+    p = settings(CONSISTENCY_BOOSTER if params is None else params)
     folds = pin(group_folds(df.select(col(group)), group, k))
-    rows = _spread(attach(df.select(*[col(n) for n in names], col(label), col(group)), folds, group), partitions).persist()
+    edges = fit_bins(df, names, p["max_bin"])
+    bins = bin_count(edges)
+    rows = attach(df.select(*[col(n) for n in names], col(label), col(group)), folds, group)
+    listed_names = list(names)
 
-    def one(name: str) -> DataFrame:
-        vectors = assemble(rows.select(col(name).cast("double").alias("x"), col(label), "fold"), ["x"])
-        parts = []
+    def judge(counts: pd.DataFrame) -> pd.DataFrame:
+        aucs = []
         for i in range(k):
-            model = booster(label, params, seed).fit(vectors.filter(F.col("fold") != i))
-            parts.append(score_rows(model, vectors.filter(F.col("fold") == i), label, "fold"))
-        return reduce(DataFrame.unionAll, parts).withColumn("feature", F.lit(name))
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            scored = pin(reduce(DataFrame.unionAll, pool.map(one, names)).withColumn(
-                "_part", F.concat_ws("|", "feature", F.col("fold").cast("string"))))
-    finally:
-        rows.unpersist()
-    per_fold = auc_roc(scored, label, "score", "_part").withColumn(
-        "feature", F.expr("substring_index(_part, '|', size(split(_part, '[|]')) - 1)"))
-    return per_fold.groupBy("feature").agg(F.avg("auc").alias("auc")).withColumn("flagged", F.col("auc") < 0.5)
+            learn, test = counts[counts["fold"] != i], counts[counts["fold"] == i]
+            cells = learn.groupby("bin", as_index=False)[["n0", "n1"]].sum()
+            x = np.repeat(cells["bin"].to_numpy(np.uint8), 2)[:, None]
+            weight = cells[["n0", "n1"]].to_numpy(float).reshape(-1)
+            margin = local_margins(x, np.tile([0.0, 1.0], len(cells)), weight, bins, p, seed)
+            # A bin that only the test fold has is scored like any other value: by where the trees send it.
+            auc = _auc_of_counts(margin(test["bin"].to_numpy(np.uint8)[:, None]), test["n0"].to_numpy(float), test["n1"].to_numpy(float))
+            if auc is not None:
+                aucs.append(auc)
+        return pd.DataFrame({"feature": [listed_names[int(counts["feature"].iloc[0])]], "auc": [float(np.mean(aucs)) if aucs else None]})
+
+    found = _bin_counts(rows, names, edges, label, k).groupBy("feature").applyInPandas(judge, "feature string, auc double")
+    return found.withColumn("flagged", F.col("auc") < 0.5)
 
 
 # ---- kernel machine and neural network --------------------------------------------------
