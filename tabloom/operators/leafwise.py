@@ -61,7 +61,10 @@ def fit_bins(df: DataFrame, names: Sequence[str], max_bin: int = 255) -> list[np
     """Upper ends of the bins of every column, from sketched quantiles of all rows: one aggregate per 32 columns."""
     if not 2 <= max_bin <= 255:
         raise ValueError("max_bin must be between 2 and 255")
-    shares, edges = [i / max_bin for i in range(1, max_bin)], []
+    edges = []
+    # One constant, not hundreds of literals per column.
+    shares = F.lit(",".join(repr(i / max_bin) for i in range(1, max_bin)))
+    shares = F.split(shares, ",").cast("array<double>")
     for lo in range(0, len(names), SKETCH_COLUMNS):
         chunk = names[lo:lo + SKETCH_COLUMNS]
         clean = [F.nanvl(col(n).cast("double"), F.lit(None).cast("double")) for n in chunk]
