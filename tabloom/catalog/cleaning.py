@@ -45,6 +45,24 @@ def _(t):
     lines = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
         F.when(F.col("l_returnflag") != "A", F.col("l_quantity") * 1000 + F.col("l_extendedprice")).alias("price"))
+    return rounded(E.impute_chained(lines, ["l_quantity", "price"], regression="least_squares"), 4)
+
+
+@query("impute_chained_ridge", """
+    WITH RECURSIVE l AS (SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_returnflag <> 'A' THEN l_quantity * 10 + l_extendedprice / 100 END AS price FROM lineitem),
+    m AS (SELECT count(*) AS n, avg(l_quantity) AS mx, avg(price) AS my FROM l WHERE price IS NOT NULL),
+    s AS (SELECT n, mx, my, sum((l_quantity - mx) ** 2) AS xx, sum((l_quantity - mx) * (price - my)) AS xy, sum((price - my) ** 2) AS yy
+          FROM l, m WHERE price IS NOT NULL GROUP BY ALL),
+    e AS (SELECT 0 AS i, n / yy AS alpha, 1.0::DOUBLE AS penalty, CAST(NULL AS DOUBLE) AS w, CAST(NULL AS DOUBLE) AS old FROM s
+          UNION ALL SELECT i + 1, (n - g + 2e-6) / (greatest(yy - 2 * v * xy + v * v * xx, 0) + 2e-6), (g + 2e-6) / (v * v + 2e-6), v, w
+          FROM (SELECT *, xy / (xx + penalty / alpha) AS v, alpha * xx / (penalty + alpha * xx) AS g FROM e, s)
+          WHERE i < 300 AND (old IS NULL OR abs(old - w) >= 1e-3)),
+    f AS (SELECT xy / (xx + penalty / alpha) AS b, mx, my FROM e, s ORDER BY i DESC LIMIT 1)
+    SELECT l_orderkey, l_linenumber, l_quantity, round(coalesce(price, my + b * (l_quantity - mx)), 4) AS price FROM l, f""")
+def _(t):
+    lines = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_quantity",
+        F.when(F.col("l_returnflag") != "A", F.col("l_quantity") * 10 + F.col("l_extendedprice") / 100).alias("price"))
     return rounded(E.impute_chained(lines, ["l_quantity", "price"]), 4)
 
 

@@ -13,7 +13,8 @@ from ..columns import col, melt, require
 from ..functions import fn_as_string, fn_concat_key, fn_log10_shift, fn_month_index, fn_start_plus_seconds
 from ..ordering import attach, column_parts, ordered_index
 from ..session import pin
-from .profile import _wide, null_counts, skew_profile
+from .chained import impute_chained
+from .profile import _wide, skew_profile
 
 # ---- filling missing values -----------------------------------------------------------
 
@@ -66,45 +67,6 @@ def impute_mode(df: DataFrame, names: Sequence[str], fit_on: DataFrame | None =
     return fit_mode(df if fit_on is None else fit_on, names).transform(df)
 
 
-def impute_chained(df: DataFrame, names: Sequence[str], rounds: int = 10, tol: float = 1e-3) -> DataFrame:
-    """Iterative regression imputation: every incomplete column is regressed on all others,
-    starting from means, until the coefficients settle or the rounds are used up.
-
-    Each round trains on the observed rows of one column at a time and replaces only the
-    values that were missing.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    _, nulls = null_counts(df.select(*[col(n) for n in names]))
-    incomplete = sorted((n for n in names if nulls[n]), key=lambda n: nulls[n])
-    flagged = df.withColumns({f"_miss_{n}": col(n).isNull() for n in incomplete})
-    current = impute_mean(flagged, names)
-    previous: dict[str, list[float]] = {}
-    for _ in range(rounds if len(names) > 1 else 0):
-        moved = 0.0
-        for n in incomplete:
-            others = [m for m in names if m != n]
-            vectors = VectorAssembler(inputCols=others, outputCol="_x").transform(current)
-            model = LinearRegression(featuresCol="_x", labelCol=n, predictionCol="_p").fit(
-                vectors.filter(~F.col(f"_miss_{n}")))
-            fitted = model.transform(vectors)
-            current = fitted.withColumn(n, F.when(F.col(f"_miss_{n}"), F.col("_p")).otherwise(col(n))).drop("_x", "_p")
-            weights = [*model.coefficients.toArray().tolist(), model.intercept]
-            if n in previous:
-                scale = max(1.0, max(abs(w) for w in weights))
-                moved = max(moved, max(abs(a - b) for a, b in zip(weights, previous[n])) / scale)
-            else:
-                # With a single incomplete column nothing it is predicted from will change.
-                moved = float("inf") if len(incomplete) > 1 else 0.0
-            previous[n] = weights
-        # The plan would grow with every round: write the state and go on from there.
-        current = pin(current)
-        if moved < tol:
-            break
-    return current.drop(*[f"_miss_{n}" for n in incomplete])
-
-
 # ---- categories -----------------------------------------------------------------------
 
 
