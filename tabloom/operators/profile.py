@@ -7,9 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..columns import col, listed, melt, one_row_to_long
-from ..ordering import attach, quantile_table
+from ..ordering import attach, class_aggregates, classed_columns, quantile_table
 from ..session import driver_table, pin
 
 # ---- missing values -------------------------------------------------------------------
@@ -156,13 +157,12 @@ def skew_profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
         "column_name", unbiased_skew(F.col("n"), F.col("g")).alias("skew"))
 
 
-_MOMENTS = (F.count, F.avg, F.stddev_samp, F.min, F.max)
+_MOMENTS = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
 
 def describe(df: DataFrame, names: Sequence[str], by: str | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles, max per column (and class)."""
-    extras = [f("value").alias(a) for f, a in zip(_MOMENTS, ("count", "mean", "std", "min", "max"))]
-    table = quantile_table(df, names, [0.25, 0.5, 0.75], by, extras, ["q25", "q50", "q75"])
+    """count, mean, std, min, quartiles, max per column (and class); a column without values has count 0 and NULL elsewhere."""
+    table = quantile_table(df, names, [0.25, 0.5, 0.75], by, _MOMENTS, ["q25", "q50", "q75"])
     return table.select(*listed(by), "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -198,7 +198,54 @@ def box_stats(df: DataFrame, name: str, by: str) -> DataFrame:
 
 def histograms(df: DataFrame, names: Sequence[str], bins: int = 10, by: str | None = None) -> DataFrame:
     """Equal-width bins between each column's (and class's) minimum and maximum, the last one
-    closed, empty ones included: (by, column_name, bin, bin_low, bin_high, count)."""
+    closed, empty ones included: (by, column_name, bin, bin_low, bin_high, count).
+
+    One aggregate finds the ends, one pass counts all columns side by side. Many classes are joined with their ends.
+    """
+    found = class_aggregates(df, names, by, {"lo": F.min, "hi": F.max})
+    if found is None:
+        return _joined_histograms(df, names, bins, by)
+    classes, ends = found
+    spans = {}
+    for i, c in enumerate(classes):
+        for j in range(len(names)):
+            lo, hi = ends[c, j]["lo"], ends[c, j]["hi"]
+            if lo is not None:
+                # A constant column gets the unit interval around its value.
+                spans[i, j] = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+    counts = {(r["class"], r["column"], r["bin"]): r["c"] for r in _bin_counts(classed_columns(df, names, by, classes), spans, bins).collect()}
+    rows = []
+    for (i, j), (lo, hi) in spans.items():
+        width = (hi - lo) / bins
+        rows += [(*([classes[i]] if by else []), names[j], b, lo + b * width, lo + (b + 1) * width, counts.get((i, j, b), 0)) for b in range(bins)]
+    kinds = [T.StructField("column_name", T.StringType()), T.StructField("bin", T.IntegerType()), T.StructField("bin_low", T.DoubleType()),
+             T.StructField("bin_high", T.DoubleType()), T.StructField("count", T.LongType())]
+    return df.sparkSession.createDataFrame(rows, T.StructType(([T.StructField(by, df.schema[by].dataType)] if by else []) + kinds))
+
+
+def _bin_counts(facts: DataFrame, spans: dict[tuple[int, int], tuple[float, float]], bins: int) -> DataFrame:
+    """(class, column, bin, c): a task counts all its rows before anything is shuffled."""
+    import numpy as np
+    import pyarrow as pa
+
+    def scan(batches):
+        total = {at: np.zeros(bins, dtype=np.int64) for at in spans}
+        for batch in batches:
+            classes = batch.column(0).to_numpy(zero_copy_only=False)
+            columns = [batch.column(j + 1).to_numpy(zero_copy_only=False).astype(float) for j in range(batch.num_columns - 1)]
+            for (i, j), (lo, hi) in spans.items():
+                values = columns[j][(classes == i) & ~np.isnan(columns[j])]
+                place = np.floor((values - lo) / ((hi - lo) / bins)).astype(np.int64)
+                total[i, j] += np.bincount(np.minimum(place, bins - 1), minlength=bins)
+        rows = [(i, j, b, int(c)) for (i, j), t in total.items() for b, c in enumerate(t) if c]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate([pa.int32()] * 3 + [pa.int64()])],
+                                         ["class", "column", "bin", "c"])
+
+    return facts.mapInArrow(scan, "class int, column int, bin int, c long").groupBy("class", "column", "bin").agg(F.sum("c").alias("c"))
+
+
+def _joined_histograms(df: DataFrame, names: Sequence[str], bins: int, by: str) -> DataFrame:
+    """histograms for many classes: every value is joined with the ends of its class and column."""
     keys = listed(by) + ["column_name"]
     facts = melt(df, names, listed(by))
     spans = facts.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
@@ -208,7 +255,7 @@ def histograms(df: DataFrame, names: Sequence[str], bins: int = 10, by: str | No
         "lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")),
         "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))}))
     place = F.floor((F.col("value") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / bins))
-    counted = (
+    counted = pin(
         attach(facts, spans, keys, "inner")
         .groupBy(*keys, F.least(place, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("count")))

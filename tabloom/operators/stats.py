@@ -135,7 +135,7 @@ def _ks_on_heights(df: DataFrame, names: Sequence[str], label: str, alpha: float
 def ks_histogram_numeric(df: DataFrame, names: Sequence[str], label: str, alpha: float = 0.05,
                          lo: float = 0.003, hi: float = 0.997) -> DataFrame:
     """Values outside the whole column's quantile range are left out; label is 0 or 1."""
-    bounds = quantile_values(df, names, [lo, hi])
+    bounds = {n: b for n, b in quantile_values(df, names, [lo, hi]).items() if b[0] is not None}
     trimmed = df.select(col(label), *[
         F.when(col(n).cast("double").between(*bounds[n]), col(n).cast("double")).alias(n) for n in names if n in bounds])
     return _ks_on_heights(trimmed, [n for n in names if n in bounds], label, alpha)

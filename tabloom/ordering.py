@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .columns import col, listed, melt
-from .session import measured_size, pin, row_bytes
+from .session import driver_table, measured_size, pin, row_bytes
 
 # Above these sizes a lookup table is joined by shuffle (AQE splits skewed keys) instead of broadcast.
 BROADCAST_ROWS = 500_000
@@ -31,6 +31,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 WINDOW_ROWS = 1_000_000
 # Columns sketched in one scan; a task holds one sketch per column and class.
 SKETCH_COLUMNS = 32
+# Classes whose brackets and bins are constants of one pass over the columns; more are joined.
+CLASS_LITERALS = 64
+# Bracketed values that a task holds before it hands them on.
+HELD_VALUES = 1 << 20
 # monotonically_increasing_id keeps the row's place inside its partition in the low 33 bits.
 PLACE_BITS = 33
 
@@ -174,34 +178,158 @@ def _pick(slotted: DataFrame, keys: list[str]) -> DataFrame:
     return out.withColumns({"v": F.coalesce("v", missed), "v2": F.coalesce("v2", missed)})
 
 
+def clean_doubles(columns: Sequence[str]) -> list[Column]:
+    """The columns as doubles c0, c1, ...; NaN counts as missing."""
+    return [F.nanvl(col(n).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, n in enumerate(columns)]
+
+
+def class_aggregates(df: DataFrame, columns: Sequence[str], by: str | None, stats: dict[str, Callable[[Column], Column]]):
+    """(classes, stats per class and column) on the driver: one aggregate per SKETCH_COLUMNS columns over columns as they are. None
+    if there are more than CLASS_LITERALS classes. Without `by` there is one class."""
+    classes: list = []
+    found: dict[tuple, dict] = {}
+    for lo in range(0, len(columns), SKETCH_COLUMNS):
+        chunk = columns[lo:lo + SKETCH_COLUMNS]
+        facts = df.select(*([col(by).alias("class")] if by else []), *clean_doubles(chunk))
+        rows = facts.groupBy(*(["class"] if by else [])).agg(
+            *[f(F.col(f"c{i}")).alias(f"{i}|{s}") for i in range(len(chunk)) for s, f in stats.items()]).limit(CLASS_LITERALS + 1).collect()
+        if len(rows) > CLASS_LITERALS:
+            return None
+        classes = [r["class"] for r in rows] if by else [None]
+        for c, r in zip(classes, rows):
+            found |= {(c, lo + i): {s: r[f"{i}|{s}"] for s in stats} for i in range(len(chunk))}
+    return classes, found
+
+
+def classed_columns(df: DataFrame, columns: Sequence[str], by: str | None, classes: Sequence) -> DataFrame:
+    """(class number, c0, c1, ...): what a pass in numpy reads."""
+    number = F.lit(0)
+    if by:
+        number = F.lit(-1)
+        for i, c in enumerate(classes):
+            number = F.when(col(by).eqNullSafe(literal(c, df.schema[by].dataType)), i).otherwise(number)
+    return df.select(number.cast("int").alias("class"), *clean_doubles(columns))
+
+
+def _bracketed_values(facts: DataFrame, brackets: dict[tuple[int, int], list[tuple[float, float]]]) -> DataFrame:
+    """(class, column, bracket, region, x, c) of one pass: how many values lie below each bracket (region 0, x missing) and
+    how often each value inside occurs (region 1). Everything else stays where it is."""
+    import numpy as np
+    import pyarrow as pa
+
+    def scan(batches):
+        below: dict[tuple, int] = {}
+        inside: dict[tuple, list] = {}
+        held = 0
+
+        def flush():
+            rows = [(*at, 0, None, n) for at, n in below.items() if n]
+            for at, parts in inside.items():
+                values, counts = np.unique(np.concatenate(parts), return_counts=True)
+                rows += [(*at, 1, v, c) for v, c in zip(values.tolist(), counts.tolist())]
+            below.clear()
+            inside.clear()
+            kinds = [pa.int32()] * 4 + [pa.float64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                             ["class", "column", "bracket", "region", "x", "c"])
+
+        for batch in batches:
+            classes = batch.column(0).to_numpy(zero_copy_only=False)
+            own = {c: classes == c for c in np.unique(classes).tolist()}
+            for j in range(batch.num_columns - 1):
+                values = batch.column(j + 1).to_numpy(zero_copy_only=False).astype(float)
+                for c, mine in own.items():
+                    part = values[mine] if len(own) > 1 else values
+                    for b, (lo, hi) in enumerate(brackets.get((c, j), ())):
+                        at = (c, j, b)
+                        below[at] = below.get(at, 0) + int((part < lo).sum())
+                        hits = part[(part >= lo) & (part <= hi)]
+                        if len(hits):
+                            inside.setdefault(at, []).append(hits)
+                            held += len(hits)
+            if held > HELD_VALUES:
+                yield from flush()
+                held = 0
+        yield from flush()
+
+    made = facts.mapInArrow(scan, "class int, column int, bracket int, region int, x double, c long")
+    return made.groupBy("class", "column", "bracket", "region", "x").agg(F.sum("c").alias("c"))
+
+
 def quantile_table(
     df: DataFrame, columns: Sequence[str], qs: Sequence[float], by: str | None = None,
-    extras: Sequence[Column] = (), names: Sequence[str] | None = None, accuracy: int = 10_000,
+    extras: dict[str, Callable[[Column], Column]] | None = None, names: Sequence[str] | None = None, accuracy: int = 10_000,
 ) -> DataFrame:
-    """Exact interpolated quantiles: (by, column_name, extras..., one column per q).
+    """Exact interpolated quantiles: (by, column_name, extras..., one column per q); every column (and class) has a row, with NULL
+    quantiles where it has no value.
 
-    extras are further aggregates of `value`, computed in the sketching scan. Groups no larger
-    than the accuracy are ranked whole; beyond it the sketch's error bound sets the bracket.
+    One aggregate sketches all columns as they are; extras are further aggregates of it. The brackets are constants of the second
+    pass, which counts what lies below them and hands on only the values inside. Groups no larger than the accuracy are ranked
+    whole; beyond it the sketch's error bound sets the bracket. More than CLASS_LITERALS classes are joined with their brackets.
     """
-    keys = listed(by) + ["column_name"]
     names = list(names) if names else [f"q{i}" for i in range(len(qs))]
+    extras, slack = extras or {}, 4.0 / accuracy
+    own = {"_n": F.count, "_min": F.min, "_max": F.max, "_ends": lambda c: F.percentile_approx(c, _around(qs, slack), accuracy)}
+    sketched = class_aggregates(df, columns, by, own | extras)
+    if sketched is None:
+        return _joined_quantiles(df, columns, qs, by, extras, names, accuracy)
+    classes, stats = sketched
+    brackets: dict[tuple[int, int], list[tuple[float, float]]] = {}
+    asked = []
+    for i, c in enumerate(classes):
+        for j in range(len(columns)):
+            known = stats[c, j]
+            if not known["_n"]:
+                continue
+            slots: dict[tuple[float, float], list] = {}
+            for s, q in enumerate(qs):
+                ends = (known["_min"], known["_max"]) if known["_n"] <= accuracy else tuple(known["_ends"][2 * s:2 * s + 2])
+                pos = float(q) * (known["_n"] - 1)
+                slots.setdefault(ends, []).append((s, pos, math.floor(pos), math.ceil(pos)))
+            brackets[i, j] = list(slots)
+            asked += [(i, j, b, wanted) for b, wanted in enumerate(slots.values())]
+    spark, exact = df.sparkSession, {}
+    if asked:
+        plan = driver_table(spark, asked, "class int, column int, bracket int, _slots array<struct<slot:int,pos:double,k:bigint,k2:bigint>>")
+        keys = ["class", "column", "bracket"]
+        counts = _bracketed_values(classed_columns(df, columns, by, classes), brackets)
+        largest = max(stats[classes[i], j]["_n"] for i, j in brackets)
+        ranked = _rank_counts(counts, keys, largest, 1, slack)
+        for r in _pick(attach(ranked, plan, keys, "inner", null_safe=False), keys).collect():
+            exact[r["class"], r["column"], r["slot"]] = r["v"] + (r["v2"] - r["v"]) * (r["pos"] - r["k"])
+    shape = df.select(*([col(by)] if by else []), F.lit("").alias("column_name"),
+                      *[f(F.lit(0.0)).over(Window.partitionBy(F.lit(0))).alias(n) for n, f in extras.items()],
+                      *[F.lit(0.0).alias(n) for n in names]).schema
+    shape = T.StructType([T.StructField(f.name, f.dataType) for f in shape.fields])
+    rows = [(*([c] if by else []), columns[j], *[stats[c, j][n] for n in extras], *[exact.get((i, j, s)) for s in range(len(qs))])
+            for i, c in enumerate(classes) for j in range(len(columns))]
+    return spark.createDataFrame(rows, shape)
+
+
+def _joined_quantiles(df: DataFrame, columns: Sequence[str], qs: Sequence[float], by: str, extras: dict, names: list[str],
+                      accuracy: int) -> DataFrame:
+    """quantile_table for many classes: every value is joined with the brackets of its class and column."""
+    keys = listed(by) + ["column_name"]
     if len(columns) > SKETCH_COLUMNS:
         # A columnar scan reads every column once, however they are grouped.
         chunks = [columns[i:i + SKETCH_COLUMNS] for i in range(0, len(columns), SKETCH_COLUMNS)]
-        return reduce(DataFrame.unionByName, [quantile_table(df, c, qs, by, extras, names, accuracy) for c in chunks])
+        return reduce(DataFrame.unionByName, [_joined_quantiles(df, c, qs, by, extras, names, accuracy) for c in chunks])
     slack = 4.0 / accuracy
-    facts = melt(df, columns, listed(by))
+    flat = df.select(col(by), *clean_doubles(columns))
+    facts = flat.unpivot([col(by)], [F.col(f"c{i}").alias(n) for i, n in enumerate(columns)], "column_name", "value")
     sketched = pin(facts.groupBy(*keys).agg(
-        F.count("value").alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"), *extras,
+        F.count("value").alias("_n"), F.min("value").alias("_min"), F.max("value").alias("_max"),
+        *[f(F.col("value")).alias(n) for n, f in extras.items()],
         F.percentile_approx("value", _around(qs, slack), accuracy).alias("_ends"),
     ))
     few, ends = F.col("_n") <= accuracy, F.col("_ends")
-    slots = sketched.select(*keys, F.array(*[
+    slots = sketched.filter("_n > 0").select(*keys, F.array(*[
         _slot(i, F.when(few, F.col("_min")).otherwise(ends[2 * i]), F.when(few, F.col("_max")).otherwise(ends[2 * i + 1]),
               F.lit(float(q)) * (F.col("_n") - 1))
         for i, q in enumerate(qs)]).alias("_slots"))
     largest = sketched.agg(F.max("_n")).first()[0] or 0
-    counts = _count_bracketed(attach(facts, slots, keys, "inner", part_of=sketched), keys, len(qs))
+    known = facts.filter(F.col("value").isNotNull())
+    counts = _count_bracketed(attach(known, slots, keys, "inner", part_of=sketched), keys, len(qs))
     ranked = _rank_counts(counts, keys, largest, len(qs), slack)
     exact = _pick(attach(ranked, slots, keys, "inner", part_of=sketched), keys)
     value = F.col("v") + (F.col("v2") - F.col("v")) * (F.col("pos") - F.col("k"))
