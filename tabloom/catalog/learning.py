@@ -100,6 +100,34 @@ def _(t):
     return rounded(M.f1_scores(t.scored, "y", "yhat"))
 
 
+_FOLDED = SCORED + ", folded AS (SELECT *, event_id % 3 AS fold FROM scored)"
+
+
+@query("fold_scores", f"""
+    WITH {_FOLDED}, k AS (
+      SELECT fold, v AS class, count(*) FILTER (y = v AND yhat = v) AS tp, count(*) FILTER (y <> v AND yhat = v) AS fp,
+             count(*) FILTER (y = v AND yhat <> v) AS fn, count(*) FILTER (y = v) AS support FROM folded, (VALUES (0), (1)) c(v) GROUP BY 1, 2),
+    r AS (SELECT *, 'precision' AS metric, tp AS top, tp + fp AS bottom FROM k UNION ALL SELECT *, 'recall', tp, tp + fn FROM k
+          UNION ALL SELECT *, 'f1', 2 * tp, 2 * tp + fp + fn FROM k),
+    s AS (SELECT *, CASE WHEN bottom > 0 THEN top / bottom ELSE 0 END AS value FROM r)
+    SELECT fold, metric, 'macro' AS average, round(avg(value), 6) AS value FROM s GROUP BY 1, 2
+    UNION ALL SELECT fold, metric, 'micro', round(sum(top) / sum(bottom), 6) FROM s GROUP BY 1, 2
+    UNION ALL SELECT fold, metric, 'weighted', round(sum(value * support) / sum(support), 6) FROM s GROUP BY 1, 2
+    UNION ALL SELECT fold, metric, 'binary', round(CASE WHEN bottom > 0 THEN value ELSE 1 END, 6) FROM s WHERE class = 1
+    UNION ALL SELECT fold, metric, 'class_' || class, round(value, 6) FROM s""")
+def _(t):
+    folded = t.scored.withColumn("fold", F.col("event_id") % 3)
+    return rounded(M.fold_scores(folded, "y", "score", "fold"))
+
+
+@query("confusion_matrix_by_fold", f"""
+    WITH {_FOLDED} SELECT f.v AS fold, a.v AS truth, b.v AS predicted, count(s.event_id) AS count
+    FROM (VALUES (0), (1), (2)) f(v) JOIN (VALUES (0), (1)) a(v) ON true JOIN (VALUES (0), (1)) b(v) ON true
+    LEFT JOIN folded s ON s.fold = f.v AND s.y = a.v AND s.yhat = b.v GROUP BY 1, 2, 3""")
+def _(t):
+    return M.confusion_matrix(t.scored.withColumn("fold", (F.col("event_id") % 3).cast("int")), "y", "yhat", "fold")
+
+
 # ---- models ----------------------------------------------------------------------------
 # Boosters of the queries differ from the default in their number of trees alone, so that all of them run within minutes; rows,
 # features, folds, leaves, depth and trials are all there are.
@@ -193,8 +221,8 @@ def _(t):
 # ---- whole flows ----------------------------------------------------------------------
 
 
-def prepared_orders(t):
-    """Orders joined with what is known about their returned lines, prepared for training."""
+def order_flow(t):
+    """(flow, orders, what is known about their returned lines)."""
     start = F.unix_timestamp(F.lit("1995-01-01"), "yyyy-MM-dd")
     transactions = t.orders.select(
         "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label"),
@@ -207,6 +235,12 @@ def prepared_orders(t):
         F.sum(F.when(F.col("l_linenumber") == 7, F.col("l_tax"))).alias("last_tax"))
     flow = Preparation("o_orderkey", "label", "seconds", "1995-01-01", 1995, rare={"customer": 10},
                        crosses=[("priority", "customer")])
+    return flow, transactions, identity
+
+
+def prepared_orders(t):
+    """Orders joined with what is known about their returned lines, prepared for training."""
+    flow, transactions, identity = order_flow(t)
     return flow.prepare(transactions, identity)
 
 
@@ -237,6 +271,30 @@ def _(t):
     return csv_scan_typed(t.spark, path, "o_orderkey bigint, label double")
 
 
+@query("prepared_test_features", """
+    WITH i AS (SELECT l_orderkey, sum(l_quantity) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+    j AS (SELECT o_orderkey, o_orderdate, o_totalprice AS amount, o_orderpriority AS priority, CAST(o_custkey AS VARCHAR) AS customer, i.returned,
+                 o_orderdate < TIMESTAMP '1998-07-01' AS early FROM orders LEFT JOIN i ON o_orderkey = l_orderkey),
+    k AS (SELECT customer FROM j WHERE early GROUP BY 1 HAVING count(*) >= 10),
+    r AS (SELECT j.* EXCLUDE (customer), CASE WHEN customer IN (FROM k) THEN customer ELSE 'others' END AS customer FROM j),
+    p AS (SELECT priority, row_number() OVER (ORDER BY priority) - 1 AS code FROM r WHERE early GROUP BY 1),
+    c AS (SELECT customer, row_number() OVER (ORDER BY customer) - 1 AS code FROM r WHERE early GROUP BY 1),
+    pc AS (SELECT priority || '_' || customer AS pair, row_number() OVER (ORDER BY priority || '_' || customer) - 1 AS code FROM r WHERE early GROUP BY 1)
+    SELECT o_orderkey, CAST(epoch(o_orderdate) - epoch(TIMESTAMP '1995-01-01') AS DOUBLE) AS seconds, amount,
+           round(coalesce(returned, (SELECT avg(returned) FROM r WHERE early)), 6) AS returned,
+           CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS INTEGER) AS "DT_M",
+           p.code AS priority, c.code AS customer, pc.code AS priority_customer
+    FROM r LEFT JOIN p ON r.priority = p.priority LEFT JOIN c ON r.customer = c.customer LEFT JOIN pc ON r.priority || '_' || r.customer = pair
+    WHERE NOT early""")
+def _(t):
+    """Late orders, prepared by what the early ones taught: columns, frequent customers, means and codes."""
+    flow, transactions, identity = order_flow(t)
+    early = F.col("o_orderdate") < F.lit("1998-07-01").cast("timestamp")
+    dated = transactions.join(t.orders.select("o_orderkey", "o_orderdate"), "o_orderkey")
+    fitted = flow.fit(dated.filter(early).drop("o_orderdate"), identity)
+    return rounded(fitted.transform(dated.filter(~early).drop("o_orderdate", "label"), identity))
+
+
 @query("time_split_evaluation")
 def _(t):
     lines = t.lineitem.select(

@@ -15,7 +15,20 @@ def fn_strip_thousands(c: Column) -> Column:
 
 
 def fn_as_string(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit(MISSING_TEXT))
+    """Text of a value, `nan` where it is missing. Floating-point numbers have plain decimals from 0.0001 up to 10^16 and an exponent
+    of two digits beyond (12345678.0, 1e+16, 1.5e-05)."""
+    kind = F.typeof(c)
+    text, number = c.cast("string"), c.try_cast("double")
+    # Shortest digits have at most 17 places: all of them fit the decimal.
+    plain = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "(?<=[.][0-9]|[.][0-9]{1,19}[1-9])0+$", "")
+    power = F.regexp_replace(F.regexp_replace(text, "([.]0)?E(-?)([0-9])$", "$1E$20$3"), "([.]0)?E(-?)([0-9]+)$", "e+$3")
+    power = F.when(F.instr(text, "E-") > 0, F.replace(power, F.lit("e+"), F.lit("e-"))).otherwise(power)
+    power = F.concat(F.regexp_extract(text, "^(-?[0-9.]+?)([.]0)?E", 1), F.regexp_extract(power, "(e[+-][0-9]+)$", 1))
+    size = F.abs(number)
+    written = F.when(~kind.isin("double", "float") | ~text.contains("E"), text).when((size >= 1e-4) & (size < 1e16), plain).otherwise(power)
+    written = F.when(kind.isin("double", "float") & F.isnan(number), F.lit(MISSING_TEXT)).when(
+        kind.isin("double", "float"), F.replace(written, F.lit("Infinity"), F.lit("inf"))).otherwise(written)
+    return F.coalesce(written, F.lit(MISSING_TEXT))
 
 
 def fn_concat_key(a: Column, b: Column) -> Column:

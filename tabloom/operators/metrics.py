@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,18 +37,19 @@ def confusion_counts(df: DataFrame, y: str, yhat: str, by: str | None = None) ->
         cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(0, 0).alias("tn"), cell(1, 0).alias("fn"))
 
 
-def _cells(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """(truth, predicted, count): at most classes squared rows."""
-    return df.groupBy(col(y).alias("truth"), col(yhat).alias("predicted")).agg(F.count(F.lit(1)).alias("count"))
+def _cells(df: DataFrame, y: str, yhat: str, by: str | None = None) -> DataFrame:
+    """(by, truth, predicted, count): at most classes squared rows (per class of by)."""
+    return df.groupBy(*[col(k) for k in listed(by)], col(y).alias("truth"), col(yhat).alias("predicted")).agg(F.count(F.lit(1)).alias("count"))
 
 
-def confusion_matrix(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """(truth, predicted, count) over all combinations of the classes that occur."""
-    cells = pin(_cells(df, y, yhat))
+def confusion_matrix(df: DataFrame, y: str, yhat: str, by: str | None = None) -> DataFrame:
+    """(by, truth, predicted, count) over all combinations of the classes that occur (in that class of `by`)."""
+    keys = listed(by)
+    cells = pin(_cells(df, y, yhat, by))
     classes = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("truth", "predicted")))))
-    grid = cells.agg(classes.alias("classes")).select(F.explode("classes").alias("truth"), "classes").select(
-        "truth", F.explode("classes").alias("predicted"))
-    return grid.join(cells, ["truth", "predicted"], "left").fillna(0, ["count"])
+    grid = cells.groupBy(*keys).agg(classes.alias("classes")).select(*keys, F.explode("classes").alias("truth"), "classes").select(
+        *keys, "truth", F.explode("classes").alias("predicted"))
+    return grid.join(cells, [*keys, "truth", "predicted"], "left").fillna(0, ["count"])
 
 
 def confusion_matrix_norm(df: DataFrame, y: str, yhat: str, numpy_broadcast: bool = False) -> DataFrame:
@@ -66,50 +69,60 @@ def accuracy(df: DataFrame, y: str, yhat: str, by: str | None = None) -> DataFra
     return df.groupBy(*listed(by)).agg(F.avg((col(y) == col(yhat)).cast("double")).alias("accuracy"))
 
 
-def _per_class(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """(class, tp, fp, fn, support)."""
+def _per_class(df: DataFrame, y: str, yhat: str, by: str | None = None) -> DataFrame:
+    """(by, class, tp, fp, fn, support)."""
     sides = F.array(
         F.struct(F.col("truth").alias("class"), F.lit(True).alias("real")),
         F.struct(F.col("predicted").alias("class"), F.lit(False).alias("real")))
-    long = _cells(df, y, yhat).select("truth", "predicted", "count", F.inline(sides))
+    keys = listed(by)
+    long = _cells(df, y, yhat, by).select(*keys, "truth", "predicted", "count", F.inline(sides))
     hit = F.col("truth") == F.col("predicted")
 
     def total(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("count")).otherwise(0))
 
-    return long.groupBy("class").agg(
+    return long.groupBy(*keys, "class").agg(
         total(hit & F.col("real")).alias("tp"), total(~hit & ~F.col("real")).alias("fp"),
         total(~hit & F.col("real")).alias("fn"), total(F.col("real")).alias("support"))
 
 
-def _scores(df: DataFrame, y: str, yhat: str, ratio) -> DataFrame:
-    """(average, value): macro, micro, weighted, one row per class, and the positive class
+def _scores(df: DataFrame, y: str, yhat: str, ratio, by: str | None = None) -> DataFrame:
+    """(by, average, value): macro, micro, weighted, one row per class, and the positive class
     with an undefined ratio counted as 1 ('binary'); elsewhere undefined ratios count as 0."""
-    classes = _per_class(df, y, yhat)
+    keys = listed(by)
+    classes = _per_class(df, y, yhat, by)
     top, bottom = ratio(F.col("tp"), F.col("fp"), F.col("fn"))
     value = F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
     all_top, all_bottom = ratio(F.sum("tp"), F.sum("fp"), F.sum("fn"))
     one = F.when(bottom > 0, top / bottom).otherwise(F.lit(1.0))
     each = F.array_sort(F.collect_list(F.struct(F.concat(F.lit("class_"), F.col("class").cast("string")).alias("average"), value.alias("value"))))
-    row = classes.agg(
+    row = classes.groupBy(*keys).agg(
         F.avg(value).alias("macro"),
         F.when(all_bottom > 0, all_top / all_bottom).otherwise(F.lit(0.0)).alias("micro"),
         (F.sum(value * F.col("support")) / F.sum("support")).alias("weighted"),
         F.max(F.when(F.col("class") == 1, one)).alias("binary"), each.alias("each"))
     named = F.array(*[F.struct(F.lit(n).alias("average"), F.col(n).alias("value")) for n in ("macro", "micro", "weighted", "binary")])
-    return row.select(F.inline(F.concat(named, F.col("each"))))
+    return row.select(*keys, F.inline(F.concat(named, F.col("each"))))
+
+
+def precision_scores(df: DataFrame, y: str, yhat: str, by: str | None = None) -> DataFrame:
+    return _scores(df, y, yhat, lambda tp, fp, fn: (tp, tp + fp), by)
 
 
-def precision_scores(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    return _scores(df, y, yhat, lambda tp, fp, fn: (tp, tp + fp))
+def recall_scores(df: DataFrame, y: str, yhat: str, by: str | None = None) -> DataFrame:
+    return _scores(df, y, yhat, lambda tp, fp, fn: (tp, tp + fn), by)
 
 
-def recall_scores(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    return _scores(df, y, yhat, lambda tp, fp, fn: (tp, tp + fn))
+def f1_scores(df: DataFrame, y: str, yhat: str, by: str | None = None) -> DataFrame:
+    return _scores(df, y, yhat, lambda tp, fp, fn: (2 * tp, 2 * tp + fp + fn), by)
 
 
-def f1_scores(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    return _scores(df, y, yhat, lambda tp, fp, fn: (2 * tp, 2 * tp + fp + fn))
+def fold_scores(predictions: DataFrame, y: str, score: str, by: str) -> DataFrame:
+    """(by, metric, average, value): precision, recall and F1 of the rounded scores, per fold and in all averages."""
+    decided = threshold_labels(predictions, score, "_yhat").select(col(by), col(y).alias("_y"), "_yhat")
+    ways = {"precision": precision_scores, "recall": recall_scores, "f1": f1_scores}
+    parts = [f(decided, "_y", "_yhat", by).withColumn("metric", F.lit(n)) for n, f in ways.items()]
+    return reduce(DataFrame.unionByName, parts).select(col(by), "metric", "average", "value")
 
 
 def fold_report(predictions: DataFrame, y: str, score: str, by: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 from ..columns import col, listed, melt, one_row_to_long
 from ..ordering import attach, class_aggregates, classed_columns, quantile_table
 from ..session import driver_table, pin
+from .correlate import pairwise_correlations
 
 # ---- missing values -------------------------------------------------------------------
 
@@ -247,7 +247,7 @@ def _bin_counts(facts: DataFrame, spans: dict[tuple[int, int], tuple[float, floa
 def _joined_histograms(df: DataFrame, names: Sequence[str], bins: int, by: str) -> DataFrame:
     """histograms for many classes: every value is joined with the ends of its class and column."""
     keys = listed(by) + ["column_name"]
-    facts = melt(df, names, listed(by))
+    facts = melt(df, names, listed(by)).filter(~F.isnan("value"))
     spans = facts.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     # A constant column gets the unit interval around its value.
     flat = F.col("lo") == F.col("hi")
@@ -285,44 +285,9 @@ def histogram_minmax(df: DataFrame, name: str, bins: int = 10, by: str | None =
 
 # ---- correlation ----------------------------------------------------------------------
 
-def _gramian(df: DataFrame, names: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
-    """Pairwise-complete correlation of many columns from one Gramian: each row contributes its
-    centred values, their squares and its presence flags. The result is O(columns squared)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
-
-    schema = "column_a string, column_b string, r double"
-    means = _wide(df, names, {"m": F.avg}).first() if pairs else None
-    if means is None or all(m is None for m in means):
-        return df.sparkSession.createDataFrame([(a, b, None) for a, b in pairs], schema)
-    centred = {n: F.coalesce(col(n).cast("double") - F.lit(means[f"{n}|m"]), F.lit(0.0)) for n in names}
-    wide = df.select(
-        *[c.alias(f"x{i}") for i, c in enumerate(centred.values())],
-        *[(c * c).alias(f"s{i}") for i, c in enumerate(centred.values())],
-        *[col(n).isNotNull().cast("double").alias(f"m{i}") for i, n in enumerate(names)])
-    vectors = VectorAssembler(inputCols=wide.columns, outputCol="v").transform(wide).select("v")
-    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
-    p, at = len(names), {n: i for i, n in enumerate(names)}
-    rows = []
-    for a, b in pairs:
-        i, j = at[a], at[b]
-        n, xy = gram[2 * p + i, 2 * p + j], gram[i, j]
-        sx, sy = gram[i, 2 * p + j], gram[2 * p + i, j]
-        sxx, syy = gram[p + i, 2 * p + j], gram[2 * p + i, p + j]
-        vx, vy = (sxx - sx * sx / n, syy - sy * sy / n) if n else (0.0, 0.0)
-        rows.append((a, b, float((xy - sx * sy / n) / (vx * vy) ** 0.5) if vx > 0 and vy > 0 else None))
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
-def _correlations(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One rule for any number of columns; a column without spread has no correlation (NULL)."""
-    return _gramian(df, list(names), list(itertools.combinations(sorted(names), 2)))
-
-
 def corr_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Pearson matrix in long form (column_a, column_b, r), both triangles and the diagonal."""
-    upper = _correlations(df, names)
+    upper = pairwise_correlations(df, names)
     lower = F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "r")
     both = upper.select(F.inline(F.array(F.struct("column_a", "column_b", "r"), lower)))
     diagonal = column_mean_std(df, names).select(
@@ -333,5 +298,5 @@ def corr_matrix(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def corr_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Absolute correlation of every unordered pair (column_a < column_b), strongest first."""
-    return _correlations(df, names).select("column_a", "column_b", F.abs("r").alias("abs_r")).orderBy(
+    return pairwise_correlations(df, names).select("column_a", "column_b", F.abs("r").alias("abs_r")).orderBy(
         F.desc_nulls_last("abs_r"), "column_a", "column_b")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..columns import col, listed
-from ..ordering import attach, ordered_index
+from ..ordering import attach, sliced_index
 from ..session import pin
 
 
@@ -41,4 +41,4 @@ def label_encode_date(df: DataFrame, ts: str, fmt: str = "yyyyMMdd", name: str =
 
 def global_row_index(df: DataFrame, order: str | Sequence[str], name: str = "row_index") -> DataFrame:
     """0-based position of each row in key order."""
-    return ordered_index(df, listed(order), name=name)
+    return sliced_index(df, listed(order), name)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..columns import col, listed, melt, require
 from ..ordering import attach, quantile_values
-from ..session import pin
+from ..session import driver_table, pin
 from .profile import null_counts
 
 # ---- projections ----------------------------------------------------------------------
@@ -101,15 +101,22 @@ def drop_cols_null_count(df: DataFrame, max_nulls: int = 10) -> DataFrame:
 
 
 def low_cardinality_columns(df: DataFrame, names: Sequence[str], below: int = 3) -> DataFrame:
-    """(column_name, distinct_values, values) of columns with fewer than `below` values."""
-    distinct = melt(df, names, as_type="string").distinct()
-    counted = distinct.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
-    few = pin(counted.filter(F.col("distinct_values") < below))
-    return (
-        attach(distinct, few, "column_name", "inner")
-        .groupBy("column_name", "distinct_values")
-        .agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("values"))
-    )
+    """(column_name, distinct_values, values) of columns with fewer than `below` values; one without any has 0 and an empty text.
+
+    A sketch of all columns side by side leaves out those that have many more; only the others are looked at value by value.
+    """
+    require(df, names)
+    guess = df.agg(*[F.approx_count_distinct(col(n).cast("string")).alias(f"c{i}") for i, n in enumerate(names)]).first()
+    likely = [n for n, g in zip(names, guess) if g <= 2 * below + 8]
+    spark = df.sparkSession
+    grid = driver_table(spark, [(n,) for n in likely], "column_name string")
+    if not likely:
+        return grid.selectExpr("column_name", "0L AS distinct_values", "'' AS values")
+    found = pin(melt(df, likely, as_type="string").distinct()).groupBy("column_name").agg(F.array_sort(F.collect_list("value")).alias("v"))
+    known = F.coalesce("v", F.array().cast("array<string>"))
+    return grid.join(found, "column_name", "left").select(
+        "column_name", F.size(known).cast("long").alias("distinct_values"), F.array_join(known, ",").alias("values")).filter(
+        F.col("distinct_values") < below)
 
 
 # ---- joins ----------------------------------------------------------------------------

@@ -35,6 +35,9 @@ SKETCH_COLUMNS = 32
 CLASS_LITERALS = 64
 # Bracketed values that a task holds before it hands them on.
 HELD_VALUES = 1 << 20
+# Slices of an order whose bounds are constants of one expression, and sampled keys for each of them.
+MOST_SLICES = 2000
+SAMPLED_A_SLICE = 50
 # monotonically_increasing_id keeps the row's place inside its partition in the low 33 bits.
 PLACE_BITS = 33
 
@@ -112,6 +115,33 @@ def ordered_index(
     )
 
 
+def sliced_index(df: DataFrame, order: str | Sequence[str], name: str = "row_index") -> DataFrame:
+    """0-based position of every row in a total order, which should be unique; missing keys come first.
+
+    A sample of the keys gives bounds, which are constants from then on: the slice of a row is an expression of its keys, the same
+    however often a task runs. A narrow scan counts the slices, and one shuffle by slice numbers the rows. Nothing is written, and
+    columns that nobody asks for are not read. More than MOST_SLICES slices are numbered over a written table instead.
+    """
+    keys = listed(order)
+    narrow = df.select(F.struct(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)]).alias("k"))
+    n = narrow.count()
+    slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / WINDOW_ROWS) if WINDOW_ROWS else 1)
+    if slices > MOST_SLICES:
+        return ordered_index(df, keys, name=name)
+    sampled = [r["k"] for r in narrow.sample(min(1.0, SAMPLED_A_SLICE * slices / max(n, 1)), 7).sort("k").collect()]
+    at = sorted({len(sampled) * i // slices for i in range(1, slices)}) if sampled else []
+    ends = [F.struct(*[literal(v, f.dataType).alias(f"k{j}") for j, (v, f) in enumerate(zip(sampled[i], narrow.schema["k"].dataType.fields))])
+            for i in at]
+    own = F.struct(*[col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    place = F.size(F.filter(F.array(*ends), lambda e: e <= own)) if ends else F.lit(0)
+    sizes = {r["s"]: r["n"] for r in df.select(place.alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
+    starts = [sum(sizes.get(j, 0) for j in range(i)) for i in range(len(ends) + 1)]
+    sliced = df.withColumn("_slice", place)
+    nth = F.row_number().over(Window.partitionBy("_slice").orderBy(*[col(k).asc_nulls_first() for k in keys]))
+    start = F.element_at(F.array(*[F.lit(v).cast("long") for v in starts]), F.col("_slice") + 1)
+    return sliced.withColumn(name, start + nth - 1).drop("_slice")
+
+
 def running_totals(
     df: DataFrame, order: str | Sequence[str], sums: dict[str, str], group: str | Sequence[str] | None = None,
 ) -> DataFrame:
