@@ -85,20 +85,116 @@ def _tile_neighbours(k: int):
     return find
 
 
-def nearest_neighbours(points: DataFrame, queries: DataFrame, n: int, width: int, k: int) -> DataFrame:
-    """(i, neighbours array): the k nearest points of each query by Euclidean distance, exact.
-
-    Points are (i, x array<double>) with i in 0..n-1, queries (q, qx) some of them. Both are cut into tiles of
-    bounded size; a task compares one pair of tiles and emits k rows per query, never the pairs.
+# Points of a cell of the metric index, and cells of an index (their pivots are broadcast).
+CELL_ROWS = 2048
+MOST_CELLS = 1024
+# Cells that a query visits in the first round, the second, ...; the last number holds from there on.
+ROUNDS = (1, 4, 16, 64)
+
+
+class _Cells:
+    """Pivots; a point belongs to its nearest one, and a cell reaches as far as its farthest point."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots, self.reach, self.sizes = pivots, np.zeros(len(pivots)), np.zeros(len(pivots), dtype=np.int64)
+
+    def distances(self, x: np.ndarray) -> np.ndarray:
+        squares = (x * x).sum(axis=1)[:, None] - 2.0 * x @ self.pivots.T + (self.pivots * self.pivots).sum(axis=1)
+        return np.sqrt(np.maximum(squares, 0.0))
+
+    def home(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(cell, distance to its pivot) of every point."""
+        d = self.distances(x)
+        at = d.argmin(axis=1)
+        return at, d[np.arange(len(x)), at]
+
+    def next(self, x: np.ndarray, kth: np.ndarray, seen: np.ndarray, step: int) -> list[np.ndarray]:
+        """Up to `step` further cells per query, those that may hold the nearest points first. No point of a cell is nearer than the
+        pivot less the cell's reach, so that cells whose bound exceeds the k-th distance (squared: kth) hold nothing."""
+        bound = np.maximum(self.distances(x) - self.reach, 0.0)
+        bound[:, self.sizes == 0] = np.inf
+        order = np.argsort(bound, axis=1, kind="stable")
+        slack = 1e-7 * (1.0 + np.sqrt((x * x).sum(axis=1)))
+        out = []
+        for i, cells in enumerate(order):
+            ahead = cells[seen[i]:seen[i] + step]
+            near = bound[i, ahead]
+            out.append(ahead[np.isfinite(near) & (near <= np.sqrt(kth[i]) + slack[i])])
+        return out
+
+
+def _pivots(points: DataFrame, cells: int) -> np.ndarray:
+    """Points far from each other, out of eight times as many that their hashes choose."""
+    sample = points.select("x", F.xxhash64("i").alias("h"), "i").orderBy("h", "i").limit(8 * cells).collect()
+    x = np.array([r["x"] for r in sample], dtype=float)
+    chosen, far = [0], np.square(x - x[0]).sum(axis=1)
+    while len(chosen) < min(cells, len(x)):
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, np.square(x - x[chosen[-1]]).sum(axis=1))
+    return x[chosen]
+
+
+def nearest_neighbours(points: DataFrame, queries: DataFrame, n: int, width: int, k: int, visits: list | None = None) -> DataFrame:
+    """(i, neighbours array): the k nearest points of each query by Euclidean distance, exact; equal distances go to the smaller i.
+
+    Points are (i, x array<double>) with i in 0..n-1, queries (q, qx) some of them; both should be pinned. Points lie in the cells of
+    some hundred pivots. Round by round a query visits the cells that may hold its nearest points, and stops when the triangle
+    inequality rules out all others. A task compares a bounded part of a cell with the queries of a bounded part of another
+    and emits k rows per query. visits receives the number of such pairs of every round.
     """
+    spark = points.sparkSession
     rows = max(256, TILE_BYTES // (8 * width))
-    tiles = math.ceil(n / rows)
-    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
-    left = queries.select("q", "qx", F.floor(F.col("q") / rows).cast("int").alias("tq"), every.alias("tr"))
-    right = points.select("i", "x", F.floor(F.col("i") / rows).cast("int").alias("ti"), every.alias("te"))
-    near = left.groupBy("tq", "tr").cogroup(right.groupBy("te", "ti")).applyInPandas(_tile_neighbours(k), "i long, j long, d double")
-    best = F.slice(F.array_sort(F.collect_list(F.struct("d", "j"))), 1, k)
-    return near.groupBy("i").agg(best.alias("b")).select("i", F.col("b.j").alias("neighbours"))
+    index = _Cells(_pivots(points, max(1, min(MOST_CELLS, math.ceil(n / CELL_ROWS)))))
+
+    @F.pandas_udf("struct<cell int, far double>")
+    def home(x: pd.Series) -> pd.DataFrame:
+        if x.empty:
+            return pd.DataFrame({"cell": pd.Series(dtype="int32"), "far": pd.Series(dtype="float64")})
+        cell, far = index.home(np.stack(x.to_numpy()))
+        return pd.DataFrame({"cell": cell.astype(np.int32), "far": far})
+
+    placed = pin(points.withColumn("_home", home("x")).select("i", "x", F.col("_home.cell").alias("cell"), F.col("_home.far").alias("far")))
+    for r in placed.groupBy("cell").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("n")).collect():
+        index.reach[r["cell"]], index.sizes[r["cell"]] = r["far"], r["n"]
+    shared = spark.sparkContext.broadcast(index)
+    parts = F.array(*[F.lit(max(1, math.ceil(c / rows))) for c in index.sizes.tolist()])
+
+    def part_of(number: Column, cell: Column) -> Column:
+        return F.pmod(F.xxhash64(number), F.element_at(parts, cell + 1)).cast("int")
+
+    placed = placed.select("i", "x", "cell", part_of(F.col("i"), F.col("cell")).alias("part"))
+    state = pin(queries.withColumn("_cell", home("qx")["cell"]).select(
+        "q", "qx", F.struct(F.col("_cell").alias("cell"), part_of(F.col("q"), F.col("_cell")).alias("part")).alias("tile"),
+        F.lit(float("inf")).alias("kth"), F.lit(0).alias("seen"), F.array().cast("array<struct<d:double,j:bigint>>").alias("best")))
+
+    for number in range(MOST_CELLS):
+        step = ROUNDS[min(number, len(ROUNDS) - 1)]
+
+        @F.pandas_udf("array<int>")
+        def ahead(x: pd.Series, kth: pd.Series, seen: pd.Series) -> pd.Series:
+            if x.empty:
+                return pd.Series([], dtype=object)
+            return pd.Series(shared.value.next(np.stack(x.to_numpy()), kth.to_numpy(), seen.to_numpy(), step))
+
+        asked = pin(state.withColumn("cells", ahead("qx", "kth", "seen")))
+        if not asked.filter(F.size("cells") > 0).head(1):
+            break
+        left = asked.select("q", "qx", "tile", F.explode("cells").alias("cell")).withColumn(
+            "part", F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col("cell") + 1) - 1)))
+        pairs = pin(left.select("cell", "part", "tile").distinct())
+        if visits is not None:
+            visits.append(pairs.count())
+        wanted = pairs.select(F.col("cell").alias("c"), F.col("part").alias("p"), F.col("tile").alias("t"))
+        right = placed.join(wanted, (F.col("cell") == F.col("c")) & (F.col("part") == F.col("p"))).select("i", "x", "c", "p", "t")
+        near = left.groupBy("cell", "part", "tile").cogroup(right.groupBy("c", "p", "t")).applyInPandas(
+            _tile_neighbours(k), "i long, j long, d double")
+        found = near.groupBy(F.col("i").alias("q")).agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "j"))), 1, k).alias("new"))
+        best = F.slice(F.array_sort(F.concat("best", F.coalesce("new", F.array().cast("array<struct<d:double,j:bigint>>")))), 1, k)
+        merged = asked.join(found, "q", "left").withColumn("best", best)
+        state = pin(merged.select(
+            "q", "qx", "tile", F.when(F.size("best") >= k, F.element_at("best", -1)["d"]).otherwise(F.lit(float("inf"))).alias("kth"),
+            (F.col("seen") + F.size("cells")).alias("seen"), "best"))
+    return state.filter(F.size("best") > 0).select(F.col("q").alias("i"), F.col("best.j").alias("neighbours"))
 
 
 def sample_smote(df: DataFrame, names: Sequence[str], key: str, label: str, k: int = 5, seed: int = 0) -> DataFrame:
