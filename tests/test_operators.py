@@ -84,7 +84,7 @@ def test_wide_null_profile_and_pruning(spark):
     assert set(R.drop_cols_null_pct(wide, 50).columns) == {"id", *[f"c{i}" for i in range(433) if i * 100 / 433 <= 50]}
 
 
-def test_correlation_by_gramian_is_pairwise_complete(spark):
+def test_correlation_by_tiles_is_pairwise_complete(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 5)) + 1e6
     x[:, 1] += x[:, 0]
@@ -95,7 +95,7 @@ def test_correlation_by_gramian_is_pairwise_complete(spark):
     pairs = list(itertools.combinations(names, 2))
     row = df.agg(*[F.corr(p, q).alias(f"{p}{q}") for p, q in pairs]).first()
     narrow = {(p, q): row[f"{p}{q}"] for p, q in pairs}
-    wide = {(r[0], r[1]): r[2] for r in P._gramian(df, names, pairs).collect()}
+    wide = {(r[0], r[1]): r[2] for r in P.pairwise_correlations(df, names).collect()}
     for pair in pairs:
         assert wide[pair] == pytest.approx(narrow[pair], abs=1e-9)
 
