@@ -2,7 +2,7 @@
 
 Both supported families cut a text at white space before they merge anything, so the ids of a text are the ids of
 its white-space-separated chunks in order. A chunk is encoded by the tokenizers library when first met and looked up
-afterwards; the lookup is emptied when it reaches a fixed size, so its memory does not grow with the data.
+afterwards; the lookup has a fixed size, so its memory does not grow with the data.
 """
 
 from __future__ import annotations
@@ -10,14 +10,17 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import count, islice, repeat
 
 import numpy as np
 
-from .shingles import Numbers
-
-WORDS_HELD = 1 << 16
-_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+WORDS_HELD, CHARS_HELD = 1 << 17, 1 << 22
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_MARKS = "!-/:-@\\[-`{-~"
+_PLAIN = re.compile(f"()([{_LETTERS}]+)([{_MARKS}]*)")
+_PLAIN_LINE = re.compile(f"(\n?)([{_LETTERS}]+)([{_MARKS}]*)")
 _SEPARATOR = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizers
 _SEGMENT = re.compile(r"\s*\S+|\s+")
 
@@ -30,6 +33,79 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Lookup:
+    """Ids of strings in one flat array, found by number, in two generations.
+
+    `resolve` gives (ids of all strings in a row, number of ids of each) for strings that are not known. A generation is
+    full at `held` strings or `chars` characters; the next one then starts empty and takes over what is asked
+    for again, so frequent strings stay and others go, and what is held does not grow with the data.
+    """
+
+    def __init__(self, resolve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], held: int, chars: int = CHARS_HELD):
+        self.resolve, self.held, self.chars = resolve, held, chars
+        self._begin()
+        self.old = (self.numbers, self.flat, self.starts, self.lengths)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.numbers, self.flat = defaultdict(count().__next__), np.zeros(1 << 12, dtype=np.uint32)
+        self.starts, self.lengths = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+        self.used = self.spent = 0
+
+    def turn(self) -> None:
+        """Start the next generation if this one is full; numbers given before are void then."""
+        if len(self.numbers) >= self.held or self.spent >= self.chars:
+            self.old = (self.numbers, self.flat, self.starts, self.lengths)
+            self._begin()
+
+    def of(self, strings: list[str]) -> np.ndarray:
+        """Numbers of strings; those not met before are learned with the next call of `learn`."""
+        return np.fromiter(map(self.numbers.__getitem__, strings), np.int32, len(strings))
+
+    def learn(self) -> None:
+        """Find the ids of all strings that were numbered since the last call."""
+        fresh = list(islice(reversed(self.numbers), len(self.numbers) - len(self.lengths)))[::-1]
+        if not fresh:
+            return
+        numbers, flat, starts, lengths = self.old
+        known_at = np.fromiter(map(numbers.get, fresh, repeat(-1)), np.int64, len(fresh))
+        known = known_at >= 0
+        counts = np.zeros(len(fresh), dtype=np.int32)
+        counts[known] = lengths[known_at[known]]
+        parts = [_slices(flat, starts[known_at[known]], counts[known])]
+        if not known.all():
+            ids, counts[~known] = self.resolve([fresh[i] for i in np.flatnonzero(~known)])
+            parts.append(ids)
+        order = np.concatenate((np.flatnonzero(known), np.flatnonzero(~known)))
+        at = np.empty(len(fresh), dtype=np.int32)
+        at[order] = self.used + np.cumsum(counts[order]) - counts[order]
+        self.starts, self.lengths = np.concatenate((self.starts, at)), np.concatenate((self.lengths, counts))
+        total = int(counts.sum())
+        if self.used + total > len(self.flat):
+            grown = np.zeros(max(2 * len(self.flat), self.used + total), dtype=np.uint32)
+            grown[:self.used] = self.flat[:self.used]
+            self.flat = grown
+        self.flat[self.used:self.used + total] = np.concatenate(parts)
+        self.used += total
+        self.spent += sum(map(len, fresh))
+
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        return _slices(self.flat, self.starts[numbers], self.lengths[numbers])
+
+
+def _slices(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """flat[start:start + length] of all, in a row."""
+    filled = lengths > 0
+    starts, lengths = starts[filled], lengths[filled]
+    ends = np.cumsum(lengths)
+    if not len(ends):
+        return np.zeros(0, dtype=np.uint32)
+    steps = np.ones(ends[-1], dtype=np.int32)
+    steps[0] = starts[0]
+    steps[ends[:-1]] = starts[1:] - (starts[:-1] + lengths[:-1] - 1)
+    return flat[np.cumsum(steps, out=steps)]
+
+
 class TextEncoder:
     """Ids of whole texts by a tokenizers file; `word_ends` for a vocabulary that drops white space and case."""
 
@@ -39,47 +115,55 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.merge = self.tokenizer.model.tokenize
-        self.word_ends, self.held, self.letters = word_ends, held, _byte_letters()
-        self.release()
-
-    def release(self) -> None:
-        """Empty all lookups: an idle Python worker keeps what its last task left."""
-        self.unit_ids: dict[str, bytes] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.numbers = Numbers()
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
-        self.starts, self.lengths = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-
-    def _unit(self, spelled: str) -> bytes:
-        """Ids of a text, spelled in the byte alphabet, that the tokenizer would not cut before merging."""
-        found = self.unit_ids.get(spelled)
-        if found is None:
-            if len(self.unit_ids) >= 2 * self.held:
-                self.unit_ids.clear()
-            found = self.unit_ids[spelled] = array("I", [t.id for t in self.merge(spelled)]).tobytes()
-        return found
-
-    def _chunk(self, key: str) -> bytes:
+        self.word_ends, self.letters = word_ends, _byte_letters()
+        self.plain = (_PLAIN if word_ends else _PLAIN_LINE).fullmatch
+        self.words, self.units = Lookup(self.word_ids, held), Lookup(self._unit_ids, -(-held // 2))
+
+    def _unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, spelled in the byte alphabet, that the tokenizer would not cut before merging."""
+        merge = self.tokenizer.model.tokenize
+        ids, ends = array("I"), [0]
+        for unit in units:
+            ids.extend([t.id for t in merge(unit)])
+            ends.append(len(ids))
+        return np.array(ids, dtype=np.uint32), np.diff(ends)
+
+    def word_ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """A word of Latin letters and the marks after it are merged apart; anything else goes through the whole tokenizer."""
-        word = key.rstrip(_MARKS)
-        ids, start = b"", 0
-        if not self.word_ends and word[:1] == "\n":
-            ids, start, word = self._unit(self.letters[10]), 1, word[1:]
-        elif not self.word_ends:
-            start = -1
-        if not word.isalpha() or max(word) > "\xff":
-            text = key if start >= 0 else key[1:] if key[0] == "\x00" else " " + key
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        spelled = word.lower() if self.word_ends else word
-        if not word.isascii():
-            spelled = spelled.encode().decode("latin-1").translate(self.letters)
-        ids = ids + self._unit(spelled if start >= 0 else self.letters[32] + spelled)
-        marks = key[len(word) + max(0, start):]
-        return ids + self._unit(marks) if marks else ids
+        if not keys:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        found = list(map(self.plain, keys))
+        start, word, marks = zip(*[m.groups() if m else ("", "", "") for m in found])
+        others = [i for i, m in enumerate(found) if not m]
+        if self.word_ends:
+            spelled = [w.lower() if w.isascii() else self._spell(w.lower()) for w in word]
+        else:
+            space = self.letters[32]
+            spelled = [w if s or not w else space + w for s, w in zip(start, (w if w.isascii() else self._spell(w) for w in word))]
+            start = [s and self.letters[10] for s in start]
+        self.units.turn()
+        at = np.stack([self.units.of(units) for units in (start, spelled, marks)], axis=1)
+        self.units.learn()
+        ids, counts = self.units.ids(at.ravel()), self.units.lengths[at].sum(axis=1)
+        if not others:
+            return ids, counts
+        rest = [self.tokenizer.encode(self._text(keys[i]), add_special_tokens=False).ids for i in others]
+        counts[others] = [len(r) for r in rest]
+        plain = np.ones(len(keys), dtype=bool)
+        plain[others] = False
+        out = np.zeros(int(counts.sum()), dtype=np.uint32)
+        from_units = np.repeat(plain, counts)
+        out[from_units] = ids
+        out[~from_units] = [i for r in rest for i in r]
+        return out, counts
+
+    def _spell(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.letters)
+
+    def _text(self, key: str) -> str:
+        if self.word_ends or key[:1] == "\n":
+            return key
+        return key[1:] if key[:1] == "\x00" else " " + key
 
     def _keys(self, text: str) -> list[str]:
         if not text:
@@ -95,45 +179,16 @@ class TextEncoder:
         keys[0] = "\x00" + keys[0]
         return keys
 
-    def _learn_new(self) -> None:
-        parts = [self._chunk(k) for k in self.numbers.fresh]
-        self.numbers.fresh.clear()
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        total = int(lengths.sum())
-        if self.used + total > len(self.flat):
-            grown = np.zeros(max(2 * len(self.flat), self.used + total), dtype=np.uint32)
-            grown[:self.used] = self.flat[:self.used]
-            self.flat = grown
-        self.flat[self.used:self.used + total] = np.frombuffer(b"".join(parts), dtype=np.uint32)
-        starts = self.used + np.concatenate(([0], np.cumsum(lengths)[:-1])) if len(parts) else np.zeros(0, np.int64)
-        self.starts = np.concatenate((self.starts, starts.astype(np.int64)))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.used += total
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)."""
-        if len(self.numbers) > self.held:
-            self._forget()
-        words = [self.numbers.of(self._keys(text)) for text in texts]
-        if self.numbers.fresh:
-            self._learn_new()
-        per_text = [int(self.lengths[w].sum()) for w in words]
-        return self._gather(np.concatenate(words) if words else np.zeros(0, np.int64)), np.array(per_text, dtype=np.int64)
-
-    def _gather(self, words: np.ndarray) -> np.ndarray:
-        lengths = self.lengths[words]
-        ends = np.cumsum(lengths)
-        if not len(ends) or not ends[-1]:
-            return np.zeros(0, dtype=np.uint32)
-        filled = lengths > 0
-        steps = np.ones(ends[-1], dtype=np.int64)
-        starts, ends, lengths = self.starts[words[filled]], ends[filled], lengths[filled]
-        steps[0] = starts[0]
-        steps[ends[:-1]] = starts[1:] - (starts[:-1] + lengths[:-1] - 1)
-        return self.flat[np.cumsum(steps)]
-
-
-def text_blocks(rows: Iterable[tuple], text_at: int, chars: int = 1 << 21) -> Iterator[list[tuple]]:
+        self.words.turn()
+        words = [self.words.of(self._keys(text)) for text in texts]
+        self.words.learn()
+        per_text = [int(self.words.lengths[w].sum()) for w in words]
+        return self.words.ids(np.concatenate(words) if words else np.zeros(0, np.int32)), np.array(per_text, dtype=np.int64)
+
+
+def text_blocks(rows: Iterable[tuple], text_at: int, chars: int = 1 << 20) -> Iterator[list[tuple]]:
     """Consecutive rows in lists of about `chars` characters; a longer text is a list of its own."""
     block, held = [], 0
     for row in rows:

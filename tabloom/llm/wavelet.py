@@ -192,7 +192,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, word_ends: bool =
         for batch in batches:
             pairs = ((d, t) for lo in range(0, batch.num_rows, 500)
                      for d, t in zip(*(c.to_pylist() for c in batch.slice(lo, 500).columns)))
-            for block in text_blocks(pairs, 1, shard_tokens):
+            for block in text_blocks(pairs, 1, min(shard_tokens, 1 << 20)):
                 ids, lengths = encoder.encode([t for _, t in block])
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(lengths), end_id)
