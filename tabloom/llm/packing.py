@@ -182,6 +182,7 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_i
                     columns = zip(*rows_out[lo:lo + 256])
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
                                                      ["doc_id", "piece", "start", "length", "ids"])
+        encoder.release()
 
     return rows.mapInArrow(encode, "doc_id long, piece long, start long, length long, ids binary")
 

@@ -117,7 +117,12 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         self.word_ends, self.letters = word_ends, _byte_letters()
         self.plain = (_PLAIN if word_ends else _PLAIN_LINE).fullmatch
-        self.words, self.units = Lookup(self.word_ids, held), Lookup(self._unit_ids, -(-held // 2))
+        self.held = held
+        self.release()
+
+    def release(self) -> None:
+        """Empty the lookups: an idle Python worker keeps what its last task left."""
+        self.words, self.units = Lookup(self.word_ids, self.held), Lookup(self._unit_ids, -(-self.held // 2))
 
     def _unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts, spelled in the byte alphabet, that the tokenizer would not cut before merging."""
