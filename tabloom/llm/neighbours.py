@@ -42,14 +42,29 @@ def _matrix(column, width: int) -> np.ndarray:
 def unit_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, unit, node) of all rows: unit is the vector in double precision at length one, node its hash; both are null
     for a vector that is null, empty or zero or holds null or non-finite components."""
-    cast = F.col(vector).cast("array<double>")
-    whole = cast.isNotNull() & (F.size(cast) > 0) & F.forall(cast, lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf"))))
-    largest = F.array_max(F.transform(cast, lambda x: F.abs(x)))
-    scaled = F.transform(cast, lambda x: x / largest)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
-    unit = F.when(whole & (largest > 0), F.transform(scaled, lambda x: x / length))
-    return rows.select(F.col(key).cast("long").alias("key"), unit.alias("unit")).withColumn(
-        "node", F.when(F.col("unit").isNotNull(), F.xxhash64("unit")))
+    import pyarrow as pa
+
+    def normalise(batches):
+        for batch in batches:
+            lists = batch.column(1)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            x = lists.flatten().to_numpy(zero_copy_only=False)  # a null component is NaN
+            filled = np.flatnonzero(sizes)
+            starts, lengths = (np.cumsum(sizes) - sizes)[filled], sizes[filled]
+            whole = np.zeros(len(sizes), dtype=bool)
+            if len(filled):
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    largest = np.maximum.reduceat(np.abs(x), starts)
+                    x = x / np.repeat(largest, lengths)
+                    x /= np.repeat(np.sqrt(np.add.reduceat(x * x, starts)), lengths)
+                whole[filled] = np.isfinite(largest) & (largest > 0)
+                x = x[np.repeat(whole[filled], lengths)]
+            ends = np.cumsum(np.where(whole, sizes, 0))
+            unit = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(x, pa.float64()), mask=pa.array(~whole))
+            yield pa.RecordBatch.from_arrays([batch.column(0), unit], ["key", "unit"])
+
+    cast = rows.select(F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("unit"))
+    return cast.mapInArrow(normalise, "key long, unit array<double>").withColumn("node", F.when(F.col("unit").isNotNull(), F.xxhash64("unit")))
 
 
 def _packed(rows: DataFrame) -> DataFrame:

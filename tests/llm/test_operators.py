@@ -473,3 +473,18 @@ def test_language_is_that_of_plain_counting(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     found = language.predict_language(docs, language.fit_languages(docs, id_bucket("doc_id", 4) != 2), ["doc_id", "lang"]).collect()
     assert all(r.lang == r.lang_pred for r in found)
+
+
+def test_unit_vectors_of_any_width_and_broken_ones(spark):
+    rng = np.random.default_rng(5)
+    good = [rng.normal(size=n).tolist() for n in (1, 3, 256, 256, 1024)] + [[1e300, -1e300], [5e-324, 0.0]]
+    broken = [None, [], [0.0, 0.0], [1.0, None], [1.0, float("nan")], [float("inf"), 1.0]]
+    rows = [(i, v) for i, v in enumerate(good + broken + good[:1])]
+    found = {r.key: r for r in neighbours.unit_vectors(spark.createDataFrame(rows, "id int, v array<double>"), "id", "v").collect()}
+    assert len(found) == len(rows)
+    for i, v in enumerate(good):
+        x = np.array(v) / np.abs(v).max()
+        assert np.allclose(found[i].unit, x / np.linalg.norm(x), rtol=1e-12, atol=0)
+    assert all(found[len(good) + i].unit is None and found[len(good) + i].node is None for i in range(len(broken)))
+    assert found[len(rows) - 1].node == found[0].node
+    assert neighbours.unit_vectors(spark.createDataFrame([], "id int, v array<float>"), "id", "v").count() == 0
