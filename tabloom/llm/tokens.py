@@ -16,7 +16,7 @@ from itertools import count, islice, repeat
 
 import numpy as np
 
-WORDS_HELD, CHARS_HELD = 1 << 17, 1 << 22
+WORDS_HELD, CHARS_HELD = 1 << 16, 1 << 22
 _LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _MARKS = "!-/:-@\\[-`{-~"
 _PLAIN = re.compile(f"()([{_LETTERS}]+)([{_MARKS}]*)")
