@@ -1,8 +1,9 @@
 """Whole texts to token ids with a public tokenizer, encoding every distinct word of a task once.
 
-Both supported families cut a text at white space before they merge anything, so the ids of a text are the ids of
-its white-space-separated chunks in order. A chunk is encoded by the tokenizers library when first met and looked up
-afterwards; the lookup has a fixed size, so its memory does not grow with the data.
+Both supported families cut a text at white space, and where letters end and marks begin, before they merge anything, so
+the ids of a text are the ids of its parts in order. Texts are cut and their distinct parts found a block at a time
+by Arrow; a part is encoded by the tokenizers library when first met and looked up afterwards. The lookup has a fixed
+size, so its memory does not grow with the data.
 """
 
 from __future__ import annotations
@@ -16,11 +17,15 @@ from itertools import count, islice, repeat
 
 import numpy as np
 
-WORDS_HELD, CHARS_HELD = 1 << 16, 1 << 22
-_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
-_MARKS = "!-/:-@\\[-`{-~"
-_PLAIN = re.compile(f"()([{_LETTERS}]+)([{_MARKS}]*)")
-_PLAIN_LINE = re.compile(f"(\n?)([{_LETTERS}]+)([{_MARKS}]*)")
+WORDS_HELD, CHARS_HELD = 3 << 15, 1 << 22
+_LETTERS = r"A-Za-z\x{aa}\x{b5}\x{ba}\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}"
+_MARKS = r"!-/:-@\[-`{-~"
+_UNIT = rf"\A ?([{_LETTERS}]+|[{_MARKS}]+)\z"
+_MARKS_AFTER = rf"([{_LETTERS}])([{_MARKS}]+)([ \n]|\z)"
+_CUT = "\x1f"
+# White space other than one space or one line end between two words.
+_UNEVEN = (r"[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+           r"|[ \n][ \n]|\A[ \n]|[ \n]\z|\A\z")
 _SEPARATOR = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizers
 _SEGMENT = re.compile(r"\s*\S+|\s+")
 
@@ -116,81 +121,70 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.word_ends, self.letters = word_ends, _byte_letters()
-        self.plain = (_PLAIN if word_ends else _PLAIN_LINE).fullmatch
+        self.spelling = {b: c for b, c in self.letters.items() if b != 10}
         self.held = held
         self.release()
 
     def release(self) -> None:
-        """Empty the lookups: an idle Python worker keeps what its last task left."""
-        self.words, self.units = Lookup(self.word_ids, self.held), Lookup(self._unit_ids, -(-self.held // 2))
+        """Empty the lookup: an idle Python worker keeps what its last task left."""
+        self.words = Lookup(self.word_ids, self.held)
+
+    def word_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts of texts: Latin letters or marks alone are merged as they are, anything else goes through the
+        whole tokenizer."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-    def _unit_ids(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts, spelled in the byte alphabet, that the tokenizer would not cut before merging."""
         merge = self.tokenizer.model.tokenize
+        alone = pc.match_substring_regex(pa.array(parts, pa.large_string()), _UNIT).to_pylist()
         ids, ends = array("I"), [0]
-        for unit in units:
-            ids.extend([t.id for t in merge(unit)])
+        for part, spelled, unit in zip(parts, self._spell(parts), alone):
+            ids.extend([t.id for t in merge(spelled)] if unit else self.tokenizer.encode(part, add_special_tokens=False).ids)
             ends.append(len(ids))
         return np.array(ids, dtype=np.uint32), np.diff(ends)
 
-    def word_ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """A word of Latin letters and the marks after it are merged apart; anything else goes through the whole tokenizer."""
-        if not keys:
-            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-        found = list(map(self.plain, keys))
-        start, word, marks = zip(*[m.groups() if m else ("", "", "") for m in found])
-        others = [i for i, m in enumerate(found) if not m]
-        if self.word_ends:
-            spelled = [w.lower() if w.isascii() else self._spell(w.lower()) for w in word]
-        else:
-            space = self.letters[32]
-            spelled = [w if s or not w else space + w for s, w in zip(start, (w if w.isascii() else self._spell(w) for w in word))]
-            start = [s and self.letters[10] for s in start]
-        self.units.turn()
-        at = np.stack([self.units.of(units) for units in (start, spelled, marks)], axis=1)
-        self.units.learn()
-        ids, counts = self.units.ids(at.ravel()), self.units.lengths[at].sum(axis=1)
-        if not others:
-            return ids, counts
-        rest = [self.tokenizer.encode(self._text(keys[i]), add_special_tokens=False).ids for i in others]
-        counts[others] = [len(r) for r in rest]
-        plain = np.ones(len(keys), dtype=bool)
-        plain[others] = False
-        out = np.zeros(int(counts.sum()), dtype=np.uint32)
-        from_units = np.repeat(plain, counts)
-        out[from_units] = ids
-        out[~from_units] = [i for r in rest for i in r]
-        return out, counts
-
-    def _spell(self, text: str) -> str:
-        return text.encode().decode("latin-1").translate(self.letters)
-
-    def _text(self, key: str) -> str:
-        if self.word_ends or key[:1] == "\n":
-            return key
-        return key[1:] if key[:1] == "\x00" else " " + key
-
-    def _keys(self, text: str) -> list[str]:
+    def _spell(self, parts: list[str]) -> list[str]:
+        """Parts in the byte alphabet, in lower case if the vocabulary has no other."""
+        spelled = [p.lower() for p in parts] if self.word_ends else [p.replace(" ", self.letters[32]) if p[:1] == " " and p.isascii() else p for p in parts]
+        wide = [i for i, p in enumerate(parts) if not p.isascii() and "\n" not in p]
+        text = "\n".join(spelled[i] for i in wide).encode().decode("latin-1").translate(self.spelling)
+        for i, p in zip(wide, text.split("\n")):
+            spelled[i] = p
+        return spelled
+
+    def _parts(self, text: str) -> list[str]:
+        """Parts of a text with other white space than single spaces and line ends."""
         if not text:
             return []
-        if _SEPARATOR.search(text):
-            return [text if self.word_ends else "\x00" + text]
-        words = text.split()
-        if self.word_ends:
-            return words
-        keys = text.replace("\n", " \n").split(" ")
-        if len(keys) != len(words) or "\x00" in text:  # not single spaces and line ends alone
-            return ["\x00" + s for s in _SEGMENT.findall(text)]
-        keys[0] = "\x00" + keys[0]
-        return keys
+        return [text] if _SEPARATOR.search(text) else _SEGMENT.findall(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each)."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not texts:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
         self.words.turn()
-        words = [self.words.of(self._keys(text)) for text in texts]
+        column = pa.array(texts, pa.large_string())
+        uneven = pc.match_substring_regex(column, _UNEVEN)
+        if self.word_ends and pc.any(uneven).as_py():  # to this vocabulary all white space is the same
+            texts = [" ".join(t.split()) if apart and not _SEPARATOR.search(t) else t for t, apart in zip(texts, uneven.to_pylist())]
+            column = pa.array(texts, pa.large_string())
+            uneven = pc.match_substring_regex(column, _UNEVEN)
+        even = pc.replace_substring_regex(column.filter(pc.invert(uneven)), _MARKS_AFTER, rf"\1{_CUT}\2\3")
+        for white, cut in ((" ", _CUT), ("\n", _CUT)) if self.word_ends else ((" ", _CUT + " "), ("\n", f"{_CUT}\n{_CUT}")):
+            even = pc.replace_substring(even, white, cut)
+        split = pc.split_pattern(even, _CUT)
+        parts = split.flatten().dictionary_encode()
+        numbers = self.words.of(parts.dictionary.to_numpy(zero_copy_only=False).tolist())[parts.indices.to_numpy()]
+        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        found = iter(np.split(numbers, ends[:-1]) if len(ends) else ())
+        words = [self.words.of(self._parts(text)) if apart else next(found) for text, apart in zip(texts, uneven.to_pylist())]
         self.words.learn()
-        per_text = [int(self.words.lengths[w].sum()) for w in words]
-        return self.words.ids(np.concatenate(words) if words else np.zeros(0, np.int32)), np.array(per_text, dtype=np.int64)
+        ends, words = np.cumsum([len(w) for w in words]), np.concatenate(words)
+        ids_before = np.concatenate(([0], np.cumsum(self.words.lengths[words], dtype=np.int64)))
+        return self.words.ids(words), np.diff(ids_before[ends], prepend=0)
 
 
 def text_blocks(rows: Iterable[tuple], text_at: int, chars: int = 1 << 20) -> Iterator[list[tuple]]:
