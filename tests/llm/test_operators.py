@@ -47,6 +47,18 @@ def test_looked_up_ids_are_the_tokenizers(path, word_ends):
         assert [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])] == [encode(t) for t in TRICKY[lo:lo + 3]]
 
 
+@pytest.mark.parametrize("path, word_ends", [(WORDS, True), (BYTES, False)])
+@pytest.mark.parametrize("letters", ["abZéÿß\n .,!'t", "ab Zé ÿß\n\t\x00\x01\x1c\x1f\x85\xa0\u2003\u3000  \r.,!'sµªºÀ9中\u0301İΣ_~[]\\ x"])
+def test_ids_of_odd_texts_are_the_tokenizers(path, word_ends, letters):
+    draw, encode = random.Random(5), plain(path)
+    texts = ["".join(draw.choices(letters, k=draw.randrange(25))) for _ in range(3000)]
+    encoder = TextEncoder(path, word_ends, held=200)
+    for lo in range(0, len(texts), 150):
+        ids, lengths = encoder.encode(texts[lo:lo + 150])
+        assert [p.tolist() for p in np.split(ids, np.cumsum(lengths)[:-1])] == [encode(t) for t in texts[lo:lo + 150]]
+    assert [x.tolist() for x in encoder.encode([])] == [[], []]
+
+
 def test_components_of_paths_stars_and_nothing(spark):
     links = [(i, i + 1) for i in range(300, 340)] + [(7, i) for i in range(8, 30)] + [(29, 300), (1, 1), (3, 2)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -83,7 +95,7 @@ def test_the_audit_leaves_out_the_pair_of_a_vector_with_itself(spark):
     at = lambda i, angle: [math.cos(angle) if k == i else math.sin(angle) if k == i + 100 else 0.0 for k in range(200)]
     # A hundred queries; the first two have a partner each, of which one is in the same group.
     rows = [(50 * i, at(i, 0.0)) for i in range(100)] + [(50 * i + 1, at(i, 0.1)) for i in range(2)]
-    units = neighbours.unit_vectors(spark.createDataFrame(rows, "key long, vector array<double>"), "key", "vector").localCheckpoint()
+    units = neighbours.unit_vectors(spark.createDataFrame(rows, "key long, vector array<double>"), "key", "vector").checkpoint()
     node = {r["key"]: r["node"] for r in units.collect()}
     groups = spark.createDataFrame([(node[k], node[0]) for k in (0, 1)], "node long, component long")
     assert tuple(neighbours._audit(units, neighbours._packed(units), groups, 200, 0.95)) == (1, 1, 0.5)
