@@ -17,6 +17,8 @@ from .tokens import shared_encoder, text_blocks
 SEARCH_WORK = 400_000
 """Bound on the search for a better packing: the sum of the lengths looked at in all its nodes."""
 FILLINGS_PER_NODE = 24
+WORDS_HELD, BLOCK_CHARS = 1 << 15, 1 << 18
+"""Words that a task looks up, and characters of texts that it encodes at a time; ids do not depend on either."""
 
 Plan = list[tuple[tuple[int, ...], int]]
 """Fillings (lengths in one sequence) and how many sequences are filled that way."""
@@ -163,12 +165,12 @@ def document_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_i
     def encode(batches):
         import pyarrow as pa
 
-        encoder = shared_encoder(tokenizer, word_ends)
+        encoder = shared_encoder(tokenizer, word_ends, WORDS_HELD)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
             pairs = ((d, t) for lo in range(0, batch.num_rows, 500)
                      for d, t in zip(*(c.to_pylist() for c in batch.slice(lo, 500).columns)))
-            for block in text_blocks(pairs, 1):
+            for block in text_blocks(pairs, 1, BLOCK_CHARS):
                 ids, lengths = encoder.encode([t for _, t in block])
                 data = memoryview(np.insert(ids, np.cumsum(lengths), end_id).astype("<u4").tobytes())
                 rows_out, at = [], 0

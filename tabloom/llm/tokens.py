@@ -126,8 +126,11 @@ class TextEncoder:
         self.release()
 
     def release(self) -> None:
-        """Empty the lookup: an idle Python worker keeps what its last task left."""
+        """Empty the lookup and give Arrow's free memory back: an idle Python worker keeps what its last task left."""
+        import pyarrow as pa
+
         self.words = Lookup(self.word_ids, self.held)
+        pa.default_memory_pool().release_unused()
 
     def word_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of parts of texts: Latin letters or marks alone are merged as they are, anything else goes through the
@@ -200,11 +203,11 @@ def text_blocks(rows: Iterable[tuple], text_at: int, chars: int = 1 << 20) -> It
         yield block
 
 
-_ENCODERS: dict[tuple[str, bool], TextEncoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], TextEncoder] = {}
 
 
-def shared_encoder(path: str, word_ends: bool) -> TextEncoder:
+def shared_encoder(path: str, word_ends: bool, held: int = WORDS_HELD) -> TextEncoder:
     """The encoder of this Python worker: its word lookup serves the next tasks too."""
-    if (path, word_ends) not in _ENCODERS:
-        _ENCODERS[path, word_ends] = TextEncoder(path, word_ends)
-    return _ENCODERS[path, word_ends]
+    if (path, word_ends, held) not in _ENCODERS:
+        _ENCODERS[path, word_ends, held] = TextEncoder(path, word_ends, held)
+    return _ENCODERS[path, word_ends, held]
