@@ -232,3 +232,16 @@ def test_searched_score_is_the_accuracy_of_the_folds(spark, frame):
         scored = score_leafwise(model, folded.filter(F.col("fold") == i), "y")
         shares.append(scored.agg(F.avg(((F.col("score") > 0.5) == (F.col("y") == 1)).cast("int"))).first()[0])
     assert found[0].score == pytest.approx(np.mean(shares))
+
+
+# ---- cells, and what reaches the driver ---------------------------------------------------
+
+
+def test_splits_are_sought_some_nodes_at_a_time(monkeypatch):
+    sums = np.random.default_rng(3).integers(0, 1 << 30, (40, 5, 9, 3))
+    whole = leafwise.best_splits(sums, np.arange(5), DEFAULTS)
+    widest = []
+    plain = np.cumsum
+    monkeypatch.setattr(np, "cumsum", lambda a, *k, **w: widest.append(a.nbytes) or plain(a, *k, **w))
+    monkeypatch.setattr(leafwise, "SEARCH_BYTES", 4 * sums[0].nbytes)
+    assert leafwise.best_splits(sums, np.arange(5), DEFAULTS) == whole and max(widest) <= leafwise.SEARCH_BYTES
