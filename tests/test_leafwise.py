@@ -237,6 +237,28 @@ def test_searched_score_is_the_accuracy_of_the_folds(spark, frame):
 # ---- cells, and what reaches the driver ---------------------------------------------------
 
 
+def test_rows_of_the_same_bins_are_one_cell(spark):
+    rows = [(float(i % 4), float(i % 3), int(i % 12 < 5), i % 2) for i in range(6000)] + [(0.0, 0.0, None, 0)]
+    df = spark.createDataFrame(rows, "a double, b double, y int, fold int").repartition(6)
+    edges = fit_bins(df, ["a", "b"])
+    blocks = leafwise.packed_blocks(df, ["a", "b"], edges, "y", "fold").collect()
+    assert sum(len(b.fold) for b in blocks) == len({(a, b, f) for a, b, _, f in rows[:-1]})
+    assert sum(int(b.n0.sum()) + int(b.n1.sum()) for b in blocks) == 6000 and sum(int(b.n1.sum()) for b in blocks) == sum(r[2] for r in rows[:-1])
+    asked = {"n_estimators": 2, "num_leaves": 4, "subsample": 0.5, "subsample_freq": 1}
+    with pytest.raises(Exception, match="ids"):
+        leafwise.fit_blocks(leafwise.packed_blocks(df, ["a", "b"], edges, "y", "fold"), ["a", "b"], edges, asked)
+
+
+def test_sums_of_heavy_cells_are_exact():
+    block = leafwise.Block(np.asfortranarray(np.array([[1], [1], [2]], np.uint8)), np.zeros(3, np.int32), np.zeros(0, np.int64),
+                           np.array([3 << 30, 1, 1]), np.array([0, 0, 1]), np.array([0.3, 0.1, -0.2]))
+    g, h, n = block.sums(np.arange(3))
+    total = np.zeros((3, 1, 4), np.int64)
+    leafwise.add_sums(total, block, [(0, np.arange(3))], np.array([0]), 4)
+    for found, want in zip(total[:, 0], (g, h, n)):
+        assert found.tolist() == [0, int(want[0]) + int(want[1]), int(want[2]), 0]
+
+
 def test_splits_are_sought_some_nodes_at_a_time(monkeypatch):
     sums = np.random.default_rng(3).integers(0, 1 << 30, (40, 5, 9, 3))
     whole = leafwise.best_splits(sums, np.arange(5), DEFAULTS)
@@ -245,3 +267,13 @@ def test_splits_are_sought_some_nodes_at_a_time(monkeypatch):
     monkeypatch.setattr(np, "cumsum", lambda a, *k, **w: widest.append(a.nbytes) or plain(a, *k, **w))
     monkeypatch.setattr(leafwise, "SEARCH_BYTES", 4 * sums[0].nbytes)
     assert leafwise.best_splits(sums, np.arange(5), DEFAULTS) == whole and max(widest) <= leafwise.SEARCH_BYTES
+
+
+def test_counted_scores_report_like_rows(spark):
+    from tabloom.operators import metrics
+
+    rows = [(i % 2, int(i % 7 < 3), (i % 5) / 5 + 0.1, 1 + i % 4) for i in range(60)]
+    counted = spark.createDataFrame(rows, "fold int, y int, score double, n long")
+    plain = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
+    found = [sorted(tuple(r) for r in d.collect()) for d in (metrics.fold_report(counted, "y", "score", "fold", "n"), metrics.fold_report(plain, "y", "score", "fold"))]
+    assert found[0] == found[1]
