@@ -4,8 +4,10 @@ The network predicts the next subword: one head of masked attention over a windo
 number of distributions over the vocabulary, so that a token costs the same whatever the vocabulary's size. Frequent words are
 vocabulary entries of their own, with their counts in all training texts; other words are subwords of a public tokenizer.
 
-The network's weights are fitted on a sample. The distributions that it mixes are learned from all training texts: a pass
-over them sums, for each id, how much of it each distribution explains in its context.
+A sample only gives the network's first weights. All of its weights are then fitted on all training texts: every task takes
+gradient steps over its texts from the same first weights, and the weights of all tasks are averaged, each by the ids it saw.
+The distributions that the network mixes are learned in the same pass, which sums, for each id, how much of it each
+distribution explains in its context.
 """
 
 from __future__ import annotations
@@ -17,32 +19,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, id_bucket, stored, whole_text
-from .shingles import Numbers, words_of
 from .tokens import TextEncoder
 from .toxicity import _sum_rows
 
 WINDOW, STRIDE = 64, 48
 WIDTH, EXPERTS = 24, 64
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_TOKENS = 3000, 20_000, 1_000_000
-"""Bounds on the training rows that the network's weights are fitted on. Word counts and the experts' distributions cover
-all training rows."""
+"""Bounds on the training rows that the network's first weights come from. Word counts, the weights that score and the
+experts' distributions are learned from all training rows."""
 SHARE_BUCKETS = 64
 FREQUENT, UNITS, UNIT_COUNT = 1 << 18, 1 << 16, 5
 """Bounds on what is broadcast: words whose counts every task knows, and how many of them (met UNIT_COUNT times or
 more) are vocabulary entries. The counts of other words are looked up by a join."""
 AFFINITY_PRIOR = 0.3
-WORDS_HELD = 1 << 16
+WORDS_HELD = 1 << 15
+BATCH, RATE = 64, 0.005
+"""Windows of a step over all training texts, and its largest length."""
 START, END = 49406, 49407
 """Ids of the tokenizer's start and end; START also stands for a word that the tokenizer drops."""
 BLOCK_WORDS = 1 << 20
+_AGO = np.arange(WINDOW)[:, None] - np.arange(WINDOW)
 
 
 @dataclass
 class AttentionLM:
-    """Weights by name; `experts` is [vocabulary, expert]: the distributions that the output mixes."""
+    """Weights by name; `experts` is [vocabulary, expert]: the distributions that the output mixes; `counts`, what each
+    expert explained of each id while the weights were fitted."""
 
     p: dict[str, np.ndarray]
     experts: np.ndarray
+    counts: np.ndarray | None = None
+
     @classmethod
     def new(cls, vocabulary: int, seed: int = 5) -> AttentionLM:
         rng = np.random.default_rng(seed)
@@ -53,73 +60,134 @@ class AttentionLM:
         experts = rng.gamma(1.0, 1.0, (vocabulary, EXPERTS)).astype(np.float32)
         return cls(p, experts / experts.sum(axis=0))
 
-    def gates(self, ids: np.ndarray, kept: dict | None = None) -> np.ndarray:
-        """Weights of the experts after each position of windows ids[window, position]; a position sees itself and
-        what is before it."""
-        p, t = self.p, ids.shape[1]
-        x = p["embed"][ids]
-        q, k, v = x @ (p["query"] / np.float32(np.sqrt(WIDTH))), x @ p["key"], x @ p["value"]
-        distance = np.arange(t)[:, None] - np.arange(t)
-        offset = np.where(distance >= 0, p["near"][np.maximum(distance, 0)], np.float32(-1e4)).astype(np.float32)
-        a = q @ k.transpose(0, 2, 1)
-        a += offset
-        np.minimum(a, 30, out=a)
+    def _forward(self, ids: np.ndarray, first: int) -> tuple[np.ndarray, ...]:
+        """Inputs, projections [window, position, query key value own], attention (not normalised) and its norm, what is seen,
+        hidden layer, and gates (not normalised), a row per window and position; queries from position `first` on."""
+        p, (b, t) = self.p, ids.shape
+        near = np.where(_AGO >= 0, p["near"][np.maximum(_AGO, 0)], np.float32(-1e4)).astype(np.float32)[first:t, :t]
+        x = p["embed"].take(ids.ravel(), axis=0)
+        z = (x @ self._projections()).reshape(b, t, 4 * WIDTH)
+        q, k, v, own = (z[:, :, i * WIDTH:(i + 1) * WIDTH] for i in range(4))
+        a = q[:, first:] @ k.transpose(0, 2, 1)
+        a += near
+        longest = np.sqrt(np.einsum("btd,btd->bt", q, q).max() * np.einsum("btd,btd->bt", k, k).max())
+        if longest + p["near"].max() > 30:
+            np.minimum(a, 30, out=a)
         np.exp(a, out=a)
-        a /= a.sum(axis=2, keepdims=True)
+        norm = 1 / (a.reshape(-1, t) @ np.ones((t, 1), np.float32)).reshape(b, t - first, 1)
         o = a @ v
-        h = np.tanh(x @ p["own"] + o @ p["seen"] + p["bias"])
-        g = h @ p["gates"] + p["gate_bias"]
-        np.exp(np.minimum(g, 30), out=g)
-        g /= g.sum(axis=2, keepdims=True)
-        if kept is not None:
-            kept |= {"x": x, "q": q, "k": k, "v": v, "a": a, "o": o, "h": h, "distance": distance}
-        return g
-
-    def log_probability(self, ids: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log probability of target[window, position] after the ids up to that position."""
-        return np.log(np.einsum("btm,btm->bt", self.gates(ids), self.experts[target]) + np.float32(1e-30))
-
-    def gradients(self, ids: np.ndarray, target: np.ndarray, on: np.ndarray) -> tuple[dict, np.ndarray, float]:
-        """Gradients of the mean loss over positions weighted by `on`, the share of each expert in each target, and the loss."""
-        kept: dict = {}
-        p, g = self.p, self.gates(ids, kept)
-        share = g * self.experts[target] + np.float32(1e-30)
-        total = share.sum(axis=2, keepdims=True)
+        o *= norm
+        h = o + own[:, first:]
+        h += p["bias"]
+        h = np.tanh(h, out=h).reshape(-1, WIDTH)
+        g = h @ p["gates"]
+        g += p["gate_bias"]
+        if (np.abs(p["gates"]).sum(axis=0) + p["gate_bias"]).max() > 30:
+            np.minimum(g, 30, out=g)
+        return x, z, a, norm, o, h, np.exp(g, out=g)
+
+    def _projections(self) -> np.ndarray:
+        p = self.p
+        return np.concatenate((p["query"] / np.float32(np.sqrt(WIDTH)), p["key"], p["value"] @ p["seen"], p["own"]), axis=1)
+
+    def gates(self, ids: np.ndarray, first: int = 0) -> np.ndarray:
+        """Weights of the experts after each position, from `first` on, of windows ids[window, position]; a position sees itself
+        and what is before it."""
+        g = self._forward(ids, first)[-1]
+        g /= g.sum(axis=1, keepdims=True)
+        return g.reshape(len(ids), -1, EXPERTS)
+
+    def log_probability(self, ids: np.ndarray, target: np.ndarray, first: int = 0) -> np.ndarray:
+        """Natural log probability of target[window, position] after the ids up to that position, from position `first` on."""
+        g = self._forward(ids, first)[-1]
+        part = np.einsum("nm,nm->n", g, self.experts.take(target[:, first:].ravel(), axis=0))
+        return np.log(part / (g @ np.ones(EXPERTS, np.float32)) + np.float32(1e-30)).reshape(len(ids), -1)
+
+    def gradients(self, ids: np.ndarray, target: np.ndarray, on: np.ndarray, first: int = 0) -> tuple[dict, np.ndarray, float]:
+        """Gradients of the mean loss over positions, from `first` on, weighted by `on`, the share of each expert in each of
+        their targets, and the loss."""
+        p, on = self.p, on[:, first:].reshape(-1, 1)
+        x, z, a, norm, o, h, g = self._forward(ids, first)
+        q, k, v = (z[:, :, i * WIDTH:(i + 1) * WIDTH] for i in range(3))
+        ones, n = np.ones((EXPERTS, 1), np.float32), max(1, on.sum())
+        share = self.experts.take(target[:, first:].ravel(), axis=0)
+        share *= g
+        share += np.float32(1e-30)
+        total, gate_sum = share @ ones, g @ ones
         share /= total
-        n = max(1, on.sum())
-        d_gate = (g - share) * (on / n)[:, :, None].astype(np.float32)
-        x, h, a = kept["x"], kept["h"], kept["a"]
-        flat = lambda z: z.reshape(-1, z.shape[-1])
-        out = {"gates": flat(h).T @ flat(d_gate), "gate_bias": flat(d_gate).sum(axis=0)}
-        d_h = (d_gate @ p["gates"].T) * (1 - h * h)
-        out |= {"bias": flat(d_h).sum(axis=0), "own": flat(x).T @ flat(d_h), "seen": flat(kept["o"]).T @ flat(d_h)}
-        d_x, d_o = d_h @ p["own"].T, d_h @ p["seen"].T
-        d_v = a.transpose(0, 2, 1) @ d_o
-        d_a = d_o @ kept["v"].transpose(0, 2, 1)
-        d_s = a * (d_a - (a * d_a).sum(axis=2, keepdims=True))
-        d_q, d_k = d_s @ kept["k"], d_s.transpose(0, 2, 1) @ kept["q"]
-        past = kept["distance"] >= 0
-        out["near"] = np.bincount(kept["distance"][past], weights=d_s.sum(axis=0)[past], minlength=WINDOW).astype(np.float32)
-        scale = np.float32(1 / np.sqrt(WIDTH))
-        for name, d, f in (("query", d_q, scale), ("key", d_k, np.float32(1)), ("value", d_v, np.float32(1))):
-            out[name] = flat(x).T @ flat(d) * f
-            d_x = d_x + d @ p[name].T * f
+        g /= gate_sum
+        g -= share
+        g *= (on / n).astype(np.float32)
+        out = {"gates": h.T @ g, "gate_bias": g.sum(axis=0)}
+        d_h = g @ p["gates"].T
+        d_h *= 1 - h * h
+        out["bias"] = d_h.sum(axis=0)
+        d_o = d_h.reshape(o.shape)
+        d_a = d_o * norm
+        d_s = d_a @ v.transpose(0, 2, 1)
+        d_s -= np.einsum("btd,btd->bt", d_a, o)[:, :, None]
+        d_s *= a
+        d_z = np.zeros_like(z)
+        d_z[:, first:, :WIDTH] = d_s @ k
+        d_z[:, :, WIDTH:2 * WIDTH] = d_s.transpose(0, 2, 1) @ q[:, first:]
+        d_z[:, :, 2 * WIDTH:3 * WIDTH] = a.transpose(0, 2, 1) @ d_a
+        d_z[:, first:, 3 * WIDTH:] = d_o
+        ago = _AGO[first:ids.shape[1], :ids.shape[1]]
+        out["near"] = np.bincount(ago[ago >= 0], weights=d_s.sum(axis=0)[ago >= 0], minlength=WINDOW).astype(np.float32)
+        d_z = d_z.reshape(-1, 4 * WIDTH)
+        d_query, d_key, d_seen, d_own = np.split(x.T @ d_z, 4, axis=1)
+        out |= {"query": d_query / np.float32(np.sqrt(WIDTH)), "key": d_key, "value": d_seen @ p["seen"].T, "seen": p["value"].T @ d_seen, "own": d_own}
         rows, back = np.unique(ids, return_inverse=True)
-        out["embed"] = (rows, _sum_rows(back.ravel(), flat(d_x), len(rows)))
-        return out, share, float(-(np.log(total[:, :, 0]) * on).sum() / n)
+        out["embed"] = (rows, _sum_rows(back.ravel(), d_z @ self._projections().T, len(rows)))
+        return out, share, float(-(np.log(total / gate_sum) * on).sum() / n)
+
+
+class Steps:
+    """Adam steps of a network's weights; a row of `embed` moves when its id is met."""
+
+    def __init__(self, net: AttentionLM):
+        self.net, self.taken = net, 0
+        self.first = {k: np.zeros_like(v) for k, v in net.p.items()}
+        self.second = {k: np.zeros_like(v) for k, v in net.p.items()}
+
+    def take(self, gradients: dict, pace: float) -> None:
+        self.taken += 1
+        fix = np.sqrt(1 - 0.999 ** self.taken) / (1 - 0.9 ** self.taken)
+        for k, d in gradients.items():
+            rows, d = d if k == "embed" else (slice(None), d)
+            first = self.first[k][rows] = 0.9 * self.first[k][rows] + np.float32(0.1) * d
+            second = self.second[k][rows] = 0.999 * self.second[k][rows] + np.float32(0.001) * d * d
+            self.net.p[k][rows] -= np.float32(pace * fix) * first / (np.sqrt(second) + np.float32(1e-8))
 
 
 def windows(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, targets, scored, places in the sequence) [window, position] of one sequence of ids: overlapping windows in which each target is
     scored once, from the second window on with at least WINDOW - STRIDE ids before it."""
-    given, target = np.concatenate(([START], ids[:-1])), ids
-    n = len(ids)
-    starts = np.arange(0, max(1, n - (WINDOW - STRIDE)), STRIDE)
+    return windows_of_all(ids, np.array([len(ids)]))
+
+
+def windows_of_all(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of sequences that stand in a row, none of them empty; places are those in the row."""
+    many = np.maximum(1, -(-(lengths - (WINDOW - STRIDE)) // STRIDE))
+    owner = np.repeat(np.arange(len(lengths)), many)
+    begin = np.cumsum(lengths) - lengths
+    starts = STRIDE * (np.arange(len(owner)) - (np.cumsum(many) - many)[owner])
+    given = np.concatenate(([START], ids[:-1]))
+    given[begin] = START
     at = starts[:, None] + np.arange(WINDOW)
-    inside = at < n
-    scored = inside & ((np.arange(WINDOW) >= WINDOW - STRIDE) | (starts == 0)[:, None])
-    at = np.minimum(at, n - 1)
-    return given[at], target[at], scored, at
+    n = lengths[owner][:, None]
+    scored = (at < n) & ((np.arange(WINDOW) >= WINDOW - STRIDE) | (starts == 0)[:, None])
+    at = np.minimum(at, n - 1) + begin[owner][:, None]
+    return given[at], ids[at], scored, at
+
+
+def batches_of(scored: np.ndarray, at_once: int, order: np.ndarray | None = None):
+    """(windows, first position to look at): a sequence's first window is scored from its start, others from WINDOW - STRIDE on."""
+    order = np.arange(len(scored)) if order is None else order
+    for first in (WINDOW - STRIDE, 0):
+        chosen = order[scored[order, 0] == (first == 0)]
+        for lo in range(0, len(chosen), at_once):
+            yield chosen[lo:lo + at_once], first
 
 
 def share_out(counts: np.ndarray, overall: np.ndarray) -> np.ndarray:
@@ -149,181 +217,242 @@ def fit_attention(sequences: list[np.ndarray], overall: np.ndarray, epochs: int
     ids, target, on = (np.concatenate([p[i] for p in parts]) for i in range(3))
     on = on.astype(np.float32)
     counts = net.experts * np.float32(2000)
-    first = {k: np.zeros_like(v) for k, v in net.p.items()}
-    second = {k: np.zeros_like(v) for k, v in net.p.items()}
-    step, steps = 0, max(1, epochs * len(ids) // batch)
+    fit = Steps(net)
+    steps = max(1, epochs * len(ids) // batch)
 
-    while step < steps:
+    while fit.taken < steps:
         for at in np.array_split(rng.permutation(len(ids)), max(1, len(ids) // batch)):
-            step += 1
             g, share, _ = net.gradients(ids[at], target[at], on[at])
-            pace = rate * min(1.0, step / 50) * (1 - 0.9 * step / steps)
-            fix = np.sqrt(1 - 0.999 ** step) / (1 - 0.9 ** step)
-            for k, d in g.items():
-                rows, d = d if k == "embed" else (slice(None), d)
-                first[k][rows] = 0.9 * first[k][rows] + 0.1 * d
-                second[k][rows] = 0.999 * second[k][rows] + 0.001 * d * d
-                net.p[k][rows] -= np.float32(pace * fix) * first[k][rows] / (np.sqrt(second[k][rows]) + 1e-8)
+            step = fit.taken + 1
+            fit.take(g, rate * min(1.0, step / 50) * (1 - 0.9 * step / steps))
             met, back = np.unique(target[at], return_inverse=True)
-            counts[met] += _sum_rows(back.ravel(), (share * on[at][:, :, None]).reshape(-1, EXPERTS), len(met))
+            counts[met] += _sum_rows(back.ravel(), share * on[at].reshape(-1, 1), len(met))
             if step % 20 == 0:
                 counts *= np.float32(0.9) if step < steps * 0.4 else np.float32(0.98)
                 net.experts = share_out(counts, overall)
             if step >= steps:
                 break
-    net.experts = share_out(counts, overall)
+    net.experts, net.counts = share_out(counts, overall), counts
     return net
 
 
-class TextScorer:
-    """Words, ids and counts of texts; everything about a distinct word is looked up once. hashes, counts and units
-    are those of the frequent words, units -1 for the ones that are no vocabulary entries."""
+class TextIds:
+    """Words, ids and counts of blocks of texts. hashes, counts and units are those of the frequent words, units -1 for the
+    ones that are no vocabulary entries."""
 
-    def __init__(self, tokenizer: str, net: AttentionLM | None, hashes: np.ndarray, counts: np.ndarray, units: np.ndarray, held: int = WORDS_HELD):
-        self.encoder, self.net, self.held = TextEncoder(tokenizer, True, 16), net, held
+    def __init__(self, tokenizer: str, hashes: np.ndarray, counts: np.ndarray, units: np.ndarray, held: int = WORDS_HELD):
+        self.encoder = TextEncoder(tokenizer, True, held)
         self.hashes, self.counts, self.units = hashes, counts, units
-        self._forget()
 
-    def _forget(self) -> None:
-        self.numbers = Numbers()
-        self.word_hash, self.word_count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.ids, self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, fresh: list[bytes]) -> None:
-        import xxhash
-
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64, len(fresh))
+    def of(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of an Arrow array of texts, each with the end as its last word: (ids of all, ids per text, hashes of all words,
+        their counts, words per text)."""
+        words, lengths, spelled = split_words(texts)
+        hashes = word_hashes(spelled)
         at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
-        found = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(fresh), bool)
-        counts = np.where(found, self.counts[at], 0) if len(self.hashes) else np.zeros(len(fresh), np.int64)
-        units = np.where(found, self.units[at], -1) if len(self.hashes) else np.full(len(fresh), -1)
-        rare = [w.decode("utf-8", "surrogatepass") for w, u in zip(fresh, units.tolist()) if w and u < 0]
-        ids, sizes = self.encoder.encode(rare)
-        rare_ids = iter(np.split(ids, np.cumsum(sizes)[:-1]) if rare else ())
-        parts = [np.array([END]) if not w else np.array([END + 1 + u]) if u >= 0 else next(rare_ids) for w, u in zip(fresh, units.tolist())]
-        parts = [p if len(p) else np.array([START]) for p in parts]
-        lengths = np.array([len(p) for p in parts], dtype=np.int64)
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(lengths) - lengths))
-        self.ids = np.concatenate((self.ids, *parts)).astype(np.int64)
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.word_hash, self.word_count = np.concatenate((self.word_hash, hashes)), np.concatenate((self.word_count, counts))
-
-    def words(self, texts: list[str]) -> list[np.ndarray]:
-        """Word numbers of texts, each with the end as the word b""."""
-        if len(self.numbers) > self.held:
-            self._forget()
-        at = [self.numbers.of([*words_of(t), b""]) for t in texts]
-        if self.numbers.fresh:
-            self._learn(self.numbers.fresh)
-            self.numbers.fresh.clear()
-        return at
-
-    def subwords(self, words: np.ndarray) -> np.ndarray:
-        lengths = self.lengths[words]
-        ends = np.cumsum(lengths)
+        found = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        counts, units = np.zeros(len(hashes), np.int64), np.full(len(hashes), -1)
+        counts[found], units[found] = self.counts[at[found]], self.units[at[found]]
+        units[0] = -1
+        rare = 1 + np.flatnonzero(units[1:] < 0)
+        ids, sizes = self.encoder.encode([spelled[i].decode("utf-8", "surrogatepass") for i in rare.tolist()])
+        dropped = sizes == 0
+        ids = np.insert(ids.astype(np.int64), (np.cumsum(sizes) - sizes)[dropped], START)
+        sizes = sizes + dropped
+        table = np.concatenate(([END], END + 1 + units[units >= 0], ids)).astype(np.int64)
+        starts, many = np.zeros(len(hashes), np.int64), np.ones(len(hashes), np.int64)
+        starts[units >= 0] = 1 + np.arange((units >= 0).sum())
+        starts[rare], many[rare] = 1 + (units >= 0).sum() + np.cumsum(sizes) - sizes, sizes
+        per_word = many[words]
+        ends = np.cumsum(per_word)
         steps = np.ones(ends[-1], dtype=np.int64)
-        starts = self.starts[words]
-        steps[0] = starts[0]
-        steps[ends[:-1]] = starts[1:] - (starts[:-1] + lengths[:-1] - 1)
-        return self.ids[np.cumsum(steps)]
-
-    def neural(self, sequences: list[np.ndarray], at_once: int = 384) -> list[np.ndarray]:
-        """Log probability of each id of each sequence; windows of all sequences share their batches."""
-        parts = [windows(s) for s in sequences]
-        given, target, scored = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        values = [self.net.log_probability(given[lo:lo + at_once], target[lo:lo + at_once])[scored[lo:lo + at_once]]
-                  for lo in range(0, len(given), at_once)]
-        return np.split(np.concatenate(values), np.cumsum([len(s) for s in sequences])[:-1])
-
-    def add_shares(self, sequences: list[np.ndarray], total: np.ndarray, at_once: int = 384) -> None:
-        """Add to total[id, expert] the share of each expert in each id of each sequence."""
-        parts = [windows(s) for s in sequences]
-        given, target, scored = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        for lo in range(0, len(given), at_once):
-            on, to = scored[lo:lo + at_once], target[lo:lo + at_once]
-            share = self.net.gates(given[lo:lo + at_once])[on] * self.net.experts[to[on]] + np.float32(1e-30)
-            share /= share.sum(axis=1, keepdims=True)
-            met, back = np.unique(to[on], return_inverse=True)
-            total[met] += _sum_rows(back, share, len(met))
-
-
-def summed_shares(texts: DataFrame, tokenizer: str, shared, vocabulary: int) -> np.ndarray:
-    """[id, expert]: the counts of each id in all texts (text), dealt to the experts by what each explains. A task sends a row
-    per bucket of ids; the rows of a bucket are added one by one, so memory is bounded by the vocabulary."""
+        begin = starts[words]
+        steps[0] = begin[0]
+        steps[ends[:-1]] = begin[1:] - (begin[:-1] + per_word[:-1] - 1)
+        return table[np.cumsum(steps)], np.diff(ends[np.cumsum(lengths) - 1], prepend=0), hashes[words], counts[words], lengths
+
+
+def split_words(texts) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(numbers of the words of all texts in a row, words per text, distinct words by number) of an Arrow array of texts, with A-Z in
+    lower case, cut at [\\x20\\x09-\\x0D]+. The end of a text is its last word, b"", number 0."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
+    flat = split.flatten().dictionary_encode()
+    spelled = flat.dictionary.cast(pa.large_binary()).to_pylist()
+    number = np.arange(1, 1 + len(spelled))
+    blank = spelled.index(b"") if b"" in spelled else -1
+    if blank >= 0:
+        number[blank] = 0
+        number[blank + 1:] -= 1
+        del spelled[blank]
+    words = number[flat.indices.to_numpy()] if len(flat) else np.zeros(0, np.int64)
+    sizes = pc.list_value_length(split).to_numpy().astype(np.int64)
+    kept = words > 0
+    sizes = np.diff(np.concatenate(([0], np.cumsum(kept)))[np.cumsum(sizes)], prepend=0)
+    return np.insert(words[kept], np.cumsum(sizes), 0), sizes + 1, [b"", *spelled]
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    import xxhash
+
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def log_probabilities(net: AttentionLM, ids: np.ndarray, lengths: np.ndarray, at_once: int = BATCH) -> np.ndarray:
+    """Log probability of each id of sequences that stand in a row."""
+    given, target, scored, at = windows_of_all(ids, lengths)
+    out = np.zeros(len(ids), np.float32)
+    for chosen, first in batches_of(scored, at_once):
+        on = scored[chosen, first:]
+        out[at[chosen, first:][on]] = net.log_probability(given[chosen], target[chosen], first)[on]
+    return out
+
+
+def sequences_in(batch, most: int = 1 << 18):
+    """(ids in a row, lengths, rows) of Arrow batches whose first column holds packed ids; about `most` ids at a time."""
+    packed, lo = batch.column(0).to_pylist(), 0
+    sizes = np.array([len(b) // 4 for b in packed], dtype=np.int64)
+    while lo < len(packed):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), most, side="right")))
+        yield np.frombuffer(b"".join(packed[lo:hi]), "<u4").astype(np.int64), sizes[lo:hi], slice(lo, hi)
+        lo = hi
+
+
+class TaskFit:
+    """Gradient steps of one task over its texts from the first weights, and what each expert explains of each id in them."""
+
+    def __init__(self, net: AttentionLM, overall: np.ndarray):
+        self.net = AttentionLM({k: v.copy() for k, v in net.p.items()}, net.experts)
+        self.before, self.overall = net.counts, overall.astype(np.float32)
+        self.fit, self.rng = Steps(self.net), np.random.default_rng(5)
+        self.explained = np.zeros((len(overall), EXPERTS), np.float32)
+        self.met = np.zeros(len(overall), np.int64)
+        self.seen, self.renew = 0, 1 << 18
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        given, target, scored, _ = windows_of_all(ids, lengths)
+        for chosen, first in batches_of(scored, BATCH, self.rng.permutation(len(scored))):
+            on = scored[chosen]
+            g, share, _ = self.net.gradients(given[chosen], target[chosen], on, first)
+            step = self.fit.taken + 1
+            self.fit.take(g, RATE * min(1.0, step / 50) / np.sqrt(1 + step / 500))
+            on = on[:, first:].ravel()
+            met, back = np.unique(target[chosen, first:].ravel()[on], return_inverse=True)
+            self.explained[met] += _sum_rows(back, share[on], len(met))
+        self.met += np.bincount(given[scored], minlength=len(self.met))
+        self.seen += len(ids)
+        if self.seen >= self.renew:
+            self.renew = 2 * self.seen
+            self.net.experts = share_out(self.before + self.explained, self.overall)
+
+
+def fit_all(sequences: DataFrame, shared, vocabulary: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Weights fitted on all sequences (ids, packed), and [id, expert]: the counts of each id in all of them, dealt to the
+    experts by what each explains. shared: the first network and the share of each id. A task sends its weights, and a row per bucket
+    of ids; the rows of a bucket are added one by one, so memory is bounded by the vocabulary. A row of `embed` is averaged over the tasks that met
+    its id, by how often they did."""
     import pyarrow as pa
 
+    names = ["bucket", "ids", "met", "shares", "weights"]
+
     def of_task(batches):
-        scorer = TextScorer(tokenizer, *shared.value)
-        total = np.zeros((vocabulary, EXPERTS))
+        task = TaskFit(*shared.value)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 100):
-                words = scorer.words(batch.column(0).slice(lo, 100).to_pylist())
-                scorer.add_shares([scorer.subwords(w) for w in words], total)
-        met = np.flatnonzero(total.any(axis=1))
+            for ids, lengths, _ in sequences_in(batch):
+                task.add(ids, lengths)
+        if not task.seen:
+            return
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        row = lambda *c: pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(c, kinds)], names)
+        weights = np.concatenate([v.ravel() for k, v in sorted(task.net.p.items()) if k != "embed"]).astype("<f8")
+        yield row(SHARE_BUCKETS, b"", np.array([task.seen], "<i8").tobytes(), b"", (task.seen * weights).tobytes())
+        used = np.flatnonzero((task.met > 0) | task.explained.any(axis=1))
         for bucket in range(SHARE_BUCKETS):
-            own = met[met % SHARE_BUCKETS == bucket]
+            own = used[used % SHARE_BUCKETS == bucket]
             if len(own):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([own.astype("<i8").tobytes()], pa.binary()),
-                                                  pa.array([total[own].astype("<f4").tobytes()], pa.binary())], ["bucket", "ids", "shares"])
+                yield row(bucket, own.astype("<i8").tobytes(), task.met[own].astype("<i8").tobytes(), task.explained[own].astype("<f4").tobytes(),
+                          (task.met[own][:, None] * task.net.p["embed"][own]).astype("<f4").tobytes())
 
     def add(batches):
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, list] = {}
         for batch in batches:
-            for bucket, ids, shares in zip(*(c.to_pylist() for c in batch.columns)):
+            for bucket, ids, met, shares, weights in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket == SHARE_BUCKETS:
+                    met, weights = np.frombuffer(met, "<i8"), np.frombuffer(weights, "<f8")
+                    had = held.setdefault(bucket, [np.zeros(1, np.int64), np.zeros((1, 0)), np.zeros((1, len(weights)))])
+                    had[0] += met
+                    had[2] += weights
+                    continue
                 if bucket not in held:
-                    held[bucket] = np.zeros((len(range(bucket, vocabulary, SHARE_BUCKETS)), EXPERTS))
-                held[bucket][np.frombuffer(ids, "<i8") // SHARE_BUCKETS] += np.frombuffer(shares, "<f4").reshape(-1, EXPERTS)
-        for bucket, sums in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([sums.astype("<f8").tobytes()], pa.binary())], ["bucket", "sums"])
-
-    found = (texts.mapInArrow(of_task, "bucket long, ids binary, shares binary").repartition("bucket")
-             .mapInArrow(add, "bucket long, sums binary"))
-    out = np.zeros((vocabulary, EXPERTS))
+                    n = len(range(bucket, vocabulary, SHARE_BUCKETS))
+                    held[bucket] = [np.zeros(n, np.int64), np.zeros((n, EXPERTS)), np.zeros((n, WIDTH))]
+                at = np.frombuffer(ids, "<i8") // SHARE_BUCKETS
+                for total, part, kind in zip(held[bucket], (met, shares, weights), ("<i8", "<f4", "<f4")):
+                    total[at] += np.frombuffer(part, kind).reshape(len(at), *total.shape[1:])
+        for bucket, (met, shares, weights) in held.items():
+            weights /= np.maximum(met, 1)[:, None]
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), *(pa.array([a.tobytes()], pa.binary()) for a in (
+                met.astype("<i8"), shares.astype("<f4"), weights.astype("<f4")))], ["bucket", "met", "shares", "weights"])
+
+    found = (sequences.mapInArrow(of_task, "bucket long, ids binary, met binary, shares binary, weights binary").repartition("bucket")
+             .mapInArrow(add, "bucket long, met binary, shares binary, weights binary"))
+    net = shared.value[0]
+    p, explained = {k: v.copy() for k, v in net.p.items()}, np.zeros((vocabulary, EXPERTS), np.float32)
     for r in found.collect():
-        out[r["bucket"]::SHARE_BUCKETS] = np.frombuffer(r["sums"], "<f8").reshape(-1, EXPERTS)
-    return out
+        weights = np.frombuffer(r["weights"], "<f4")
+        if r["bucket"] == SHARE_BUCKETS:
+            names = [k for k in sorted(p) if k != "embed"]
+            for k, part in zip(names, np.split(weights, np.cumsum([p[k].size for k in names])[:-1])):
+                p[k] = part.reshape(p[k].shape).copy()
+            continue
+        explained[r["bucket"]::SHARE_BUCKETS] = np.frombuffer(r["shares"], "<f4").reshape(-1, EXPERTS)
+        met = np.frombuffer(r["met"], "<i8") > 0
+        p["embed"][r["bucket"]::SHARE_BUCKETS][met] = weights.reshape(-1, WIDTH)[met]
+    return p, explained
 
 
 def count_words(docs: DataFrame, learn: Column, buckets: int) -> DataFrame:
     """(bucket, hashes, counts, n_words, n_tokens, top_hashes, top_counts), a row per bucket of words, of the whole
-    texts of all rows for which `learn` holds. A task sends a word once per million words, whatever its number."""
+    texts of all rows for which `learn` holds. A task sends a word once per half a million different words."""
     import pyarrow as pa
 
     rows = docs.filter(learn).select(whole_text().alias("text"))
 
     def count_task(batches):
-        import xxhash
+        hashes, times, held = [], [], 0
 
-        numbers = Numbers()
-        total, held = np.zeros(0, np.int64), 0
+        def merged():
+            order = np.argsort(h := np.concatenate(hashes), kind="stable")
+            h, t = h[order], np.concatenate(times)[order]
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            return h[first], np.add.reduceat(t, first)
 
-        def flush():
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, numbers), np.uint64, len(numbers))
+        def flush(hashes, times):
             bucket = (hashes % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
-            hashes, times, bucket = hashes[order], total[order], bucket[order]
+            hashes, times, bucket = hashes[order], times[order], bucket[order]
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
-            yield pa.RecordBatch.from_arrays([
+            return pa.RecordBatch.from_arrays([
                 pa.array(bucket[cuts[:-1]]), pa.array([hashes[a:b].astype("<u8").tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
                 pa.array([times[a:b].astype("<i8").tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], ["bucket", "hashes", "counts"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words = [*words_of(text), b""]
-                at = numbers.of(words)
-                if len(numbers) > len(total):
-                    total = np.concatenate((total, np.zeros(max(4096, len(numbers)), np.int64)))
-                met, times = np.unique(at, return_counts=True)
-                total[met] += times
-                held += len(words)
-                if held >= BLOCK_WORDS:
-                    total = total[:len(numbers)]
-                    yield from flush()
-                    numbers = Numbers()
-                    total, held = np.zeros(0, np.int64), 0
-        if numbers:
-            total = total[:len(numbers)]
-            yield from flush()
+            if not batch.num_rows:
+                continue
+            words, _, spelled = split_words(batch.column(0))
+            hashes.append(word_hashes(spelled))
+            times.append(np.bincount(words, minlength=len(spelled)))
+            held += len(spelled)
+            if held >= BLOCK_WORDS:
+                hashes[:], times[:] = ([a] for a in merged())
+                held = len(hashes[0])
+                if held >= BLOCK_WORDS // 2:
+                    yield flush(hashes.pop(), times.pop())
+                    held = 0
+        if hashes:
+            yield flush(*merged())
 
     most = max(1, FREQUENT // buckets)
 
@@ -372,12 +501,70 @@ def overall_shares(sequences: list[np.ndarray], unit_counts: np.ndarray) -> np.n
     return overall / overall.sum()
 
 
+def encode_documents(docs: DataFrame, learn: Column, tokenizer: str, words, buckets: int) -> DataFrame:
+    """Rows (key, doc_id, held_out, n_tokens, n_known, known_log, ids): ids of all whole texts, packed, with the counts of their
+    frequent words; and rows (bucket, hashes, keys) with the other words, packed. words: what TextIds takes."""
+    import pyarrow as pa
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~learn).alias("held_out"), whole_text().alias("text"))
+    schema = ("key long, doc_id long, held_out boolean, n_tokens long, n_known long, known_log double, ids binary, "
+              "bucket long, hashes binary, keys binary")
+
+    def encode(batches):
+        from pyspark import TaskContext
+
+        maker = TextIds(tokenizer, *words.value)
+        key = TaskContext.get().partitionId() << 33
+        rare_hash: list[np.ndarray] = []
+        rare_key: list[np.ndarray] = []
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+        names = [c.split()[0] for c in schema.split(", ")]
+
+        def batch_of(n, columns):
+            return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)], names)
+
+        def flush():
+            h, k = np.concatenate(rare_hash), np.concatenate(rare_key)
+            bucket = (h % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            h, k, bucket = h[order], k[order], bucket[order]
+            cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
+            rare_hash.clear()
+            rare_key.clear()
+            if len(h):
+                packed = lambda a, kind: pa.array([a[lo:hi].astype(kind).tobytes() for lo, hi in zip(cuts[:-1], cuts[1:])], pa.binary())
+                yield batch_of(len(cuts) - 1, {"bucket": pa.array(bucket[cuts[:-1]]), "hashes": packed(h, "<u8"), "keys": packed(k, "<i8")})
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, sizes, hashes, counts, lengths = maker.of(batch.column(2))
+            keys = key + np.arange(batch.num_rows)
+            key += batch.num_rows
+            begin, known = np.cumsum(lengths) - lengths, counts > 0
+            logs = np.where(known, np.log10(counts + 0.5), 0.0)
+            data, ends = memoryview(ids.astype("<u4").tobytes()), np.cumsum(sizes)
+            yield batch_of(batch.num_rows, {
+                "key": pa.array(keys), "doc_id": batch.column(0), "held_out": batch.column(1), "n_tokens": pa.array(lengths),
+                "n_known": pa.array(np.add.reduceat(known.astype(np.int64), begin)), "known_log": pa.array(np.add.reduceat(logs, begin)),
+                "ids": pa.array([data[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), sizes.tolist())], pa.binary())})
+            rare_hash.append(hashes[~known])
+            rare_key.append(np.repeat(keys, lengths)[~known])
+            if sum(map(len, rare_hash)) >= BLOCK_WORDS:
+                yield from flush()
+        if rare_hash:
+            yield from flush()
+
+    return rows.mapInArrow(encode, schema)
+
+
 def score_documents(docs: DataFrame, tokenizer: str, modulus: int = 5, held: int = 1) -> DataFrame:
     """Log10 probabilities of all whole texts of docs (doc_id, text), learned from the rows whose id_bucket is not `held`.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-half unigram), score (the model). A missing
     text is empty: its only token is the end. The counts of frequent words, a bounded table, are broadcast; the
-    other words of a document meet their counts in the bucket of their hash, in packed arrays.
+    other words of a document meet their counts in the bucket of their hash, in packed arrays. Texts become ids once; the network
+    is fitted on those of all training texts and then scores all.
     """
     import pyarrow as pa
 
@@ -397,64 +584,32 @@ def score_documents(docs: DataFrame, tokenizer: str, modulus: int = 5, held: int
     chosen = np.lexsort((hashes, -times))[:UNITS]
     chosen = np.sort(chosen[times[chosen] >= UNIT_COUNT])
     units[chosen] = np.arange(len(chosen))
-    maker, sequences, used = TextScorer(tokenizer, None, hashes, times, units), [], 0
+    words = spark.sparkContext.broadcast((hashes, times, units))
+    made = stored(encode_documents(docs, learn, tokenizer, words, buckets), "ids")
+    texts = made.filter("bucket IS NULL")
+
+    maker, sequences, used = TextIds(tokenizer, hashes, times, units), [], 0
     for text in training_sample(docs, learn):
-        sequences.append(maker.subwords(maker.words([text])[0]))
+        sequences.append(maker.of(pa.array([text], pa.large_string()))[0])
         used += len(sequences[-1])
         if used > SAMPLE_TOKENS:
             break
-    net = fit_attention(sequences, overall_shares(sequences, times[chosen]))
-    fitted = spark.sparkContext.broadcast((net, hashes, times, units))
-    explained = summed_shares(docs.filter(learn).select(whole_text().alias("text")), tokenizer, fitted, len(net.experts))
-    fitted.unpersist()
-    if explained.any():
-        overall = explained.sum(axis=1) + 0.05
-        net = AttentionLM(net.p, share_out(explained, overall / overall.sum()).astype(np.float32))
-    shared = spark.sparkContext.broadcast((net, hashes, times, units))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (~learn).alias("held_out"), whole_text().alias("text"))
+    overall = overall_shares(sequences, times[chosen])
+    net = fit_attention(sequences, overall)
+    if sequences:
+        begun = spark.sparkContext.broadcast((net, overall))
+        p, explained = fit_all(texts.filter("NOT held_out").select("ids"), begun, len(overall))
+        begun.unpersist()
+        overall = explained.sum(axis=1, dtype=np.float64) + 0.05
+        net = AttentionLM(p, share_out(explained, overall / overall.sum()).astype(np.float32))
+    shared = spark.sparkContext.broadcast(AttentionLM(net.p, net.experts))
 
     def score(batches):
-        from pyspark import TaskContext
-
-        scorer = TextScorer(tokenizer, *shared.value)
-        key = TaskContext.get().partitionId() << 33
-        rare_hash: list[np.ndarray] = []
-        rare_key: list[np.ndarray] = []
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.binary()]
-        names = ["key", "doc_id", "held_out", "n_tokens", "n_known", "known_log", "score", "bucket", "hashes", "keys"]
-        batch_of = lambda out: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
-
-        def flush():
-            h, k = np.concatenate(rare_hash), np.concatenate(rare_key)
-            bucket = (h % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            h, k, bucket = h[order], k[order], bucket[order]
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
-            rare_hash.clear()
-            rare_key.clear()
-            if len(h):
-                yield batch_of([(None, None, None, None, None, None, None, int(bucket[a]), h[a:b].astype("<u8").tobytes(), k[a:b].astype("<i8").tobytes())
-                                for a, b in zip(cuts[:-1], cuts[1:])])
-
         for batch in batches:
-            for lo in range(0, batch.num_rows, 100):
-                part = [c.to_pylist() for c in batch.slice(lo, 100).columns]
-                out, held_words, ids = [], [], []
-                for w in scorer.words(part[2]):
-                    ids.append(scorer.subwords(w))
-                    held_words.append((scorer.word_count[w], scorer.word_hash[w]))
-                logs = scorer.neural(ids)
-                for doc_id, out_of, (known, word_hash), sub in zip(*part[:2], held_words, logs):
-                    value = sub.sum(dtype=np.float64) / np.log(10)
-                    out.append((key, doc_id, out_of, len(known), int((known > 0).sum()), float(np.log10(known[known > 0] + 0.5).sum()), float(value), None, None, None))
-                    rare_hash.append(word_hash[known == 0])
-                    rare_key.append(np.full(len(rare_hash[-1]), key))
-                    key += 1
-                yield batch_of(out)
-                if sum(map(len, rare_hash)) >= BLOCK_WORDS:
-                    yield from flush()
-        if rare_hash:
-            yield from flush()
+            logs = [np.add.reduceat(log_probabilities(shared.value, ids, lengths).astype(np.float64), np.cumsum(lengths) - lengths)
+                    for ids, lengths, _ in sequences_in(batch)]
+            if logs:
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(np.concatenate(logs) / np.log(10))], [*batch.schema.names[1:], "score"])
 
     def look_up(found: pa.Table, known: pa.Table) -> pa.Table:
         """Per document and bucket: words with a count, and the sum of log10(count + 0.5) over all."""
@@ -473,14 +628,14 @@ def score_documents(docs: DataFrame, tokenizer: str, modulus: int = 5, held: int
         return pa.table({"key": k[first], "rare_known": np.add.reduceat((times > 0).astype(np.int64), first),
                          "rare_log": np.add.reduceat(np.log10(times + 0.5), first)})
 
-    made = stored(rows.mapInArrow(score, "key long, doc_id long, held_out boolean, n_tokens long, n_known long, known_log double, score double, "
-                                         "bucket long, hashes binary, keys binary"), "scores")
+    scored = stored(texts.select("ids", "key", "doc_id", "held_out", "n_tokens", "n_known", "known_log")
+                    .mapInArrow(score, "key long, doc_id long, held_out boolean, n_tokens long, n_known long, known_log double, score double"), "scores")
     rare = made.filter("bucket IS NOT NULL").select("bucket", "hashes", "keys")
     sums = (rare.groupBy("bucket").cogroup(counts.select("bucket", "hashes", "counts").groupBy("bucket"))
             .applyInArrow(look_up, "key long, rare_known long, rare_log double")
             .groupBy("key").agg(F.sum("rare_known").alias("rare_known"), F.sum("rare_log").alias("rare_log")))
     floor = float(np.log10(n_tokens + 0.5 * (n_words + 1)))
-    joined = made.filter("bucket IS NULL").join(sums, "key", "left")
+    joined = scored.join(sums, "key", "left")
     return joined.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"),

@@ -462,6 +462,43 @@ def test_attention_learns_contexts_from_texts_outside_the_sample(spark, monkeypa
     assert abs(score["same"][1] - score["mixed"][1]) > 1e-4
 
 
+def test_attention_weights_are_learned_from_all_training_texts(spark, monkeypatch):
+    fitted = attention.fit_attention
+
+    def contextless(sequences, overall, *args, **kwargs):
+        net = fitted(sequences, overall, *args, **kwargs)
+        net.p["embed"][:] = 0
+        return net
+
+    monkeypatch.setattr(attention, "fit_attention", contextless)  # the first weights see no context, so any that do come from the pass
+    out = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    rows = [(i, " ".join(["red", "green", "blue"] * 60)) for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1]
+    rows += [(out[0], " ".join(["red", "green", "blue"] * 20)), (out[1], " ".join(["red"] * 20 + ["green"] * 20 + ["blue"] * 20))]
+    found = attention.score_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2), WORDS)
+    score = {r["doc_id"]: r["score"] for r in found.collect()}
+    assert score[out[0]] > score[out[1]] + 0.05
+
+
+def test_attention_gradients_are_those_of_the_loss():
+    net, rng = attention.AttentionLM.new(40, 3), np.random.default_rng(1)
+    net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    given, target, scored, _ = attention.windows_of_all(rng.integers(0, 40, 150), np.array([1, 89, 60]))
+    given = np.where(given == attention.START, 0, given)
+    for chosen, first in attention.batches_of(scored, 9):
+        on = scored[chosen].astype(np.float64)
+        loss = lambda: -(net.log_probability(given[chosen], target[chosen], first) * on[:, first:]).sum() / on[:, first:].sum()
+        found, _, at_first = net.gradients(given[chosen], target[chosen], on, first)
+        assert at_first == pytest.approx(loss(), rel=1e-4)
+        for name, place in (("query", (3, 4)), ("key", (5, 6)), ("value", (1, 2)), ("seen", (2, 3)), ("own", (7, 8)), ("near", 3), ("gates", (2, 5)), ("bias", 4)):
+            held, step = net.p[name][place], 1e-3
+            net.p[name][place] = held + step
+            above = loss()
+            net.p[name][place] = held - step
+            slope = (above - loss()) / (2 * step)
+            net.p[name][place] = held
+            assert found[name][place] == pytest.approx(slope, rel=0.05, abs=2e-5), name
+
+
 def test_the_attention_sample_stands_in_the_order_of_its_hash(spark):
     docs = spark.range(200).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
     hashed = [r["text"] for r in docs.orderBy(F.xxhash64("doc_id")).limit(50).collect()]
