@@ -16,6 +16,7 @@ from .tokens import shared_encoder, text_blocks
 MAGIC = b"TBWM"
 SHARD_TOKENS = 1 << 21
 RANK_BLOCK = 512
+STEP = 1 << 17
 
 
 class WaveletMatrix:
@@ -36,21 +37,28 @@ class WaveletMatrix:
         values = values.astype(np.uint16) if bits <= 16 else values
         planes, zeros = [], []
         for level in range(bits - 1, -1, -1):
-            ones = ((values >> level) & 1).astype(bool)
+            ones = (values & values.dtype.type(1 << level)).astype(bool)
             planes.append(np.packbits(ones, bitorder="little"))
-            low = values[~ones]
-            zeros.append(len(low))
-            values = np.concatenate((low, values[ones]))
+            # np.compress finds the places first, which costs half of a boolean index; in steps these places stay few.
+            blocks = [(ones[lo:lo + STEP], values[lo:lo + STEP]) for lo in range(0, len(values), STEP)]
+            low = [np.compress(~bits_of, block) for bits_of, block in blocks]
+            zeros.append(sum(map(len, low)))
+            values = np.concatenate((*low, *(np.compress(bits_of, block) for bits_of, block in blocks), values[:0]))
         return cls(n=len(values), planes=planes, zeros=zeros)
 
     def values(self) -> np.ndarray:
         """The whole sequence: the planes are put together from the last to the first."""
         low = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level, (plane, zero) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
-            ones = np.unpackbits(plane, count=self.n, bitorder="little").astype(bool)
-            whole = np.empty_like(low)
-            whole[~ones] = low[:zero]
-            whole[ones] = low[zero:] | low.dtype.type(1 << level)
+            ones = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
+            low[zero:] |= low.dtype.type(1 << level)
+            whole, before = np.empty_like(low), 0
+            for lo in range(0, self.n, STEP):
+                to, ones_at = whole[lo:lo + STEP], np.flatnonzero(ones[lo:lo + STEP])
+                zeros_at = np.flatnonzero(~ones[lo:lo + STEP])
+                to[ones_at] = low[zero + lo - before:zero + lo - before + len(ones_at)]
+                to[zeros_at] = low[before:before + len(zeros_at)]
+                before += len(zeros_at)
             low = whole
         return low.astype(np.uint32)
 

@@ -417,6 +417,21 @@ def test_toxicity_of_hard_rows(spark, hard_documents, labels):
     assert toxicity.score_toxicity(hard_documents.limit(0), toxicity.fit_toxicity([], [])).count() == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, wavelet.STEP - 1, wavelet.STEP, wavelet.STEP + 1, 2 * wavelet.STEP + 3])
+def test_wavelet_planes_are_parted_in_steps(n):
+    for top in (2, 300, 70_000):
+        values = np.random.default_rng(n).integers(0, top, n).astype(np.uint32)
+        matrix = wavelet.WaveletMatrix.from_bytes(wavelet.WaveletMatrix.build(values).to_bytes())
+        assert (matrix.values() == values).all()
+        for level, (plane, zero) in enumerate(zip(matrix.planes, matrix.zeros)):
+            bits = (values >> (len(matrix.planes) - 1 - level)) & 1
+            assert zero == (bits == 0).sum()
+            assert (np.unpackbits(plane, count=n, bitorder="little") == bits).all()
+            values = values[np.argsort(bits, kind="stable")] if level < len(matrix.planes) - 1 else values
+        if n:
+            assert matrix.access(n - 1) == matrix.values()[n - 1]
+
+
 def test_attention_scores_each_id_once_and_sums_to_one():
     net, rng = attention.AttentionLM.new(50, 1), np.random.default_rng(0)
     net.experts = (net.experts / net.experts.sum(axis=0)).astype(np.float32)
