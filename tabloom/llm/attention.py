@@ -147,17 +147,25 @@ class Steps:
 
     def __init__(self, net: AttentionLM):
         self.net, self.taken = net, 0
-        self.first = {k: np.zeros_like(v) for k, v in net.p.items()}
-        self.second = {k: np.zeros_like(v) for k, v in net.p.items()}
+        self.moments = {k: np.zeros((*v.shape[:-1], 2 * v.shape[-1]), v.dtype) for k, v in net.p.items()}
 
     def take(self, gradients: dict, pace: float) -> None:
         self.taken += 1
         fix = np.sqrt(1 - 0.999 ** self.taken) / (1 - 0.9 ** self.taken)
         for k, d in gradients.items():
             rows, d = d if k == "embed" else (slice(None), d)
-            first = self.first[k][rows] = 0.9 * self.first[k][rows] + np.float32(0.1) * d
-            second = self.second[k][rows] = 0.999 * self.second[k][rows] + np.float32(0.001) * d * d
-            self.net.p[k][rows] -= np.float32(pace * fix) * first / (np.sqrt(second) + np.float32(1e-8))
+            moments, n = self.moments[k][rows], d.shape[-1]
+            first, second = moments[..., :n], moments[..., n:]
+            first *= np.float32(0.9)
+            first += np.float32(0.1) * d
+            second *= np.float32(0.999)
+            second += np.float32(0.001) * d * d
+            self.moments[k][rows] = moments
+            move = np.sqrt(second)
+            move += np.float32(1e-8)
+            np.divide(first, move, out=move)
+            move *= np.float32(pace * fix)
+            self.net.p[k][rows] -= move
 
 
 def windows(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -213,8 +221,7 @@ def fit_attention(sequences: list[np.ndarray], overall: np.ndarray, epochs: int
         return net
     seen = np.bincount(np.concatenate([[START], *sequences]), minlength=len(overall)) > 0
     net.p["embed"][~seen] = 0
-    parts = [windows(s) for s in sequences]
-    ids, target, on = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    ids, target, on = windows_of_all(np.concatenate(sequences), np.array([len(s) for s in sequences]))[:3]
     on = on.astype(np.float32)
     counts = net.experts * np.float32(2000)
     fit = Steps(net)
@@ -323,9 +330,9 @@ def sequences_in(batch, most: int = 1 << 18):
 class TaskFit:
     """Gradient steps of one task over its texts from the first weights, and what each expert explains of each id in them."""
 
-    def __init__(self, net: AttentionLM, overall: np.ndarray):
-        self.net = AttentionLM({k: v.copy() for k, v in net.p.items()}, net.experts)
-        self.before, self.overall = net.counts, overall.astype(np.float32)
+    def __init__(self, p: dict[str, np.ndarray], counts: np.ndarray, overall: np.ndarray):
+        self.before, self.overall = counts, overall.astype(np.float32)
+        self.net = AttentionLM({k: v.copy() for k, v in p.items()}, share_out(counts, self.overall))
         self.fit, self.rng = Steps(self.net), np.random.default_rng(5)
         self.explained = np.zeros((len(overall), EXPERTS), np.float32)
         self.met = np.zeros(len(overall), np.int64)
@@ -338,9 +345,9 @@ class TaskFit:
             g, share, _ = self.net.gradients(given[chosen], target[chosen], on, first)
             step = self.fit.taken + 1
             self.fit.take(g, RATE * min(1.0, step / 50) / np.sqrt(1 + step / 500))
-            on = on[:, first:].ravel()
-            met, back = np.unique(target[chosen, first:].ravel()[on], return_inverse=True)
-            self.explained[met] += _sum_rows(back, share[on], len(met))
+            share *= on[:, first:].reshape(-1, 1)
+            met, back = np.unique(target[chosen, first:].ravel(), return_inverse=True)
+            self.explained[met] += _sum_rows(back, share, len(met))
         self.met += np.bincount(given[scored], minlength=len(self.met))
         self.seen += len(ids)
         if self.seen >= self.renew:
@@ -350,7 +357,7 @@ class TaskFit:
 
 def fit_all(sequences: DataFrame, shared, vocabulary: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """Weights fitted on all sequences (ids, packed), and [id, expert]: the counts of each id in all of them, dealt to the
-    experts by what each explains. shared: the first network and the share of each id. A task sends its weights, and a row per bucket
+    experts by what each explains. shared: the first weights, what the experts explained then, and the share of each id. A task sends its weights, and a row per bucket
     of ids; the rows of a bucket are added one by one, so memory is bounded by the vocabulary. A row of `embed` is averaged over the tasks that met
     its id, by how often they did."""
     import pyarrow as pa
@@ -398,8 +405,7 @@ def fit_all(sequences: DataFrame, shared, vocabulary: int) -> tuple[dict[str, np
 
     found = (sequences.mapInArrow(of_task, "bucket long, ids binary, met binary, shares binary, weights binary").repartition("bucket")
              .mapInArrow(add, "bucket long, met binary, shares binary, weights binary"))
-    net = shared.value[0]
-    p, explained = {k: v.copy() for k, v in net.p.items()}, np.zeros((vocabulary, EXPERTS), np.float32)
+    p, explained = {k: v.copy() for k, v in shared.value[0].items()}, np.zeros((vocabulary, EXPERTS), np.float32)
     for r in found.collect():
         weights = np.frombuffer(r["weights"], "<f4")
         if r["bucket"] == SHARE_BUCKETS:
@@ -588,7 +594,7 @@ def score_documents(docs: DataFrame, tokenizer: str, modulus: int = 5, held: int
     made = stored(encode_documents(docs, learn, tokenizer, words, buckets), "ids")
     texts = made.filter("bucket IS NULL")
 
-    maker, sequences, used = TextIds(tokenizer, hashes, times, units), [], 0
+    maker, sequences, used = TextIds(tokenizer, hashes, times, units, 1 << 10), [], 0
     for text in training_sample(docs, learn):
         sequences.append(maker.of(pa.array([text], pa.large_string()))[0])
         used += len(sequences[-1])
@@ -597,9 +603,10 @@ def score_documents(docs: DataFrame, tokenizer: str, modulus: int = 5, held: int
     overall = overall_shares(sequences, times[chosen])
     net = fit_attention(sequences, overall)
     if sequences:
-        begun = spark.sparkContext.broadcast((net, overall))
+        begun = spark.sparkContext.broadcast((net.p, net.counts, overall))
+        del maker, sequences, net
         p, explained = fit_all(texts.filter("NOT held_out").select("ids"), begun, len(overall))
-        begun.unpersist()
+        begun.destroy()
         overall = explained.sum(axis=1, dtype=np.float64) + 0.05
         net = AttentionLM(p, share_out(explained, overall / overall.sum()).astype(np.float32))
     shared = spark.sparkContext.broadcast(AttentionLM(net.p, net.experts))

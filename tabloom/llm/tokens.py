@@ -181,7 +181,12 @@ class TextEncoder:
         split = pc.split_pattern(even, _CUT)
         parts = split.flatten().dictionary_encode()
         numbers = self.words.of(parts.dictionary.to_numpy(zero_copy_only=False).tolist())[parts.indices.to_numpy()]
-        ends = np.cumsum(pc.list_value_length(split).to_numpy())
+        sizes = pc.list_value_length(split).to_numpy()
+        if len(sizes) == len(texts):
+            self.words.learn()
+            ids_before = np.concatenate(([0], np.cumsum(self.words.lengths[numbers], dtype=np.int64)))
+            return self.words.ids(numbers), np.diff(ids_before[np.cumsum(sizes)], prepend=0)
+        ends = np.cumsum(sizes)
         found = iter(np.split(numbers, ends[:-1]) if len(ends) else ())
         words = [self.words.of(self._parts(text)) if apart else next(found) for text, apart in zip(texts, uneven.to_pylist())]
         self.words.learn()
