@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from .common import bounded_batches, id_bucket, stored, whole_text
 from .tokens import TextEncoder
-from .toxicity import _sum_rows
 
 WINDOW, STRIDE = 64, 48
 WIDTH, EXPERTS = 24, 64
@@ -32,7 +31,7 @@ FREQUENT, UNITS, UNIT_COUNT = 1 << 18, 1 << 16, 5
 """Bounds on what is broadcast: words whose counts every task knows, and how many of them (met UNIT_COUNT times or
 more) are vocabulary entries. The counts of other words are looked up by a join."""
 AFFINITY_PRIOR = 0.3
-WORDS_HELD = 1 << 15
+WORDS_HELD = 3 << 15
 BATCH, RATE = 64, 0.005
 """Windows of a step over all training texts, and its largest length."""
 START, END = 49406, 49407
@@ -60,31 +59,34 @@ class AttentionLM:
         experts = rng.gamma(1.0, 1.0, (vocabulary, EXPERTS)).astype(np.float32)
         return cls(p, experts / experts.sum(axis=0))
 
-    def _forward(self, ids: np.ndarray, first: int) -> tuple[np.ndarray, ...]:
-        """Inputs, projections [window, position, query key value own], attention (not normalised) and its norm, what is seen,
-        hidden layer, and gates (not normalised), a row per window and position; queries from position `first` on."""
-        p, (b, t) = self.p, ids.shape
+    def _forward(self, table: np.ndarray, at: np.ndarray, first: int) -> tuple[np.ndarray, ...]:
+        """Projections [window, position, query key value own], attention (not normalised) and its norm, what is seen, hidden
+        layer and a one, and gates (not normalised), a row per window and position; queries from position `first` on. table: projections of
+        ids, at[window, position]: rows of it."""
+        p, (b, t) = self.p, at.shape
         near = np.where(_AGO >= 0, p["near"][np.maximum(_AGO, 0)], np.float32(-1e4)).astype(np.float32)[first:t, :t]
-        x = p["embed"].take(ids.ravel(), axis=0)
-        z = (x @ self._projections()).reshape(b, t, 4 * WIDTH)
+        z = table.take(at.ravel(), axis=0).reshape(b, t, 4 * WIDTH)
         q, k, v, own = (z[:, :, i * WIDTH:(i + 1) * WIDTH] for i in range(4))
         a = q[:, first:] @ k.transpose(0, 2, 1)
         a += near
-        longest = np.sqrt(np.einsum("btd,btd->bt", q, q).max() * np.einsum("btd,btd->bt", k, k).max())
-        if longest + p["near"].max() > 30:
+        if a.max() > 30:
             np.minimum(a, 30, out=a)
         np.exp(a, out=a)
         norm = 1 / (a.reshape(-1, t) @ np.ones((t, 1), np.float32)).reshape(b, t - first, 1)
         o = a @ v
         o *= norm
-        h = o + own[:, first:]
-        h += p["bias"]
-        h = np.tanh(h, out=h).reshape(-1, WIDTH)
-        g = h @ p["gates"]
-        g += p["gate_bias"]
+        h = np.ones((b * (t - first), WIDTH + 1), o.dtype)
+        seen = o + own[:, first:]
+        seen += p["bias"]
+        np.tanh(seen.reshape(-1, WIDTH), out=h[:, :WIDTH])
+        g = h @ np.concatenate((p["gates"], p["gate_bias"][None]))
         if (np.abs(p["gates"]).sum(axis=0) + p["gate_bias"]).max() > 30:
             np.minimum(g, 30, out=g)
-        return x, z, a, norm, o, h, np.exp(g, out=g)
+        return z, a, norm, o, h, np.exp(g, out=g)
+
+    def projected(self, ids: np.ndarray) -> np.ndarray:
+        """Projections of ids, a row each."""
+        return self.p["embed"].take(ids, axis=0) @ self._projections()
 
     def _projections(self) -> np.ndarray:
         p = self.p
@@ -93,33 +95,39 @@ class AttentionLM:
     def gates(self, ids: np.ndarray, first: int = 0) -> np.ndarray:
         """Weights of the experts after each position, from `first` on, of windows ids[window, position]; a position sees itself
         and what is before it."""
-        g = self._forward(ids, first)[-1]
+        g = self._forward(self.projected(ids.ravel()), np.arange(ids.size).reshape(ids.shape), first)[-1]
         g /= g.sum(axis=1, keepdims=True)
         return g.reshape(len(ids), -1, EXPERTS)
 
-    def log_probability(self, ids: np.ndarray, target: np.ndarray, first: int = 0) -> np.ndarray:
-        """Natural log probability of target[window, position] after the ids up to that position, from position `first` on."""
-        g = self._forward(ids, first)[-1]
+    def log_probability(self, ids: np.ndarray, target: np.ndarray, first: int = 0, table: np.ndarray | None = None) -> np.ndarray:
+        """Natural log probability of target[window, position] after the ids up to that position, from position `first` on. With a
+        table of projections, ids are rows of it."""
+        if table is None:
+            table, ids = self.projected(ids.ravel()), np.arange(ids.size).reshape(ids.shape)
+        g = self._forward(table, ids, first)[-1]
         part = np.einsum("nm,nm->n", g, self.experts.take(target[:, first:].ravel(), axis=0))
         return np.log(part / (g @ np.ones(EXPERTS, np.float32)) + np.float32(1e-30)).reshape(len(ids), -1)
 
     def gradients(self, ids: np.ndarray, target: np.ndarray, on: np.ndarray, first: int = 0) -> tuple[dict, np.ndarray, float]:
         """Gradients of the mean loss over positions, from `first` on, weighted by `on`, the share of each expert in each of
-        their targets, and the loss."""
+        their targets, so weighted, and the loss. An id is projected once, its gradients are summed before they go back through the projections."""
         p, on = self.p, on[:, first:].reshape(-1, 1)
-        x, z, a, norm, o, h, g = self._forward(ids, first)
+        same = Same(ids.ravel())
+        x, projections = p["embed"].take(same.ids, axis=0), self._projections()
+        z, a, norm, o, h, g = self._forward(x @ projections, same.of.reshape(ids.shape), first)
         q, k, v = (z[:, :, i * WIDTH:(i + 1) * WIDTH] for i in range(3))
         ones, n = np.ones((EXPERTS, 1), np.float32), max(1, on.sum())
         share = self.experts.take(target[:, first:].ravel(), axis=0)
         share *= g
-        share += np.float32(1e-30)
-        total, gate_sum = share @ ones, g @ ones
-        share /= total
-        g /= gate_sum
+        total, gate_sum = share @ ones + np.float32(1e-30), g @ ones
+        share *= on / total
+        g *= on / gate_sum
         g -= share
-        g *= (on / n).astype(np.float32)
-        out = {"gates": h.T @ g, "gate_bias": g.sum(axis=0)}
-        d_h = g @ p["gates"].T
+        part = 1 / np.asarray(n, g.dtype)
+        gates = h.T @ g * part
+        out = {"gates": gates[:WIDTH], "gate_bias": gates[WIDTH]}
+        d_h = g @ (p["gates"].T * part)
+        h = h[:, :WIDTH]
         d_h *= 1 - h * h
         out["bias"] = d_h.sum(axis=0)
         d_o = d_h.reshape(o.shape)
@@ -127,45 +135,85 @@ class AttentionLM:
         d_s = d_a @ v.transpose(0, 2, 1)
         d_s -= np.einsum("btd,btd->bt", d_a, o)[:, :, None]
         d_s *= a
-        d_z = np.zeros_like(z)
-        d_z[:, first:, :WIDTH] = d_s @ k
-        d_z[:, :, WIDTH:2 * WIDTH] = d_s.transpose(0, 2, 1) @ q[:, first:]
-        d_z[:, :, 2 * WIDTH:3 * WIDTH] = a.transpose(0, 2, 1) @ d_a
+        d_z = np.empty_like(z)
+        d_z[:, :first] = 0
+        np.matmul(d_s, k, out=d_z[:, first:, :WIDTH])
+        np.matmul(d_s.transpose(0, 2, 1), q[:, first:], out=d_z[:, :, WIDTH:2 * WIDTH])
+        np.matmul(a.transpose(0, 2, 1), d_a, out=d_z[:, :, 2 * WIDTH:3 * WIDTH])
         d_z[:, first:, 3 * WIDTH:] = d_o
         ago = _AGO[first:ids.shape[1], :ids.shape[1]]
-        out["near"] = np.bincount(ago[ago >= 0], weights=d_s.sum(axis=0)[ago >= 0], minlength=WINDOW).astype(np.float32)
-        d_z = d_z.reshape(-1, 4 * WIDTH)
-        d_query, d_key, d_seen, d_own = np.split(x.T @ d_z, 4, axis=1)
+        out["near"] = np.bincount(ago[ago >= 0], weights=(np.ones(len(d_s), d_s.dtype) @ d_s.reshape(len(d_s), -1)).reshape(ago.shape)[ago >= 0], minlength=WINDOW).astype(np.float32)
+        d_table = same.sums(d_z.reshape(-1, 4 * WIDTH))
+        d_query, d_key, d_seen, d_own = np.split(x.T @ d_table, 4, axis=1)
         out |= {"query": d_query / np.float32(np.sqrt(WIDTH)), "key": d_key, "value": d_seen @ p["seen"].T, "seen": p["value"].T @ d_seen, "own": d_own}
-        rows, back = np.unique(ids, return_inverse=True)
-        out["embed"] = (rows, _sum_rows(back.ravel(), d_z @ self._projections().T, len(rows)))
+        out["embed"] = (same.ids, d_table @ projections.T)
         return out, share, float(-(np.log(total / gate_sum) * on).sum() / n)
 
 
+class Same:
+    """Places of equal ids: ids are the different ones in order, ids[of] all. A sum goes by halves: of the rows of an id, every second
+    one is added to the one before it, until one is left."""
+
+    def __init__(self, ids: np.ndarray):
+        many = len(ids)
+        packed = np.sort(ids.astype(np.int64) << 32 | np.arange(many))
+        self.order, found = packed & 0xFFFFFFFF, packed >> 32
+        begins = np.ones(many, bool)
+        np.not_equal(found[1:], found[:-1], out=begins[1:])
+        self.first = np.flatnonzero(begins)
+        self.ids, of = found[self.first], np.cumsum(begins) - 1
+        self.of = np.empty(many, np.int64)
+        self.of[self.order] = of
+        self.rank = np.arange(many) - self.first[of]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Rows of values summed by id; values are overwritten."""
+        left, gap = np.flatnonzero(self.rank), 1
+        while len(left):
+            odd = (self.rank[left] & gap) > 0
+            at = left[odd]
+            values[self.order[at - gap]] += values[self.order[at]]
+            left, gap = left[~odd], 2 * gap
+        return values.take(self.order[self.first], axis=0)
+
+
 class Steps:
-    """Adam steps of a network's weights; a row of `embed` moves when its id is met."""
+    """Adam steps of a network's weights; a row of `embed` moves when its id is met. The other weights are parts of one array."""
 
     def __init__(self, net: AttentionLM):
         self.net, self.taken = net, 0
-        self.moments = {k: np.zeros((*v.shape[:-1], 2 * v.shape[-1]), v.dtype) for k, v in net.p.items()}
+        self.names = [k for k in net.p if k != "embed"]
+        self.flat, at = np.concatenate([net.p[k].ravel() for k in self.names]), 0
+        for k in self.names:
+            shape, n = net.p[k].shape, net.p[k].size
+            net.p[k], at = self.flat[at:at + n].reshape(shape), at + n
+        self.moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in (("embed", net.p["embed"]), ("flat", self.flat))}
 
     def take(self, gradients: dict, pace: float) -> None:
         self.taken += 1
         fix = np.sqrt(1 - 0.999 ** self.taken) / (1 - 0.9 ** self.taken)
-        for k, d in gradients.items():
-            rows, d = d if k == "embed" else (slice(None), d)
-            moments, n = self.moments[k][rows], d.shape[-1]
-            first, second = moments[..., :n], moments[..., n:]
-            first *= np.float32(0.9)
-            first += np.float32(0.1) * d
-            second *= np.float32(0.999)
-            second += np.float32(0.001) * d * d
-            self.moments[k][rows] = moments
-            move = np.sqrt(second)
-            move += np.float32(1e-8)
-            np.divide(first, move, out=move)
-            move *= np.float32(pace * fix)
-            self.net.p[k][rows] -= move
+        rows, d = gradients["embed"]
+        first, second = (m.take(rows, axis=0) for m in self.moments["embed"])
+        move = self._move(first, second, d, pace * fix)
+        for held, moment in zip(self.moments["embed"], (first, second)):
+            held[rows] = moment
+        self.net.p["embed"][rows] -= move
+        self.flat -= self._move(*self.moments["flat"], np.concatenate([gradients[k].ravel() for k in self.names]), pace * fix)
+
+    @staticmethod
+    def _move(first: np.ndarray, second: np.ndarray, d: np.ndarray, pace: float) -> np.ndarray:
+        first *= np.float32(0.9)
+        move = np.float32(0.1) * d
+        first += move
+        second *= np.float32(0.999)
+        np.multiply(d, d, out=move)
+        move *= np.float32(0.001)
+        second += move
+        np.sqrt(second, out=move)
+        move += np.float32(1e-8)
+        np.divide(first, move, out=move)
+        move *= np.float32(pace)
+        return move
 
 
 def windows(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -232,8 +280,8 @@ def fit_attention(sequences: list[np.ndarray], overall: np.ndarray, epochs: int
             g, share, _ = net.gradients(ids[at], target[at], on[at])
             step = fit.taken + 1
             fit.take(g, rate * min(1.0, step / 50) * (1 - 0.9 * step / steps))
-            met, back = np.unique(target[at], return_inverse=True)
-            counts[met] += _sum_rows(back.ravel(), share * on[at].reshape(-1, 1), len(met))
+            same = Same(target[at].ravel())
+            counts[same.ids] += same.sums(share)
             if step % 20 == 0:
                 counts *= np.float32(0.9) if step < steps * 0.4 else np.float32(0.98)
                 net.experts = share_out(counts, overall)
@@ -287,7 +335,7 @@ def split_words(texts) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
     flat = split.flatten().dictionary_encode()
-    spelled = flat.dictionary.cast(pa.large_binary()).to_pylist()
+    spelled = flat.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
     number = np.arange(1, 1 + len(spelled))
     blank = spelled.index(b"") if b"" in spelled else -1
     if blank >= 0:
@@ -308,12 +356,16 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def log_probabilities(net: AttentionLM, ids: np.ndarray, lengths: np.ndarray, at_once: int = BATCH) -> np.ndarray:
-    """Log probability of each id of sequences that stand in a row."""
+    """Log probability of each id of sequences that stand in a row; each different id is projected once."""
     given, target, scored, at = windows_of_all(ids, lengths)
+    met = np.zeros(len(net.experts), bool)
+    met[given] = True
+    given = (np.cumsum(met) - 1)[given]
+    table = net.projected(np.flatnonzero(met))
     out = np.zeros(len(ids), np.float32)
     for chosen, first in batches_of(scored, at_once):
         on = scored[chosen, first:]
-        out[at[chosen, first:][on]] = net.log_probability(given[chosen], target[chosen], first)[on]
+        out[at[chosen, first:][on]] = net.log_probability(given[chosen], target[chosen], first, table)[on]
     return out
 
 
@@ -341,13 +393,11 @@ class TaskFit:
     def add(self, ids: np.ndarray, lengths: np.ndarray) -> None:
         given, target, scored, _ = windows_of_all(ids, lengths)
         for chosen, first in batches_of(scored, BATCH, self.rng.permutation(len(scored))):
-            on = scored[chosen]
-            g, share, _ = self.net.gradients(given[chosen], target[chosen], on, first)
+            g, share, _ = self.net.gradients(given[chosen], target[chosen], scored[chosen].astype(np.float32), first)
             step = self.fit.taken + 1
             self.fit.take(g, RATE * min(1.0, step / 50) / np.sqrt(1 + step / 500))
-            share *= on[:, first:].reshape(-1, 1)
-            met, back = np.unique(target[chosen, first:].ravel(), return_inverse=True)
-            self.explained[met] += _sum_rows(back, share, len(met))
+            same = Same(target[chosen, first:].ravel())
+            self.explained[same.ids] += same.sums(share)
         self.met += np.bincount(given[scored], minlength=len(self.met))
         self.seen += len(ids)
         if self.seen >= self.renew:

@@ -139,7 +139,7 @@ class TextEncoder:
         import pyarrow.compute as pc
 
         merge = self.tokenizer.model.tokenize
-        alone = pc.match_substring_regex(pa.array(parts, pa.large_string()), _UNIT).to_pylist()
+        alone = pc.match_substring_regex(pa.array(parts, pa.large_string()), _UNIT).to_numpy(zero_copy_only=False).tolist()
         ids, ends = array("I"), [0]
         for part, spelled, unit in zip(parts, self._spell(parts), alone):
             ids.extend([t.id for t in merge(spelled)] if unit else self.tokenizer.encode(part, add_special_tokens=False).ids)

@@ -514,6 +514,32 @@ def test_attention_gradients_are_those_of_the_loss():
             assert found[name][place] == pytest.approx(slope, rel=0.05, abs=2e-5), name
 
 
+def test_attention_sums_rows_of_equal_ids():
+    rng = np.random.default_rng(2)
+    for ids in (np.zeros(0, np.int64), np.array([7]), np.full(37, 5), rng.integers(0, 9, 400), rng.permutation(50)):
+        values, same = rng.normal(size=(len(ids), 3)), attention.Same(ids)
+        want = np.zeros((60, 3))
+        np.add.at(want, ids, values)
+        assert same.ids.tolist() == sorted(set(ids.tolist())) and (same.ids[same.of] == ids).all()
+        assert same.sums(values.copy()) == pytest.approx(want[same.ids])
+
+
+def test_attention_projects_each_id_once(monkeypatch):
+    net, rng = attention.AttentionLM.new(50, 1), np.random.default_rng(0)
+    net.p["query"] *= 40  # products beyond the bound of the exponent
+    lengths = np.array([1, 700, 49])
+    ids = rng.integers(0, 30, lengths.sum())
+    monkeypatch.setattr(attention, "START", 49)
+    given, target, scored, at = attention.windows_of_all(ids, lengths)
+    want = np.zeros(len(ids))
+    for g, t, on, places in zip(given, target, scored, at):
+        want[places[on]] = net.log_probability(g[None], t[None])[0][on]
+    projected, rows = attention.AttentionLM.projected, []
+    monkeypatch.setattr(attention.AttentionLM, "projected", lambda self, ids: (rows.append(len(ids)), projected(self, ids))[1])
+    assert attention.log_probabilities(net, ids, lengths, 4) == pytest.approx(want, abs=1e-4)
+    assert rows == [len(np.unique(given))]
+
+
 def test_the_attention_sample_stands_in_the_order_of_its_hash(spark):
     docs = spark.range(200).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
     hashed = [r["text"] for r in docs.orderBy(F.xxhash64("doc_id")).limit(50).collect()]
