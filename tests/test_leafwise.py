@@ -277,3 +277,58 @@ def test_counted_scores_report_like_rows(spark):
     plain = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
     found = [sorted(tuple(r) for r in d.collect()) for d in (metrics.fold_report(counted, "y", "score", "fold", "n"), metrics.fold_report(plain, "y", "score", "fold"))]
     assert found[0] == found[1]
+
+
+# ---- trainings side by side ---------------------------------------------------------------
+
+
+def same_trees(a, b):
+    return a.first == b.first and len(a.trees) == len(b.trees) and all(
+        (getattr(s, c) == getattr(t, c)).all() for s, t in zip(a.trees, b.trees) for c in vars(s))
+
+
+@pytest.mark.parametrize("more", [{"max_depth": 4, "reg_alpha": 0.3, "colsample_bytree": 0.67}, {"subsample": 0.6, "subsample_freq": 1, "min_child_samples": 3}])
+def test_trainings_in_tasks_are_those_in_passes(frame, monkeypatch, more):
+    df = frame.withColumn("month", F.col("key") % 6).withColumn("a", F.when(F.col("key") % 9 > 0, F.col("a"))).drop("c")
+    df = df.unionByName(df.withColumn("month", F.col("month") + 3)).unionByName(df.limit(20).withColumn("y", F.lit(None).cast("int")))
+    params = {"n_estimators": 5, "num_leaves": 14, "learning_rate": 0.3} | more
+
+    def found():
+        report, model = models.gbt_train_cv(df, ["a", "b"], "y", "month", 3, params)
+        return sorted(map(tuple, report.collect())), model
+
+    with monkeypatch.context() as m:
+        m.setattr(leafwise, "TASK_BYTES", 0)
+        report, model = found()
+    monkeypatch.setattr(leafwise, "SparkRows", None)
+    again, other = found()
+    assert again == report and same_trees(model, other) and max(len(t.feature) for t in model.trees) > 9
+
+
+def test_search_needs_no_pass_over_the_blocks_for_a_tree(spark, frame, monkeypatch):
+    """A search of many small trees waits for few jobs: each training is a task."""
+    space = {"num_leaves": ("step", 2, 9, 1), "n_estimators": ("step", 1, 3, 1)}
+    search_it = lambda: models.hyperparam_search(frame, NAMES, "key", "y", space, 4, 3, seed=2, batch=2).collect()
+    with monkeypatch.context() as m:
+        m.setattr(leafwise, "TASK_BYTES", 0)
+        want = search_it()
+    monkeypatch.setattr(leafwise, "SparkRows", None)
+    assert search_it() == want
+    assert models.hyperparam_search(frame.limit(0), NAMES, "key", "y", space, 2, 3).count() == 2
+
+
+def test_children_that_cannot_be_split_are_not_counted(rows):
+    x, y = rows
+    asked = []
+    plain = leafwise.grow
+
+    def counting(evaluate, p):
+        return plain(lambda splits: asked.append(len(splits)) or evaluate(splits), p)
+
+    params = leafwise.settings({"num_leaves": 40, "max_depth": 3, "min_child_samples": 1})
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(leafwise, "grow", counting)
+        tree = leafwise.LocalRows((x + 1).astype(np.uint8), y, np.ones(len(y)), 42, params).tree(np.arange(3))
+    leaf = tree.leaves((x + 1).astype(np.uint8))
+    assert asked == [0, 1, 2] and (tree.feature < 0).sum() == 8
+    assert (np.bincount(leaf, minlength=len(tree.rows))[tree.feature < 0] == tree.rows[tree.feature < 0]).all()
