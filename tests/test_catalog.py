@@ -50,6 +50,15 @@ def test_learnable_label_is_learned(spark, key):
     assert (rows["auc"] > 0.9).all() and (rows["auc"] <= 1.0).all()
 
 
+def test_cross_validation_grows_all_trees(spark, monkeypatch):
+    from tabloom.operators import models
+
+    grown = []
+    monkeypatch.setattr(models.LeafwiseModel, "save", lambda self, *_: grown.append(len(self.trees)))
+    assert contract.queries()["gbt_train_cv"](spark, FOLDER).count() == 3
+    assert grown == [models.DEFAULT_BOOSTER["n_estimators"]] == [512]
+
+
 def test_predictions_are_probabilities_per_key(spark):
     rows = contract.queries()["gbt_predict"](spark, FOLDER).toPandas()
     assert rows["vec_id"].is_unique and rows["score"].between(0, 1).all() and len(rows) == 500
